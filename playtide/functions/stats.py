@@ -11,12 +11,12 @@ __all__ = ["safe_corr", "first_by"]
 def safe_corr(x: Column | str, y: Column | str) -> Column:
     """Pearson correlation over rows where both sides are there; null if undefined.
 
-    ``corr`` itself raises under ANSI mode when one side is constant.
+    ``corr`` itself raises under ANSI mode when one side is constant. ``regr_r2``
+    gives null for a constant ``x`` and 1 for a constant ``y``, where the
+    covariance is 0; a covariance of 0 otherwise comes with an r2 of 0.
     """
-    x = F.col(x) if isinstance(x, str) else x
-    y = F.col(y) if isinstance(y, str) else y
-    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
-    return F.try_divide(F.covar_pop(x, y), spread)
+    r2, covariance = F.regr_r2(y, x), F.covar_pop(x, y)
+    return F.when((covariance != 0) | (r2 == 0), F.sqrt(r2) * F.signum(covariance))
 
 
 def first_by(value: Column, order: Column, where: Column | None = None) -> Column:

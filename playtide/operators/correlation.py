@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playtide.functions import safe_corr
 
 
+_PAIRS = 8
+
+
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     kinds = ("tinyint", "smallint", "int", "bigint", "float", "double")
     return [f.name for f in df.schema
@@ -34,10 +37,25 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None,
     if method != "pearson":
         raise ValueError(f"unknown correlation method {method!r}")
     columns = numeric_columns(df) if columns is None else list(columns)
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    sums = df.agg(*[safe_corr(columns[i], columns[j]).alias(f"{i}_{j}") for i, j in pairs])
-    cells = F.array(*[
-        F.struct(F.lit(columns[x]).alias("column_x"), F.lit(columns[y]).alias("column_y"),
-                 F.col(f"{min(x, y)}_{max(x, y)}").alias("corr"))
-        for x in range(len(columns)) for y in range(len(columns))])
-    return sums.select(F.inline(cells))
+    pairs = [(x, y) for i, x in enumerate(columns) for y in columns[i:]]
+    # A few pairs per row of a group keep the compiled aggregation small enough to stay fast.
+    parts = [pairs[i:i + _PAIRS] for i in range(0, len(pairs), _PAIRS)]
+    nothing = F.lit(None).cast("double")
+
+    def sides(part: list[tuple[str, str]]) -> list[Column]:
+        values = [(F.col(x).cast("double"), F.col(y).cast("double")) for x, y in part]
+        values += [(nothing, nothing)] * (_PAIRS - len(part))
+        return [side.alias(f"{name}{i}") for i, pair in enumerate(values)
+                for name, side in zip("xy", pair)]
+
+    rows = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("part"), *sides(part)) for i, part in enumerate(parts)])))
+    sums = rows.groupBy("part").agg(
+        F.array(*[safe_corr(f"x{i}", f"y{i}") for i in range(_PAIRS)]).alias("corrs"))
+    names = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in pairs])
+    cells = sums.select("part", F.posexplode("corrs").alias("place", "corr")).select(
+        F.get(names, F.col("part") * _PAIRS + F.col("place")).alias("pair"), "corr")
+    both = F.array(F.struct(F.col("pair.x").alias("column_x"), F.col("pair.y").alias("column_y")),
+                   F.struct(F.col("pair.y").alias("column_x"), F.col("pair.x").alias("column_y")))
+    return cells.where(F.col("pair").isNotNull()).select(
+        F.explode(F.array_distinct(both)).alias("cell"), "corr").select("cell.*", "corr")

@@ -1,13 +1,15 @@
 """Exact interpolated quantiles without collecting a group in one task.
 
-``percentile`` and ``median`` keep one value-to-count map per group, which a
-group with a large share of the rows overflows. Here three narrow passes find
-the same numbers:
+``percentile`` and ``median`` keep one value-to-count map per group. That is the
+quickest way while groups are small, so the group sizes are counted first. A group
+with a large share of the rows would overflow its map; then up to three narrow
+passes find the same numbers:
 
 1. a mergeable sketch per group proposes two edges around every quantile;
-2. the rows at or below each edge are counted exactly;
-3. only values between the two edges that enclose the wanted position are
-   counted one by one and ranked.
+2. the rows below and at each edge are counted exactly, which settles quantiles
+   that fall on an edge, as they do in columns with many equal values;
+3. for the others, only values between the two edges that enclose the wanted
+   position are counted one by one and ranked.
 
 The sketch decides how many rows pass 3 has to look at, never the result: where
 an edge falls short, the interval simply reaches to the next one or is open.
@@ -23,59 +25,73 @@ from pyspark.sql import functions as F
 
 from playtide.session import broadcast_if_small, cut
 
+# Rows up to which every group may be held in one map.
+SMALL_GROUP = 1_000_000
 _ACCURACY = 10_000
 _MARGIN = 2 / _ACCURACY
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], columns: Sequence[str],
-                    probabilities: Sequence[float]) -> DataFrame:
+                    probabilities: Sequence[float], small_group: int = SMALL_GROUP) -> DataFrame:
     """``by..., column, probability, value`` with linear interpolation; missing values left out."""
     by = list(by)
     for c in by:
         df = df.where(F.col(c).isNotNull())
     numbers = [F.col(c).cast("double") for c in columns]
     rows = df.select(*by, *[F.when(~F.isnan(v), v).alias(c) for v, c in zip(numbers, columns)])
+    largest = rows.groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    if (largest or 0) <= small_group:
+        return _in_one_map(rows, by, columns, probabilities)
+    return _in_passes(rows, by, columns, probabilities)
+
+
+def _in_one_map(rows: DataFrame, by: list[str], columns: Sequence[str],
+                probabilities: Sequence[float]) -> DataFrame:
+    wanted = [float(p) for p in probabilities]
+    found = rows.groupBy(*by).agg(*[F.percentile(c, F.lit(wanted)).alias(c) for c in columns])
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(p).alias("probability"),
+                               F.col(c)[i].alias("value"))
+                      for c in columns for i, p in enumerate(wanted)])
+    return found.select(*by, F.inline(cells))
+
+
+def _in_passes(rows: DataFrame, by: list[str], columns: Sequence[str],
+               probabilities: Sequence[float]) -> DataFrame:
     edges = sorted({min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-_MARGIN, _MARGIN)})
 
-    sketch = cut(rows.groupBy(*by).agg(*[
-        F.struct(F.count(c).alias("n"), F.percentile_approx(c, edges, _ACCURACY).alias("edges"))
-        .alias(f"{c}~sketch") for c in columns]))
-    tagged = _attach(rows, sketch, by)
-    counted = tagged.groupBy(*by).agg(
-        *[F.first(f"{c}~sketch").alias(f"{c}~sketch") for c in columns],
-        *[F.array(*[F.count_if(F.col(c) <= F.col(f"{c}~sketch.edges")[i])
-                    for i in range(len(edges))]).alias(f"{c}~below") for c in columns])
-    wanted = [F.array(*[_interval(c, p, len(edges)) for p in probabilities]).alias(f"{c}~wanted")
-              for c in columns]
-    intervals = cut(counted.select(*by, *wanted))
-
-    candidates = F.flatten(F.array(*[_hits(c) for c in columns]))
-    pulled = (_attach(rows, intervals, by).select(*by, F.explode(candidates).alias("hit"))
-              .groupBy(*by, "hit.column", "hit.target", "hit.value").agg(F.count("*").alias("n")))
-    upto = (W.partitionBy(*by, "column", "target.probability").orderBy("value")
-            .rowsBetween(W.unboundedPreceding, W.currentRow))
-    reached = F.col("target.before") + F.sum("n").over(upto)
-    ranked = pulled.withColumn("reached", reached)
-    ends = ranked.groupBy(*by, "column", F.col("target.probability").alias("probability"),
-                          F.col("target.fraction").alias("fraction")).agg(
-        F.min(F.when(F.col("reached") > F.col("target.lower"), F.col("value"))).alias("low"),
-        F.min(F.when(F.col("reached") > F.col("target.upper"), F.col("value"))).alias("high"))
+    sketch = cut(rows.groupBy(*by).agg(
+        *[F.count(c).alias(f"{c}~n") for c in columns],
+        *[F.percentile_approx(c, edges, _ACCURACY).alias(f"{c}~edges") for c in columns]))
+    counts = _attach(rows, sketch, by).groupBy(*by).agg(*[
+        F.array(*[F.count_if(compare(F.col(c), F.col(f"{c}~edges")[i])) for i in range(len(edges))])
+        .alias(f"{c}~{name}") for c in columns for name, compare in _COMPARE.items()])
+    wanted = cut(_positions(_attach(counts, sketch, by), by, columns, probabilities))
+
+    unsettled = wanted.where(~F.col("settled"))
+    if not unsettled.isEmpty():
+        found = _rank_between(rows, unsettled, by, columns)
+        wanted = (wanted.join(found, [*by, "column", "position"], "left")
+                  .withColumn("value", F.coalesce("value", "found")))
+    ends = wanted.groupBy(*by, "column", "probability").agg(
+        F.max("fraction").alias("fraction"),
+        *[F.max(F.when(F.col("end") == end, F.col("value"))).alias(end) for end in ("low", "high")])
     value = F.col("low") + (F.col("high") - F.col("low")) * F.col("fraction")
     return ends.select(*by, "column", "probability", value.alias("value"))
 
 
 def group_quantiles(df: DataFrame, by: Sequence[str], columns: Sequence[str],
-                    probabilities: dict[str, float]) -> DataFrame:
+                    probabilities: dict[str, float], small_group: int = SMALL_GROUP) -> DataFrame:
     """One row per group with a column ``<column><suffix>`` per suffix and probability."""
-    long = exact_quantiles(df, by, columns, list(probabilities.values()))
+    long = exact_quantiles(df, by, columns, list(probabilities.values()), small_group)
     wide = [F.max(F.when((F.col("column") == c) & (F.col("probability") == p), F.col("value")))
             .alias(f"{c}{suffix}") for c in columns for suffix, p in probabilities.items()]
     return long.groupBy(*by).agg(*wide)
 
 
-def group_medians(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def group_medians(df: DataFrame, by: Sequence[str], columns: Sequence[str],
+                  small_group: int = SMALL_GROUP) -> DataFrame:
     """Exact median of every column per group."""
-    return group_quantiles(df, by, columns, {"": 0.5})
+    return group_quantiles(df, by, columns, {"": 0.5}, small_group)
 
 
 def _attach(rows: DataFrame, per_group: DataFrame, by: list[str]) -> DataFrame:
@@ -89,24 +105,68 @@ def _attach(rows: DataFrame, per_group: DataFrame, by: list[str]) -> DataFrame:
             .select(*rows.columns, "_all.*"))
 
 
-def _interval(column: str, probability: float, n_edges: int) -> Column:
-    """Where the two order statistics around a quantile lie, from the exact edge counts."""
-    sketch, below = F.col(f"{column}~sketch"), F.col(f"{column}~below")
-    position = F.lit(float(probability)) * (sketch["n"] - 1)
-    lower, upper = F.floor(position), F.ceil(position)
-    nothing = F.lit(None).cast("double")
-    low = [F.when(below[i] <= lower, sketch["edges"][i]) for i in range(n_edges)]
-    before = [F.when(below[i] <= lower, below[i]) for i in range(n_edges)]
-    high = [F.when(below[i] > upper, sketch["edges"][i]) for i in range(n_edges)]
-    return F.struct(
-        F.lit(float(probability)).alias("probability"), lower.alias("lower"), upper.alias("upper"),
-        (position - lower).alias("fraction"),
-        F.greatest(nothing, *low).alias("low"), F.least(nothing, *high).alias("high"),
-        F.greatest(F.lit(0).cast("bigint"), *before).alias("before"))
+_COMPARE = {"below": lambda value, edge: value < edge, "upto": lambda value, edge: value <= edge}
+
+
+def _positions(counted: DataFrame, by: list[str], columns: Sequence[str],
+               probabilities: Sequence[float]) -> DataFrame:
+    """The two order statistics around each quantile: settled by an edge, or between two edges."""
+    per_column = counted.select(*by, F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"{c}~n").alias("n"),
+                 F.arrays_zip(F.col(f"{c}~edges").alias("edge"), F.col(f"{c}~below").alias("below"),
+                              F.col(f"{c}~upto").alias("upto")).alias("marks"))
+        for c in columns])))
+    position = F.when(F.col("end") == "low", F.floor("exact")).otherwise(F.ceil("exact"))
+    ends = (per_column
+            .withColumn("probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
+            .withColumn("exact", F.col("probability") * (F.col("n") - 1))
+            .withColumn("end", F.explode(F.array(F.lit("low"), F.lit("high"))))
+            .withColumn("position", F.greatest(position, F.lit(0).cast("bigint"))))
+    at = F.col("position")
+    hit = F.filter("marks", lambda m: (m["below"] <= at) & (at < m["upto"]))
+    before = F.filter("marks", lambda m: m["upto"] <= at)
+    after = F.filter("marks", lambda m: m["below"] > at)
+    value = F.get(hit, F.lit(0))["edge"]
+    return ends.select(
+        *by, "column", "probability", "end", "position",
+        (F.col("exact") - F.floor("exact")).alias("fraction"), value.alias("value"),
+        (value.isNotNull() | (F.col("n") == 0)).alias("settled"),
+        F.array_max(F.transform(before, lambda m: m["edge"])).alias("above"),
+        F.array_min(F.transform(after, lambda m: m["edge"])).alias("under"),
+        F.coalesce(F.array_max(F.transform(before, lambda m: m["upto"])), F.lit(0)).alias("before"))
+
+
+def _rank_between(rows: DataFrame, unsettled: DataFrame, by: list[str],
+                  columns: Sequence[str]) -> DataFrame:
+    """``by..., column, position, found``: order statistics among the values between two edges."""
+    target = F.struct("position", "above", "under", "before")
+    lowest, highest = F.lit(float("-inf")), F.lit(float("inf"))
+
+    def of(c: str, value: Column) -> Column:
+        return F.when(F.col("column") == c, value)
+
+    # Two targets per quantile at most in a group's list.
+    intervals = unsettled.groupBy(*by).agg(
+        *[F.collect_set(of(c, target)).alias(f"{c}~wanted") for c in columns],
+        *[F.min(of(c, F.coalesce("above", lowest))).alias(f"{c}~from") for c in columns],
+        *[F.max(of(c, F.coalesce("under", highest))).alias(f"{c}~to") for c in columns])
+    near = F.lit(False)
+    for c in columns:
+        near = near | F.coalesce((F.col(c) >= F.col(f"{c}~from")) & (F.col(c) <= F.col(f"{c}~to")),
+                                 F.lit(False))
+    pulled = (_attach(rows, intervals, by).where(near)
+              .select(*by, F.explode(F.flatten(F.array(*[_hits(c) for c in columns]))).alias("hit"))
+              .groupBy(*by, "hit.column", "hit.target.position", "hit.target.before", "hit.value")
+              .agg(F.count("*").alias("n")))
+    upto = (W.partitionBy(*by, "column", "position").orderBy("value")
+            .rowsBetween(W.unboundedPreceding, W.currentRow))
+    ranked = pulled.withColumn("reached", F.col("before") + F.sum("n").over(upto))
+    return ranked.groupBy(*by, "column", "position").agg(
+        F.min(F.when(F.col("reached") > F.col("position"), F.col("value"))).alias("found"))
 
 
 def _hits(column: str) -> Column:
-    """The wanted quantiles whose interval holds the row's value."""
+    """The wanted positions whose interval holds the row's value."""
     value = F.col(column)
     within = F.filter(F.col(f"{column}~wanted"), lambda target: _inside(value, target))
     return F.transform(within, lambda target: F.struct(
@@ -114,5 +174,5 @@ def _hits(column: str) -> Column:
 
 
 def _inside(value: Column, target: Column) -> Column:
-    return (value.isNotNull() & (target["low"].isNull() | (value > target["low"]))
-            & (target["high"].isNull() | (value <= target["high"])))
+    return (value.isNotNull() & (target["above"].isNull() | (value > target["above"]))
+            & (target["under"].isNull() | (value < target["under"])))

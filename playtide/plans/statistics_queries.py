@@ -92,6 +92,12 @@ def genre_median_all(spark, sf_dir):
     return _rounded(pipelines.genre_profile(_kept(spark, sf_dir), COLUMNS, "median"), COLUMNS)
 
 
+@query(f"WITH {b.TRACKS} SELECT genre, {_each('round(median({c}), 6) AS {c}')} FROM tracks GROUP BY genre")
+def genre_median_large_groups(spark, sf_dir):
+    """The form for groups that are too large for one map, whatever their size here."""
+    return _rounded(quantiles.group_medians(b.tracks(spark, sf_dir), ["genre"], COLUMNS, small_group=0), COLUMNS)
+
+
 _CODED = f"""{_KEPT},
 codes AS (SELECT artists, row_number() OVER (ORDER BY artists) - 1 AS artists_id
           FROM (SELECT DISTINCT artists FROM kept)),
@@ -239,6 +245,17 @@ def box_summary_by_type(spark, sf_dir):
     return _rounded(boxes, ["q1", "q2", "q3"])
 
 
+@query("SELECT " + ", ".join(
+    f"round(quantile_cont(value, {p}), 6) AS value_{n}" for n, p in (("min", 0), ("p01", 0.01), ("p50", 0.5), ("max", 1)))
+    + " FROM events")
+def quantiles_large_table(spark, sf_dir):
+    """Quantiles of a whole table, in the form for tables of any size."""
+    table = quantiles.group_quantiles(
+        b.table(spark, sf_dir, "events"), [], ["value"],
+        {"_min": 0.0, "_p01": 0.01, "_p50": 0.5, "_max": 1.0}, small_group=0)
+    return _rounded(table, table.columns)
+
+
 @query("SELECT o_custkey, round(quantile_cont(o_totalprice, 0.9), 4) AS o_totalprice_p90, "
        "round(quantile_cont(o_totalprice, 0.1), 4) AS o_totalprice_p10 FROM orders GROUP BY o_custkey")
 def quantiles_many_groups(spark, sf_dir):

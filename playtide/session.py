@@ -14,6 +14,8 @@ BROADCAST_ROWS = 100_000
 
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
+    # Recording the call site of every column expression is most of the planning time.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
