@@ -12,11 +12,10 @@ def safe_corr(x: Column | str, y: Column | str) -> Column:
     """Pearson correlation over rows where both sides are there; null if undefined.
 
     ``corr`` itself raises under ANSI mode when one side is constant. ``regr_r2``
-    gives null for a constant ``x`` and 1 for a constant ``y``, where the
-    covariance is 0; a covariance of 0 otherwise comes with an r2 of 0.
+    gives null for a constant ``x``, and for a constant ``y`` 1 with a covariance of 0.
     """
     r2, covariance = F.regr_r2(y, x), F.covar_pop(x, y)
-    return F.when((covariance != 0) | (r2 == 0), F.sqrt(r2) * F.signum(covariance))
+    return F.when((covariance != 0) | (r2 != 1), F.sqrt(r2) * F.signum(covariance) + 0.0)
 
 
 def first_by(value: Column, order: Column, where: Column | None = None) -> Column:
