@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from playtide.operators.quantiles import group_quantiles
 from playtide.session import broadcast_if_small, cut
 
+# Beyond this many bandwidths a Gaussian weight is 0 in double precision.
+_REACH = 39
+
 
 def _values(df: DataFrame, column: str) -> DataFrame:
     value = F.col(column).cast("double")
@@ -43,9 +46,11 @@ def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
 def density(df: DataFrame, column: str, points: int = 200) -> DataFrame:
     """Gaussian density estimate on an even grid over [min, max], Scott's bandwidth.
 
-    Equal values are merged first. Each distinct value then adds to the grid as an
-    array of kernel weights that is summed by position inside every input
-    partition, so what is shuffled is one number per grid point and partition.
+    Equal values are merged first. Each distinct value then adds its weight to the
+    grid points within its reach, summed by point inside every input partition, so
+    what is shuffled is one number per grid point and partition. The more rows, the
+    narrower the kernel and the fewer points a value reaches. A constant column has
+    null densities.
     """
     weighted = _values(df, column).groupBy("value").agg(F.count("*").alias("weight"))
     moments = _values(df, column).agg(F.struct(
@@ -53,17 +58,22 @@ def density(df: DataFrame, column: str, points: int = 200) -> DataFrame:
         F.stddev_samp("value").alias("spread")).alias("m")).scalar()
     step = (moments["high"] - moments["low"]) / (points - 1)
     width = moments["spread"] * F.pow(moments["n"].cast("double"), F.lit(-0.2))
+    place, reach = (F.try_divide(F.col("value") - moments["low"], step),
+                    F.try_divide(width * _REACH, step))
     located = weighted.select(
-        "value", "weight", moments["low"].alias("low"), step.alias("step"), width.alias("width"))
-    # A fixed number of grid points per distinct value, summed before the shuffle.
-    on_grid = located.select("value", "weight", "low", "step", "width",
-                             F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
-    at = F.col("low") + F.col("point") * F.col("step")
-    z = F.try_divide(at - F.col("value"), F.col("width"))
-    sums = on_grid.groupBy("point").agg(F.sum(F.col("weight") * F.exp(-0.5 * z * z)).alias("sum"))
+        "value", "weight", moments["low"].alias("low"), step.alias("step"), width.alias("width"),
+        F.greatest(F.ceil(place - reach), F.lit(0)).alias("first"),
+        F.least(F.floor(place + reach), F.lit(points - 1)).alias("last"))
+    reached = located.where(F.col("first") <= F.col("last")).select(
+        "value", "weight", "low", "step", "width", F.explode(F.sequence("first", "last")).alias("point"))
+    z = F.try_divide(F.col("low") + F.col("point") * F.col("step") - F.col("value"), F.col("width"))
+    sums = reached.groupBy("point").agg(F.sum(F.col("weight") * F.exp(-0.5 * z * z)).alias("sum"))
     norm = moments["n"] * width * math.sqrt(2 * math.pi)
-    return sums.select("point", (moments["low"] + F.col("point") * step).alias("x"),
-                       F.try_divide("sum", norm).alias("density"))
+    grid = df.sparkSession.range(points).select(F.col("id").alias("point"))
+    return grid.join(sums, "point", "left").select(
+        F.col("point").cast("int").alias("point"),
+        (moments["low"] + F.col("point") * step).alias("x"),
+        F.try_divide(F.coalesce("sum", F.lit(0.0)), norm).alias("density"))
 
 
 def box_summary(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:

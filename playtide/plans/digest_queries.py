@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from playtide.operators import catalog, stories
+from playtide.operators import catalog, stories, tables
 from playtide.plans import bindings as b
 from playtide.plans.registry import query
 
@@ -79,11 +79,12 @@ tops AS (SELECT genre, place, letter FROM (
 styles AS (SELECT genre AS style, place, letter, tempo, energy, valence FROM tops JOIN (
   SELECT genre, avg(tempo) AS tempo, avg(energy) AS energy, avg(valence) AS valence FROM k GROUP BY genre)
   USING (genre)),
+pairs AS (SELECT style AS from_style, lead(style) OVER (ORDER BY style) AS to_style FROM styles),
 fits AS (
   SELECT a.style AS from_style, z.style AS to_style, track_id,
          round(abs(c.energy - a.energy) + abs(c.energy - z.energy)
                + abs(c.valence - a.valence) + abs(c.valence - z.valence), 6) AS distance
-  FROM styles a JOIN styles z ON a.style < z.style JOIN coded c
+  FROM pairs JOIN styles a ON from_style = a.style JOIN styles z ON to_style = z.style JOIN coded c
     ON c.tempo BETWEEN a.tempo * (1 - 0.06) AND a.tempo * (1 + 0.06)
    AND c.tempo BETWEEN z.tempo * (1 - 0.06) AND z.tempo * (1 + 0.06)
    AND ((c.letter = a.letter AND (c.place - a.place + 12) % 12 IN (0, 1, 11)) OR (c.letter <> a.letter AND c.place = a.place))
@@ -95,11 +96,10 @@ def bridge_tracks(spark, sf_dir):
     features = ["energy", "valence"]
     tracks = _keyed(spark, sf_dir)
     styles = stories.style_profiles(tracks, features)
-    # Every two genres, as ordered pairs out of each genre's list of the others.
-    genres = tracks.select("genre").distinct()
-    others = genres.agg(F.collect_set("genre").alias("others")).scalar()
-    pairs = (genres.select(F.col("genre").alias("from_style"), F.explode(others).alias("to_style"))
-             .where("from_style < to_style"))
+    # From each genre to the next one by name.
+    places = tables.number_rows(tracks.select("genre").distinct(), ["genre"], "place")
+    following = places.select(F.col("genre").alias("to_style"), (F.col("place") - 1).alias("place"))
+    pairs = places.withColumnRenamed("genre", "from_style").join(following, "place").drop("place")
     found = stories.bridge_tracks(tracks, styles, pairs, features)
     return found.withColumn("rank", F.col("rank").cast("bigint"))
 

@@ -101,8 +101,8 @@ def dead_letters(spark, sf_dir):
 
 
 def _accepted(spark, sf_dir) -> DataFrame:
-    rows = messages(b.table(spark, sf_dir, "events")).where(F.col("topic") == "plays")
-    return flow.accepted(flow.parse_messages(rows, PLAYS_ROUTE))
+    parsed = flow.parse_messages(messages(b.table(spark, sf_dir, "events")), ROUTES)
+    return flow.accepted(parsed, ROUTES, PLAYS_ROUTE)
 
 
 @query(f"WITH {_MESSAGES} {_FIRST}")

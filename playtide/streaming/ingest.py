@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import signal
+import threading
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -57,61 +59,69 @@ def top_tracks_route(topic: str, table: str = "top_tracks") -> Route:
                  "latest", event_type=schemas.TOP_TRACKS_EVENT_TYPE)
 
 
-def parse_messages(messages: DataFrame, route: Route) -> DataFrame:
-    """Messages with their fields under ``data`` and a ``reason`` where they must be rejected."""
-    corrupt = T.StructField("_corrupt", T.StringType())
-    schema = T.StructType([*route.schema.fields, corrupt])
-    parsed = messages.withColumn("data", F.from_json("value", schema, {
-        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
-    malformed = (F.col("data").isNull() | F.col("data._corrupt").isNotNull()
-                 | ~F.ltrim("value").startswith("{"))
+def parse_messages(messages: DataFrame, routes: Sequence[Route]) -> DataFrame:
+    """Each message read once with the schema of its topic.
+
+    Fields are under ``data_<n>`` for the n-th route; ``reason`` is set where the
+    message must be rejected.
+    """
+    # Parsed under its topic only; the text is kept as a preview.
+    parsed = messages.select(
+        "topic", *ARRIVAL, F.substring("value", 1, PREVIEW_CHARS).alias("value_preview"),
+        F.coalesce(F.ltrim("value").startswith("{"), F.lit(False)).alias("_object"),
+        *[F.when(F.col("topic") == route.topic, F.from_json("value", _with_corrupt(route.schema), {
+            "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})).alias(f"data_{i}")
+          for i, route in enumerate(routes)])
+    reason = F.lit(None).cast("string")
+    known = F.lit(False)
+    for i, route in enumerate(routes):
+        mine = F.coalesce(F.col("topic") == route.topic, F.lit(False))
+        known = known | mine
+        reason = F.when(mine, _reason(route, f"data_{i}")).otherwise(reason)
+    reason = F.when(known, reason).otherwise(F.lit("unknown topic"))
+    return parsed.withColumn("reason", reason).drop("_object")
+
+
+def _with_corrupt(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
+
+
+def _reason(route: Route, data: str) -> Column:
+    malformed = F.col(data).isNull() | F.col(f"{data}._corrupt").isNotNull() | ~F.col("_object")
     reason = F.when(malformed, "malformed")
     if route.event_type:
-        same = F.col("data.event_type").eqNullSafe(F.lit(route.event_type))
+        same = F.col(f"{data}.event_type").eqNullSafe(F.lit(route.event_type))
         reason = reason.when(~same, "unexpected event type")
-    reason = reason.when(~all_present([F.col(f"data.{k}") for k in route.keys]), "missing key")
-    return parsed.withColumn("reason", reason)
+    return reason.when(~all_present([F.col(f"{data}.{k}") for k in route.keys]), "missing key")
 
 
-def accepted(parsed: DataFrame) -> DataFrame:
-    fields = [f for f in parsed.schema["data"].dataType.names if f != "_corrupt"]
-    return parsed.where(F.col("reason").isNull()).select(
-        *[F.col("data")[f].alias(f) for f in fields], *ARRIVAL)
+def accepted(parsed: DataFrame, routes: Sequence[Route], route: Route) -> DataFrame:
+    """Rows for the table of one route."""
+    data = F.col(f"data_{list(routes).index(route)}")
+    return parsed.where((F.col("topic") == route.topic) & F.col("reason").isNull()).select(
+        *[data[f.name].alias(f.name) for f in route.schema], *ARRIVAL)
 
 
 def rejected(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col("reason").isNotNull()).select(
-        "topic", *ARRIVAL, "reason",
-        F.substring("value", 1, PREVIEW_CHARS).alias("value_preview"))
-
-
-def reject_rows(messages: DataFrame, routes: Sequence[Route]) -> DataFrame:
     """Rejects of a batch: malformed, wrong type, missing key, or of an unknown topic."""
-    known = F.col("topic").isin([r.topic for r in routes])
-    unknown = messages.where(~known | F.col("topic").isNull())
-    rows = rejected(unknown.withColumn("reason", F.lit("unknown topic")))
-    for route in routes:
-        mine = messages.where(F.col("topic") == route.topic)
-        rows = rows.unionByName(rejected(parse_messages(mine, route)))
-    return rows
+    return parsed.where(F.col("reason").isNotNull()).select(
+        "topic", *ARRIVAL, "reason", "value_preview")
 
 
 def write_batch(messages: DataFrame, routes: Sequence[Route], base: str, ingest: str) -> None:
     """Write one batch of messages to all tables; writing it again changes nothing."""
-    messages = messages.persist()
+    parsed = parse_messages(messages, routes).persist()
     try:
         for route in routes:
-            mine = messages.where(F.col("topic") == route.topic)
-            rows = accepted(parse_messages(mine, route))
+            rows = accepted(parsed, routes, route)
             path = f"{base}/{route.table}"
             if route.mode == "insert":
                 stores.insert_if_absent(rows, path, route.keys, ARRIVAL, ingest, route.day_of)
             else:
                 stores.upsert_latest(rows, path, route.keys, ARRIVAL, ingest)
-        (reject_rows(messages, routes).write.mode("overwrite")
-         .parquet(f"{base}/rejects/ingest={ingest}"))
+        rejected(parsed).write.mode("overwrite").parquet(f"{base}/rejects/ingest={ingest}")
     finally:
-        messages.unpersist()
+        parsed.unpersist()
 
 
 def batch_name(batch: DataFrame, batch_id: int) -> str:
@@ -137,6 +147,19 @@ def ingest(stream: DataFrame, routes: Sequence[Route], base: str, checkpoint: st
     return writer.start()
 
 
+def run_until_stopped(query: StreamingQuery) -> None:
+    """Wait for the query; SIGINT and SIGTERM stop it after the current batch's step."""
+    stopping = threading.Event()
+    for number in (signal.SIGINT, signal.SIGTERM):
+        signal.signal(number, lambda *_: stopping.set())
+    while query.isActive and not stopping.wait(1.0):
+        pass
+    if query.isActive:
+        query.stop()
+    elif query.exception():
+        raise query.exception()
+
+
 def read_table(spark: SparkSession, route: Route, base: str) -> DataFrame:
     """Current rows of a route's table."""
     path = f"{base}/{route.table}"

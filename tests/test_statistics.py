@@ -159,6 +159,14 @@ def test_density(spark):
     np.testing.assert_allclose(got["density"], want, rtol=1e-9)
 
 
+def test_density_of_far_apart_and_constant_values(spark):
+    frame = spark.createDataFrame([(float(v),) for v in [0, 0, 0, 1, 1, 2] * 500 + [10_000]], "v double")
+    got = distribution.density(frame, "v", 200).orderBy("point").toPandas()
+    assert len(got) == 200 and got["density"].iloc[0] > 0 and got["density"].iloc[100] == 0
+    constant = distribution.density(frame.where("v = 1"), "v", 5).toPandas()
+    assert len(constant) == 5 and constant["density"].isna().all() and (constant["x"] == 1).all()
+
+
 def test_box_summary(spark):
     values = [1.0, 2.0, 3.0, 4.0, 100.0, None]
     frame = spark.createDataFrame([(v,) for v in values], "v double")

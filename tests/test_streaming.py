@@ -112,7 +112,7 @@ def test_batch_equals_stream(spark, tmp_path):
 def test_preview_is_cut(spark):
     rows = spark.createDataFrame([("x", 0, 1, None, "y" * 500)],
                                  "topic string, partition int, offset bigint, timestamp timestamp, value string")
-    assert flow.reject_rows(rows, ROUTES).first()["value_preview"] == "y" * 120
+    assert flow.rejected(flow.parse_messages(rows, ROUTES)).first()["value_preview"] == "y" * 120
 
 
 def test_routes_are_checked():
