@@ -8,8 +8,8 @@ passes find the same numbers:
 1. a mergeable sketch per group proposes two edges around every quantile;
 2. the rows below and at each edge are counted exactly, which settles quantiles
    that fall on an edge, as they do in columns with many equal values;
-3. for the others, only values between the two edges that enclose the wanted
-   position are counted one by one and ranked.
+3. for the others, the values between the two edges that enclose the wanted
+   position are counted one by one, in slices, and the slice holding it is ranked.
 
 The sketch decides how many rows pass 3 has to look at, never the result: where
 an edge falls short, the interval simply reaches to the next one or is open.
@@ -27,7 +27,10 @@ from playtide.session import broadcast_if_small, cut
 
 # Rows up to which every group may be held in one map.
 SMALL_GROUP = 1_000_000
-_ACCURACY = 10_000
+# A finer sketch costs more per row; a coarser one leaves more values between its edges.
+_ACCURACY = 2_000
+# Slices of the interval between two edges; only one of them is ranked.
+_SLICES = 256
 _MARGIN = 2 / _ACCURACY
 
 
@@ -156,12 +159,26 @@ def _rank_between(rows: DataFrame, unsettled: DataFrame, by: list[str],
                                  F.lit(False))
     pulled = (_attach(rows, intervals, by).where(near)
               .select(*by, F.explode(F.flatten(F.array(*[_hits(c) for c in columns]))).alias("hit"))
-              .groupBy(*by, "hit.column", "hit.target.position", "hit.target.before", "hit.value")
+              .groupBy(*by, "hit.column", "hit.target.position", "hit.target.before",
+                       "hit.target.above", "hit.target.under", "hit.value")
               .agg(F.count("*").alias("n")))
-    upto = (W.partitionBy(*by, "column", "position").orderBy("value")
-            .rowsBetween(W.unboundedPreceding, W.currentRow))
-    ranked = pulled.withColumn("reached", F.col("before") + F.sum("n").over(upto))
-    return ranked.groupBy(*by, "column", "position").agg(
+    share = F.try_divide(F.col("value") - F.col("above"), F.col("under") - F.col("above"))
+    pulled = pulled.withColumn("slice", F.coalesce(
+        F.least(F.floor(share * _SLICES), F.lit(_SLICES - 1)), F.lit(0)))
+    target = [*by, "column", "position"]
+
+    def running(order: str, *keys: str) -> Column:
+        return F.sum("n").over(W.partitionBy(*target, *keys).orderBy(order)
+                               .rowsBetween(W.unboundedPreceding, W.currentRow))
+
+    slices = (pulled.groupBy(*target, "before", "slice").agg(F.sum("n").alias("n"))
+              .withColumn("start", F.col("before") + running("slice") - F.col("n"))
+              .where((F.col("start") <= F.col("position"))
+                     & (F.col("position") < F.col("start") + F.col("n"))))
+    ranked = (pulled.select(*target, "slice", "value", "n")
+              .join(slices.select(*target, "slice", "start"), [*target, "slice"])
+              .withColumn("reached", F.col("start") + running("value", "slice")))
+    return ranked.groupBy(*target).agg(
         F.min(F.when(F.col("reached") > F.col("position"), F.col("value"))).alias("found"))
 
 
