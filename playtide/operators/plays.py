@@ -79,11 +79,13 @@ def listening_stats(plays: DataFrame, key: str, labels: Sequence[str] = (),
     ``labels`` are taken from the row of the first position.
     """
     plays = plays.where(present(key))
+    timed = present("played_at") if dict(plays.dtypes)["played_at"] == "string" else \
+        F.col("played_at").isNotNull()
     first = [first_by(F.struct(*labels), F.col("idx")).alias("first")] if labels else []
     stats = plays.groupBy(*by, key).agg(
         F.count("*").alias("plays"),
         F.min("idx").alias("first_idx"),
-        first_by(F.col("played_at"), F.col("idx"), present("played_at")).alias("latest_played_at"),
+        first_by(F.col("played_at"), F.col("idx"), timed).alias("latest_played_at"),
         *first)
     shown = [F.col("first")[c].alias(c) for c in labels]
     return stats.select(*by, key, "plays", "first_idx", "latest_played_at", *shown)
