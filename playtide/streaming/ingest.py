@@ -65,13 +65,15 @@ def parse_messages(messages: DataFrame, routes: Sequence[Route]) -> DataFrame:
     Fields are under ``data_<n>`` for the n-th route; ``reason`` is set where the
     message must be rejected.
     """
-    # Parsed under its topic only; the text is kept as a preview.
+    data = F.struct(*[
+        F.when(F.col("topic") == route.topic, F.from_json("value", _with_corrupt(route.schema), {
+            "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})).alias(f"data_{i}")
+        for i, route in enumerate(routes)])
+    # As a generated row the fields are parsed once, not again in every filter on them.
     parsed = messages.select(
         "topic", *ARRIVAL, F.substring("value", 1, PREVIEW_CHARS).alias("value_preview"),
         F.coalesce(F.ltrim("value").startswith("{"), F.lit(False)).alias("_object"),
-        *[F.when(F.col("topic") == route.topic, F.from_json("value", _with_corrupt(route.schema), {
-            "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})).alias(f"data_{i}")
-          for i, route in enumerate(routes)])
+        F.inline(F.array(data)))
     reason = F.lit(None).cast("string")
     known = F.lit(False)
     for i, route in enumerate(routes):
