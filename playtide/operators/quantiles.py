@@ -2,10 +2,10 @@
 
 ``percentile`` and ``median`` keep one value-to-count map per group. That is the
 quickest way while groups are small, so the group sizes are counted first. A group
-with a large share of the rows would overflow its map; then up to three narrow
-passes find the same numbers:
+with a large share of the rows would overflow its map; for such groups up to three
+narrow passes find the same numbers:
 
-1. a mergeable sketch per group proposes two edges around every quantile;
+1. a sketch over a part of the rows proposes edges around every quantile;
 2. the rows below and at each edge are counted exactly, which settles quantiles
    that fall on an edge, as they do in columns with many equal values;
 3. for the others, the values between the two edges that enclose the wanted
@@ -25,13 +25,15 @@ from pyspark.sql import functions as F
 
 from playtide.session import broadcast_if_small, cut
 
-# Rows up to which every group may be held in one map.
-SMALL_GROUP = 1_000_000
-# A finer sketch costs more per row; a coarser one leaves more values between its edges.
-_ACCURACY = 2_000
+# Rows up to which a group may be held in one map.
+SMALL_GROUP = 125_000
+# Rows of the smallest group beyond that which the sketch sees.
+_SKETCHED = 5_000
+_ACCURACY = 1_000
+# Close edges serve the groups with most rows, wide ones those with fewest.
+_MARGINS = (0.003, 0.03)
 # Slices of the interval between two edges; only one of them is ranked.
 _SLICES = 256
-_MARGIN = 2 / _ACCURACY
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], columns: Sequence[str],
@@ -42,10 +44,17 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], columns: Sequence[str],
         df = df.where(F.col(c).isNotNull())
     numbers = [F.col(c).cast("double") for c in columns]
     rows = df.select(*by, *[F.when(~F.isnan(v), v).alias(c) for v, c in zip(numbers, columns)])
-    largest = rows.groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
-    if (largest or 0) <= small_group:
+    sizes = rows.groupBy(*by).agg(F.count("*").alias("n"))
+    is_large = F.col("n") > small_group
+    groups = sizes.agg(F.count_if(is_large).alias("large"), F.count("*").alias("all")).first()
+    part = min(1.0, _SKETCHED / small_group) if small_group else 1.0
+    if groups["large"] == 0:
         return _in_one_map(rows, by, columns, probabilities)
-    return _in_passes(rows, by, columns, probabilities)
+    if groups["large"] == groups["all"]:
+        return _in_passes(rows, by, columns, probabilities, part)
+    large = broadcast_if_small(cut(sizes.where(is_large).select(*by)))
+    return _in_one_map(rows.join(large, by, "left_anti"), by, columns, probabilities).unionByName(
+        _in_passes(rows.join(large, by, "left_semi"), by, columns, probabilities, part))
 
 
 def _in_one_map(rows: DataFrame, by: list[str], columns: Sequence[str],
@@ -59,15 +68,16 @@ def _in_one_map(rows: DataFrame, by: list[str], columns: Sequence[str],
 
 
 def _in_passes(rows: DataFrame, by: list[str], columns: Sequence[str],
-               probabilities: Sequence[float]) -> DataFrame:
-    edges = sorted({min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-_MARGIN, _MARGIN)})
-
-    sketch = cut(rows.groupBy(*by).agg(
+               probabilities: Sequence[float], part: float) -> DataFrame:
+    marks = sorted({min(max(p + sign * margin, 0.0), 1.0)
+                    for p in probabilities for margin in _MARGINS for sign in (-1, 1)})
+    seen = rows.sample(part, seed=1) if part < 1 else rows
+    sketch = cut(seen.groupBy(*by).agg(
+        *[F.percentile_approx(c, marks, _ACCURACY).alias(f"{c}~edges") for c in columns]))
+    counts = _attach(rows, sketch, by).groupBy(*by).agg(
         *[F.count(c).alias(f"{c}~n") for c in columns],
-        *[F.percentile_approx(c, edges, _ACCURACY).alias(f"{c}~edges") for c in columns]))
-    counts = _attach(rows, sketch, by).groupBy(*by).agg(*[
-        F.array(*[F.count_if(compare(F.col(c), F.col(f"{c}~edges")[i])) for i in range(len(edges))])
-        .alias(f"{c}~{name}") for c in columns for name, compare in _COMPARE.items()])
+        *[F.array(*[F.count_if(compare(F.col(c), F.col(f"{c}~edges")[i])) for i in range(len(marks))])
+          .alias(f"{c}~{name}") for c in columns for name, compare in _COMPARE.items()])
     wanted = cut(_positions(_attach(counts, sketch, by), by, columns, probabilities))
 
     unsettled = wanted.where(~F.col("settled"))
@@ -100,7 +110,7 @@ def group_medians(df: DataFrame, by: Sequence[str], columns: Sequence[str],
 def _attach(rows: DataFrame, per_group: DataFrame, by: list[str]) -> DataFrame:
     """Per-group columns on every row; without groups, the one row's values as literals."""
     if by:
-        return rows.join(broadcast_if_small(per_group), by)
+        return rows.join(broadcast_if_small(per_group), by, "left")
     only = per_group.select(F.to_json(F.struct("*")).alias("text")).first()["text"]
     schema = per_group.schema
     return (rows.withColumn("_all", F.from_json(F.lit(only), schema, {
