@@ -10,7 +10,7 @@ from playtide.operators import catalog, plays as listening, tables
 from playtide.plans import bindings as b
 from playtide.plans import pipelines
 from playtide.plans.registry import query
-from playtide.schemas import RECENT_ITEM, TOP_TRACKS
+from playtide.schemas import RECENT_ITEM, TOP_TRACKS, TOP_TRACKS_EVENT_TYPE
 from playtide.sources import payloads
 from playtide.sources.files import topic_messages as as_messages
 
@@ -174,7 +174,7 @@ def artist_top_tracks(spark, sf_dir):
 lists AS (SELECT artist_id, market, count(*) AS n_tracks,
                  string_agg(rank || ':' || track_id || ':' || brand, ',' ORDER BY rank) AS tracks
           FROM catalog WHERE rank <= 10 GROUP BY artist_id, market)
-SELECT '1.0' AS event_version, 'avd_artist_market_top_tracks' AS event_type,
+SELECT '1.0' AS event_version, '{TOP_TRACKS_EVENT_TYPE}' AS event_type,
        '2024-02-01T00:00:00.000000+00:00' AS generated_at, user_id, country, d.market, d.artist_id,
        coalesce(artist_name, '?') AS artist_name, coalesce(n_tracks, 0) AS n_tracks,
        coalesce(tracks, '') AS tracks

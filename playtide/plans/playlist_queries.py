@@ -8,6 +8,7 @@ from playtide.operators import playlists as ops, tables
 from playtide.plans import bindings as b
 from playtide.plans.registry import query
 from playtide.session import work_path
+from playtide.sources import files
 from playtide.streaming import stores
 
 _ORDER = ", ".join(b.ENTRY_ORDER)
@@ -158,6 +159,12 @@ def _analysis(spark, sf_dir):
         F.when(F.col("p_size") > 5, F.col("p_retailprice") / 1000).alias("danceability"))
 
 
+@query(f"WITH {_PICKED}, {_FIRST}, {_VALUES} SELECT genre, playlist_id, track_id FROM chosen JOIN picked USING (genre)")
+def first_n_per_genre(spark, sf_dir):
+    tracks = ops.genre_tracks(_genres(spark, sf_dir), _found(spark, sf_dir), _items(spark, sf_dir), 3, FALLBACKS)
+    return tracks.select("genre", "playlist_id", "track_id")
+
+
 @query(f"""
 WITH {_PICKED}, {_FIRST}, {_VALUES}
 SELECT genre, round(avg(danceability), 6) AS avg_danceability, count(danceability) AS n_tracks
@@ -206,3 +213,41 @@ def seed_if_empty(spark, sf_dir):
 @query("SELECT p_name, count(*) AS n FROM part GROUP BY p_name HAVING count(*) > 1")
 def duplicate_keys(spark, sf_dir):
     return stores.duplicate_keys(b.table(spark, sf_dir, "part"), "p_name")
+
+
+@query("""
+SELECT CAST(p_partkey AS VARCHAR) AS track_id, p_brand AS artists, p_type || ', "' || p_name || '"' AS track_genre,
+       p_size AS popularity, CASE WHEN p_size > 3 THEN p_retailprice END AS tempo FROM part""")
+def catalogue_csv(spark, sf_dir):
+    """Parts written as a catalogue file with a row number and NaN, and read back."""
+    path = work_path(spark, "catalogue")
+    rows = b.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("_row"), F.col("p_partkey").cast("string").alias("track_id"),
+        F.col("p_brand").alias("artists"),
+        F.concat("p_type", F.lit(', "'), "p_name", F.lit('"')).alias("track_genre"),
+        F.col("p_size").alias("popularity"),
+        F.when(F.col("p_size") > 3, F.col("p_retailprice")).otherwise(F.lit(float("nan"))).alias("tempo"))
+    rows.write.option("escape", '"').csv(path, header=True)
+    return files.read_catalogue(spark, path, rows.drop("_row").schema)
+
+
+@query("SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS o_orderpriority, o_totalprice FROM orders")
+def record_files(spark, sf_dir):
+    """Orders written as records with nulls and read back."""
+    path = work_path(spark, "records")
+    rows = b.table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.nullif("o_orderpriority", F.lit("5-LOW")).alias("o_orderpriority"), "o_totalprice")
+    files.write_records(rows, path)
+    return spark.read.schema(rows.schema).json(path)
+
+
+@query("""
+SELECT CAST(row_number() OVER (ORDER BY p_type) - 1 AS BIGINT) AS row_id, p_type, round(avg(p_size), 6) AS p_size
+FROM part GROUP BY p_type""")
+def column_json(spark, sf_dir):
+    """Means per genre written column by column and read back."""
+    path = work_path(spark, "columns")
+    means = tables.group_means(b.table(spark, sf_dir, "part"), ["p_type"], ["p_size"])
+    files.write_column_json(tables.number_rows(means, ["p_type"], "row_id"), path, "row_id")
+    table = files.read_column_json(spark, path, {"p_type": "string", "p_size": "double"})
+    return table.withColumn("p_size", F.round("p_size", 6))

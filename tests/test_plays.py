@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from playtide.operators import catalog, plays
 from playtide.plans import pipelines
+from playtide.schemas import TOP_TRACKS_EVENT_TYPE
 from playtide.sources import files, payloads
 
 def now():
@@ -118,7 +119,7 @@ def test_top_tracks_documents(spark):
     assert documents["u1"]["tracks"][0]["track_id"] == "t0"
     assert documents["u1"]["tracks"][0]["artists"] == [None]
     assert documents["u2"]["tracks"] == documents["u3"]["tracks"] == []
-    assert documents["u1"]["event_type"] == "avd_artist_market_top_tracks"
+    assert documents["u1"]["event_type"] == TOP_TRACKS_EVENT_TYPE
     lines = catalog.track_lines(catalog.artist_top_tracks(dominant, tracks)).orderBy("rank").collect()
     assert lines[0]["line"] == "01. T0 — ? (00:00)" and len(lines) == 10
 

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from playtide.schemas import TOP_TRACKS_EVENT_TYPE
 from playtide.sources.streams import file_stream
 from playtide.streaming import ingest as flow
 from playtide.streaming import stores, windows
@@ -15,7 +16,7 @@ def play(user="u", track="t", at="2024-01-01T00:00:00Z", **more):
                       ensure_ascii=False)
 
 
-def top(user="u", market="AT", name="n", kind="avd_artist_market_top_tracks", generated="2024"):
+def top(user="u", market="AT", name="n", kind=TOP_TRACKS_EVENT_TYPE, generated="2024"):
     return json.dumps({"event_type": kind, "user_id": user, "artist_id": "a", "market": market,
                        "artist_name": name, "generated_at": generated, "tracks": [{"rank": 1, "artists": [None]}]})
 
