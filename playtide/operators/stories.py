@@ -137,24 +137,26 @@ def _week(c: str = "played_at") -> Column:
 
 
 def weekly_digest(plays: DataFrame, duration: str = "duration_ms") -> DataFrame:
-    """Per user and Monday week: hours, plays, newly heard artists and albums, top album."""
-    week = _week().alias("week")
-    totals = plays.groupBy("user_id", week).agg(
-        (F.sum(duration) / MS_PER_HOUR).alias("hours"), F.count("*").alias("plays"))
-
-    def first_heard(item: str, name: str) -> DataFrame:
-        firsts = (plays.where(F.col(item).isNotNull()).groupBy("user_id", item)
-                  .agg(F.min("played_at").alias("first")))
-        return firsts.groupBy("user_id", _week("first").alias("week")).agg(F.count("*").alias(name))
-
-    albums = (plays.where(F.col("album_id").isNotNull()).groupBy("user_id", week, "album_id")
-              .agg(F.count("*").alias("n")))
-    favourite = (top_per_group(albums, ["user_id", "week"], [F.desc("n"), "album_id"], 1)
-                 .select("user_id", "week", F.col("album_id").alias("top_album")))
-    keys = ["user_id", "week"]
-    return (totals.join(first_heard("artist_id", "new_artists"), keys, "left")
-            .join(first_heard("album_id", "new_albums"), keys, "left")
-            .join(favourite, keys, "left").na.fill(0, ["new_artists", "new_albums"]))
+    """Per user and Monday week: hours, plays, newly heard artists and albums, top album.
+
+    Two aggregations over the plays: totals roll up from counts per album, and artists
+    and albums share the search for their first play.
+    """
+    per_album = plays.groupBy("user_id", _week().alias("week"), "album_id").agg(
+        F.sum(duration).alias("duration"), F.count("*").alias("n"))
+    place = F.when(F.col("album_id").isNotNull(), F.struct(-F.col("n"), F.col("album_id")))
+    totals = per_album.groupBy("user_id", "week").agg(
+        (F.sum("duration") / MS_PER_HOUR).alias("hours"), F.sum("n").alias("plays"),
+        F.min_by("album_id", place).alias("top_album"))
+    items = F.inline(F.array(*[
+        F.struct(F.lit(kind).alias("kind"), F.col(f"{kind}_id").cast("string").alias("item"))
+        for kind in ("artist", "album")]))
+    firsts = (plays.select("user_id", "played_at", items).where(F.col("item").isNotNull())
+              .groupBy("user_id", "kind", "item").agg(F.min("played_at").alias("first")))
+    heard = firsts.groupBy("user_id", _week("first").alias("week")).agg(*[
+        F.count_if(F.col("kind") == kind).alias(f"new_{kind}s") for kind in ("artist", "album")])
+    return (totals.join(heard, ["user_id", "week"], "left")
+            .na.fill(0, ["new_artists", "new_albums"]))
 
 
 def genre_drift(plays: DataFrame, genre: str = "genre") -> DataFrame:
