@@ -101,7 +101,7 @@ def leaderboard(stats: DataFrame, name: str, n: int = 10,
 def leaderboard_lines(board: DataFrame, name: str, artists: str) -> DataFrame:
     """A ``line`` per entry, e.g. ``01. Title — Artist  | plays=3  | latest=...``."""
     line = F.format_string("%02d. %s — %s  | plays=%d  | latest=%s", "rank", name, artists,
-                           "plays", F.col("latest_played_at").cast("string"))
+                           "plays", F.coalesce(F.col("latest_played_at").cast("string"), F.lit("None")))
     return board.withColumn("line", line)
 
 

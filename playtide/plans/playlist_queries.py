@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from playtide.operators import playlists as ops, tables
 from playtide.plans import bindings as b
 from playtide.plans.registry import query
+from playtide.schemas import ALBUM_PAGE, SEARCH_RESULT
 from playtide.session import work_path
-from playtide.sources import files
+from playtide.sources import files, payloads
 from playtide.streaming import stores
 
 _ORDER = ", ".join(b.ENTRY_ORDER)
@@ -215,6 +216,45 @@ def duplicate_keys(spark, sf_dir):
     return stores.duplicate_keys(b.table(spark, sf_dir, "part"), "p_name")
 
 
+@query(f"""
+SELECT playlist_id AS album_id, position, track_id, name FROM (
+  SELECT CAST(l_orderkey AS VARCHAR) AS playlist_id, CAST(l_partkey AS VARCHAR) AS track_id,
+         'Track ' || l_partkey AS name,
+         row_number() OVER (PARTITION BY l_orderkey ORDER BY {_ORDER}) - 1 AS position
+  FROM lineitem) WHERE position < 7""")
+def album_pages(spark, sf_dir):
+    """The first seven entries per order as JSON pages of three, put together again."""
+    first = ops.first_entries(b.entries(spark, sf_dir), 7, "playlist_id", b.ENTRY_ORDER)
+    place = F.col("position").cast("bigint")
+    track = F.struct("position", F.col("track_id").cast("string").alias("id"),
+                     F.concat(F.lit("Track "), F.col("track_id").cast("string")).alias("name"))
+    # Three tracks per page.
+    pages = (first.groupBy(F.col("playlist_id").cast("string").alias("album_id"),
+                           (place - place % 3).alias("offset"))
+             .agg(F.array_sort(F.collect_list(track)).alias("items")))
+    texts = pages.select(F.to_json(F.struct("album_id", "offset", "items")).alias("page"))
+    items = payloads.paged_items(payloads.parse_payloads(texts, "page", ALBUM_PAGE))
+    return items.select("album_id", "position", F.col("id").alias("track_id"), "name")
+
+
+@query("""
+SELECT query, CAST(position AS INTEGER) AS position, playlist_id FROM (
+  SELECT o_orderpriority AS query, CAST(o_orderkey AS VARCHAR) AS playlist_id, o_totalprice,
+         row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) - 1 AS position
+  FROM orders) WHERE position < 5 AND position <> 1""")
+def playlist_search(spark, sf_dir):
+    """The first orders per priority as a search result in JSON; the second one has no name."""
+    first = ops.first_entries(_searches(spark, sf_dir).withColumnRenamed("query", "q"), 9, "q", ["found"])
+    entry = F.struct("position", F.col("playlist_id").cast("string").alias("id"),
+                     F.when(F.col("position") != 1, F.lit("N")).otherwise(F.lit("")).alias("name"))
+    # Nine results per text at most.
+    results = first.groupBy("q").agg(F.array_sort(F.collect_list(entry)).alias("items"))
+    texts = results.select(F.to_json(F.struct(
+        F.col("q").alias("query"), F.struct("items").alias("playlists"))).alias("result"))
+    found = payloads.search_results(payloads.parse_payloads(texts, "result", SEARCH_RESULT), 5)
+    return found.select("query", "position", "playlist_id")
+
+
 @query("""
 SELECT CAST(p_partkey AS VARCHAR) AS track_id, p_brand AS artists, p_type || ', "' || p_name || '"' AS track_genre,
        p_size AS popularity, CASE WHEN p_size > 3 THEN p_retailprice END AS tempo FROM part""")

@@ -67,6 +67,9 @@ def test_leaderboards_from_payloads(spark, tmp_path):
     albums = plays.listening_stats(rows, "album_id", ["album_name", "album_artists"]).collect()
     assert [(r["album_id"], r["plays"], r["album_artists"], r["latest_played_at"]) for r in albums] == [
         ("al1", 1, "Än", None)]
+    album_board = plays.leaderboard(plays.listening_stats(rows, "album_id", ["album_name", "album_artists"]), "album_name")
+    lines = plays.leaderboard_lines(album_board, "album_name", "album_artists")
+    assert lines.first()["line"] == "01. Album — Än  | plays=1  | latest=None"
 
 
 def test_dominant_artist_tie_goes_to_first_seen(spark, tmp_path):
