@@ -23,7 +23,11 @@ def broker_stream(spark: SparkSession, servers: str, topics: list[str],
 
 def file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
                 file_format: str = "json") -> DataFrame:
-    """The same columns out of a folder of message files, oldest file first."""
+    """The same columns out of a folder of message files, oldest file first.
+
+    Files are taken by their modification time; those of the same millisecond may
+    arrive in any order, so a collector should write one file per step.
+    """
     reader = spark.readStream.schema(MESSAGE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

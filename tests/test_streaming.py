@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -41,9 +42,12 @@ MESSAGES = [
 def put(folder, messages, first=0):
     folder.mkdir(exist_ok=True)
     for i, (topic, value) in enumerate(messages, first):
-        (folder / f"{i:04d}.json").write_text(json.dumps(
+        file = folder / f"{i:04d}.json"
+        file.write_text(json.dumps(
             {"topic": topic, "partition": 0, "offset": i, "timestamp": "2024-01-01T00:00:00Z", "value": value},
             ensure_ascii=False) + "\n", encoding="utf-8")
+        # Files arrive in the order of their times.
+        os.utime(file, (1_700_000_000 + i, 1_700_000_000 + i))
 
 
 def run(spark, tmp_path, checkpoint, files=3):
