@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,11 +18,14 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
-_LOCAL_DIRS: dict[str, str] = {}
+# Intermediate data go here when the session names no folder. The path has no scheme, so it
+# lies in the default file system, which is the shared one on a cluster.
+SCRATCH = "/tmp/checkpoints/playtide"
 
 
 def build_session(app_name: str = "playtide", master: str | None = None,
@@ -42,19 +44,9 @@ def build_session(app_name: str = "playtide", master: str | None = None,
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by the cluster.
-
-    Only a local session without that setting gets a folder of its own.
-    """
+    """The folder every executor can reach: the one the session names, else one of this application's own."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_DIRS:
-        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="playtide-")
-    return _LOCAL_DIRS[app]
+    return named.rstrip("/") if named else f"{SCRATCH}/{spark.sparkContext.applicationId}"
 
 
 def work_path(spark: SparkSession, name: str) -> str:
