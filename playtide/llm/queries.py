@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playtide.llm import byte_bpe, exact_dedup, token_counts
+from playtide.llm import byte_bpe, exact_dedup, simhash, token_counts
 from playtide.llm.frames import whole_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,13 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                           (F.col("n_tokens") > 4096).alias("over_limit"))
 
 
+@query("op7_simhash")
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = simhash.label_near_copies(table(spark, sf_dir, "documents"))
+    return labelled.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+                           "component_id")
+
+
 @query("op9_exact_dedup", """
     SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
            doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
