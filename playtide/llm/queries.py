@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playtide.llm import byte_bpe, exact_dedup, simhash, token_counts
+from playtide.llm import byte_bpe, exact_dedup, simhash, tiling, token_counts, toxicity
 from playtide.llm.frames import whole_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,25 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                           (F.col("n_tokens") > 4096).alias("over_limit"))
 
 
+def bucket(modulus: int) -> Column:
+    """The remainder that decides which rows labels are learnt from."""
+    return F.pmod(F.crc32(F.col("id").cast("string")), F.lit(modulus))
+
+
+def toxicity_network(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Network | float:
+    labels = table(spark, sf_dir, "labels")
+    return toxicity.train(toxicity.training_rows(docs, labels, "toxic", bucket(3) != 1))
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_network(spark, docs, sf_dir))
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 @query("op7_simhash")
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = simhash.label_near_copies(table(spark, sf_dir, "documents"))
@@ -43,6 +62,13 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                            "component_id")
 
 
+@query("op8_decontamination")
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", (F.col("covered_words") / F.col("item_words")).alias("coverage"),
+                        "covered_words", F.size("tiles").alias("n_tiles"))
+
+
 @query("op9_exact_dedup", """
     SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
            doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
