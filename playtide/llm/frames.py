@@ -6,6 +6,7 @@ import os
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,7 +47,7 @@ def python_ready(spark: SparkSession) -> SparkSession:
 def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches into runs of rows that hold about ``limit`` bytes of ``column``; no row is cut."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch[column]).to_pylist()
+        sizes = pc.binary_length(batch[column]).to_pylist()
         start = held = 0
         for row, size in enumerate(sizes):
             held += size or 0
