@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playtide.llm import byte_bpe, exact_dedup, simhash, tiling, token_counts, toxicity
-from playtide.llm.frames import whole_text
+from playtide.llm import byte_bpe, exact_dedup, quality, simhash, tiling, token_counts, toxicity, warc
+from playtide.llm.frames import stored, whole_text
+from playtide.session import work_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -28,6 +29,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_warc", """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+    f AS (SELECT page_id, strlen(h) AS payload_bytes, sha256(h) AS payload_digest,
+                 CASE WHEN strlen(h) >= 100 THEN min(page_id) OVER (PARTITION BY h) ELSE page_id END AS first FROM p)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> first THEN first END AS refers_to
+    FROM f""")
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    number = lambda name: F.regexp_extract(name, r"^<urn:x-page:(-?\d+)>$", 1).try_cast("bigint")
+    found = warc.records(warc.read(spark, path)).select(
+        number("record_id").alias("page_id"), F.octet_length("payload").cast("bigint").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_digest"), F.col("type").alias("record_type"),
+        number("refers_to").alias("refers_to"), F.substring_index("payload_digest", ":", -1).alias("named"))
+    index = stored(found, "warc-index")
+    kept = index.where("record_type = 'response'").drop("named")
+    # A revisit has no payload of its own: length and digest are those of the response that was read.
+    full = (kept.select(F.col("page_id").alias("refers_to"), "payload_bytes", F.col("payload_digest").alias("named"))
+            .distinct())
+    again = index.where("record_type = 'revisit'").drop("payload_bytes", "payload_digest").join(
+        full, ["refers_to", "named"])
+    return kept.unionByName(again.withColumnRenamed("named", "payload_digest"))
+
+
 @query("op2_token_counts")
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", whole_text().alias("text"))
@@ -55,6 +82,17 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+@query("op4_quality")
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    described = stored(quality.with_statistics(docs).drop("text"), "statistics")
+    rows = quality.training_rows(described, table(spark, sf_dir, "labels"), "quality", bucket(5) != 0)
+    scored = quality.score(described, quality.fit(rows))
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query("op7_simhash")
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = simhash.label_near_copies(table(spark, sf_dir, "documents"))
