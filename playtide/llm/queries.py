@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playtide.llm import byte_bpe, exact_dedup, quality, simhash, tiling, token_counts, toxicity, warc
+from playtide.llm import byte_bpe, exact_dedup, pii, quality, simhash, tiling, token_counts, toxicity, warc
 from playtide.llm.frames import stored, whole_text
 from playtide.session import work_path
 
@@ -93,6 +93,14 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+@query("op6_pii")
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.protect(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, pii.KINDS[:4]), F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"),
+                        pii.joined(pii.all_spans()).alias("spans"))
+
+
 @query("op7_simhash")
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = simhash.label_near_copies(table(spark, sf_dir, "documents"))
