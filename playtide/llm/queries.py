@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playtide.llm import byte_bpe, exact_dedup, pii, quality, simhash, tiling, token_counts, toxicity, warc
+from playtide.llm import attention_lm, byte_bpe, exact_dedup, pii, quality, simhash, tiling, token_counts, toxicity, warc
 from playtide.llm.frames import stored, whole_text
 from playtide.session import work_path
 
@@ -93,6 +93,14 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+@query("op5_attention_lm")
+def op5_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = attention_lm.score(table(spark, sf_dir, "documents"), bucket(7) != 2,
+                                public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return scored.select(F.col("id").alias("doc_id"), (~F.col("learnt")).alias("held_out"), "n_tokens", "n_known",
+                         "train_tokens", "base_score", "score")
+
+
 @query("op6_pii")
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.protect(table(spark, sf_dir, "documents"))
