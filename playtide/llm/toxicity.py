@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -51,7 +51,19 @@ def plain(token: str) -> str:
     return token.lower() if token.isalnum() else _EDGE.sub("", token).lower()
 
 
-def log_odds(texts: list[set[str]], labels: np.ndarray, least: int = 4, prior: float = 3.0) -> dict[str, float]:
+def word_sets(texts: Iterable[str]) -> Iterator[set[str]]:
+    """The different words of each text, one text at a time."""
+    for text in texts:
+        yield {plain(token) for token in set(text.split())} - {""}
+
+
+def run_sets(texts: Iterable[str]) -> Iterator[set[str]]:
+    """The different character runs of each text's words."""
+    for found in word_sets(texts):
+        yield set().union(*map(ngrams, found))
+
+
+def log_odds(texts: Iterable[set[str]], labels: np.ndarray, least: int = 4, prior: float = 3.0) -> dict[str, float]:
     """Of each feature in at least ``least`` texts, how its presence shifts the odds; clipped, small ones left out."""
     counts = (Counter(), Counter())
     for features, label in zip(texts, labels):
@@ -225,13 +237,12 @@ def train(rows: list[tuple[str, int]], steps: int = 240) -> Network | float:
     half = np.arange(len(rows)) % 2
     if min((labels[half == k] == y).sum() for k in (0, 1) for y in (0, 1)) < 2:
         return float(labels.mean()) if len(rows) else 0.0
-    tokens = [(text or "").split() for text, _ in rows]
-    vocabulary = [{plain(token) for token in found} - {""} for found in tokens]
+    texts = [text for text, _ in rows]
     first, second = np.flatnonzero(half == 0), np.flatnonzero(half == 1)
-    network = Network(log_odds([vocabulary[i] for i in first], labels[first]),
-                      log_odds([set().union(*map(ngrams, vocabulary[i])) for i in first], labels[first]))
+    counted = [texts[i] for i in first]
+    network = Network(log_odds(word_sets(counted), labels[first]), log_odds(run_sets(counted), labels[first]))
     memory = Features(network)
-    cut = [windows(memory.places(tokens[i])) for i in second]
+    cut = [windows(memory.places(texts[i].split())) for i in second]
     owner = np.repeat(np.arange(len(second)), [len(c) for c in cut])
     every = np.concatenate(cut)
     # The window that stands for a text: first the one with the highest odds, then the one the network scores highest.
@@ -249,8 +260,8 @@ def train(rows: list[tuple[str, int]], steps: int = 240) -> Network | float:
     best = np.maximum.reduceat(guess, np.searchsorted(owner, np.arange(len(second))))
     network.scale = logistic_curve(best, labels[second])
     # The network has learnt how far odds can be trusted; for scoring they are counted on both halves.
-    network.words = log_odds(vocabulary, labels)
-    network.runs = log_odds([set().union(*map(ngrams, found)) for found in vocabulary], labels)
+    network.words = log_odds(word_sets(texts), labels)
+    network.runs = log_odds(run_sets(texts), labels)
     return network
 
 
