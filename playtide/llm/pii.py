@@ -170,7 +170,7 @@ def term_texts(texts: DataFrame, terms: DataFrame) -> DataFrame:
 def hits(text: str | None, bits: np.ndarray) -> list[str]:
     """The different words of a text, in lower case, whose hash is in the filter."""
     words = list({word.lower() for word in _WORD.findall(text or "")})
-    places = [xxhash.xxh64_intdigest(word, 42) % BITS for word in words]
+    places = [xxhash.xxh64_intdigest(word, 42) % len(bits) for word in words]
     return [words[i] for i in np.flatnonzero(bits[places])] if words else []
 
 

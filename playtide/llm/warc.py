@@ -43,7 +43,7 @@ VERSION = b"WARC/1.0\r\n"
 GZIP_MARK = b"\x1f\x8b\x08"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 
-_START = re.compile(rb"\x1f\x8b\x08|(?:(?<=\n)|\A)WARC/\d+\.\d+\r\n")
+_START = re.compile(rb"\x1f\x8b\x08|WARC/\d+\.\d+\r\n")
 _VERSION = re.compile(rb"WARC/\d+\.\d+\r\n")
 _FIELDS = ("type", "record_id", "target", "refers_to", "payload_digest")
 _HEADERS = ("warc-type", "warc-record-id", "warc-target-uri", "warc-refers-to", "warc-payload-digest")
