@@ -11,11 +11,18 @@ __all__ = ["safe_corr", "first_by"]
 def safe_corr(x: Column | str, y: Column | str) -> Column:
     """Pearson correlation over rows where both sides are there; null if undefined.
 
-    ``corr`` itself raises under ANSI mode when one side is constant. ``regr_r2``
-    gives null for a constant ``x``, and for a constant ``y`` 1 with a covariance of 0.
+    A side that is constant over those rows leaves it undefined. That is decided by its
+    least and greatest value: merged partial variances of a constant are not exactly 0.
+    ``corr`` itself raises under ANSI mode there, ``regr_r2`` does not.
     """
+    x, y = (F.col(c) if isinstance(c, str) else c for c in (x, y))
+    both = x.isNotNull() & y.isNotNull()
+
+    def varies(side: Column) -> Column:
+        return F.min(F.when(both, side)) < F.max(F.when(both, side))
+
     r2, covariance = F.regr_r2(y, x), F.covar_pop(x, y)
-    return F.when((covariance != 0) | (r2 != 1), F.sqrt(r2) * F.signum(covariance) + 0.0)
+    return F.when(varies(x) & varies(y), F.sqrt(r2) * F.signum(covariance) + 0.0)
 
 
 def first_by(value: Column, order: Column, where: Column | None = None) -> Column:

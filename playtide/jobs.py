@@ -1,4 +1,4 @@
-"""Jobs to submit: publish plays, ingest messages, leaderboards, top-tracks documents, seeds.
+"""Jobs to submit: publish plays, ingest messages, compact, leaderboards, top-tracks documents, seeds.
 
     python -m playtide.jobs ingest --path in --tables out --progress ckpt \\
         --play-topic plays --top-topic tops
@@ -21,16 +21,16 @@ from playtide.streaming import stores
 
 
 def publish(spark: SparkSession, payload_path: str, topic: str, override: str | None = None,
-            path: str | None = None, servers: str | None = None) -> None:
+            path: str | None = None, servers: str | None = None, multi_line: bool = True) -> None:
     """Recent-plays payloads as play events on a topic."""
-    documents = payloads.read_payloads(spark, payload_path, "recent_plays")
+    documents = payloads.read_payloads(spark, payload_path, "recent_plays", multi_line)
     events = plays.play_events(documents, market_used(F.lit(override).cast("string"), "country"))
     files.write_messages(files.topic_messages(events, topic), path, servers)
 
 
-def leaderboards(spark: SparkSession, payload_path: str, n: int = 10) -> dict[str, DataFrame]:
-    """Album and track leaderboards per user of recent-plays payloads."""
-    rows = plays.play_rows(payloads.read_payloads(spark, payload_path, "recent_plays"))
+def leaderboards(spark: SparkSession, payload_path: str, n: int = 10, multi_line: bool = True) -> dict[str, DataFrame]:
+    """Album and track leaderboards per user over the last plays of all recent-plays payloads."""
+    rows = plays.recent_plays(payloads.read_payloads(spark, payload_path, "recent_plays", multi_line))
 
     def board(kind: str) -> DataFrame:
         labels = [f"{kind}_name", f"{kind}_artists"]
@@ -42,25 +42,29 @@ def leaderboards(spark: SparkSession, payload_path: str, n: int = 10) -> dict[st
 
 
 def top_tracks(spark: SparkSession, payload_path: str, catalog_path: str, artist_path: str,
-               override: str | None = None) -> DataFrame:
-    """Top-tracks document of each user's dominant artist."""
-    documents = payloads.read_payloads(spark, payload_path, "recent_plays")
-    users = documents.select("user_id", "country", market_used(
+               override: str | None = None, multi_line: bool = True) -> DataFrame:
+    """One top-tracks document per user: of the dominant artist of the last plays of all payloads."""
+    documents = payloads.read_payloads(spark, payload_path, "recent_plays", multi_line)
+    users = plays.newest_payloads(documents).select("user_id", "country", market_used(
         F.lit(override).cast("string"), "country").alias("market"))
-    artists = payloads.read_payloads(spark, artist_path, "artist").select(
+    artists = payloads.read_payloads(spark, artist_path, "artist", multi_line).select(
         F.col("id").alias("artist_id"), F.col("name").alias("artist_name"))
-    tracks = payloads.artist_top_tracks(payloads.read_payloads(spark, catalog_path, "artist_top_tracks"))
-    dominant = plays.dominant_artist(plays.play_rows(documents)).join(users, "user_id")
+    tracks = payloads.artist_top_tracks(payloads.read_payloads(spark, catalog_path, "artist_top_tracks", multi_line))
+    dominant = plays.dominant_artist(plays.recent_plays(documents)).join(users, "user_id")
     named = plays.with_names(dominant, artists, "artist_id", "artist_name")
     return catalog.top_tracks_documents(named, tracks)
 
 
 def ingest(spark: SparkSession, tables: str, progress: str, play_topic: str, top_topic: str,
-           path: str | None = None, servers: str | None = None, once: bool = False) -> None:
-    """Messages of both topics into the tables of plays and top-tracks documents."""
+           path: str | None = None, servers: str | None = None, once: bool = False,
+           rate: int | None = None) -> None:
+    """Messages of both topics into the tables of plays and top-tracks documents.
+
+    ``rate`` bounds a batch: offsets of a broker, files of a folder.
+    """
     routes = [flow.play_event_route(play_topic), flow.top_tracks_route(top_topic)]
-    source = (streams.broker_stream(spark, servers, [r.topic for r in routes]) if servers
-              else streams.file_stream(spark, path))
+    source = (streams.broker_stream(spark, servers, [r.topic for r in routes], rate) if servers
+              else streams.file_stream(spark, path, rate))
     query = flow.ingest(source, routes, tables, progress, once=once)
     query.awaitTermination() if once else flow.run_until_stopped(query)
 
@@ -78,28 +82,35 @@ def main(arguments: Sequence[str] | None = None) -> None:
         return sub
 
     command("publish", "payloads", "topic", optional=["market", "path", "servers"])
-    boards = command("leaderboards", "payloads")
+    boards = command("leaderboards", "payloads", "output")
     boards.add_argument("--limit", type=int, default=10)
+    command("compact", "tables", "top-topic")
     command("top-tracks", "payloads", "catalog", "artists", "topic", optional=["market", "path", "servers"])
     messages = command("ingest", "tables", "progress", "play-topic", "top-topic", optional=["path", "servers"])
     messages.add_argument("--once", action="store_true")
-    command("seed", "records", "schema", "table", optional=["key"])
+    messages.add_argument("--rate", type=int, default=100_000, help="offsets, or files, of a batch at most")
+    command("seed", "records", "schema", "table", optional=["key", "order"])
+    for name in ("publish", "leaderboards", "top-tracks", "seed"):
+        commands.choices[name].add_argument("--lines", action="store_true", help="JSON lines, which can be split")
     a = parser.parse_args(arguments)
     spark = build_session(f"playtide {a.command}")
 
     if a.command == "publish":
-        publish(spark, a.payloads, a.topic, a.market, a.path, a.servers)
+        publish(spark, a.payloads, a.topic, a.market, a.path, a.servers, not a.lines)
     elif a.command == "leaderboards":
-        for title, board in leaderboards(spark, a.payloads, a.limit).items():
-            print(f"=== {title} ===")
-            board.select("user_id", "line").show(a.limit, truncate=False)
+        for title, board in leaderboards(spark, a.payloads, a.limit, not a.lines).items():
+            board.write.mode("overwrite").parquet(f"{a.output}/{title}")
     elif a.command == "top-tracks":
-        rows = top_tracks(spark, a.payloads, a.catalog, a.artists, a.market)
+        rows = top_tracks(spark, a.payloads, a.catalog, a.artists, a.market, not a.lines)
         files.write_messages(files.topic_messages(rows, a.topic), a.path, a.servers)
     elif a.command == "ingest":
-        ingest(spark, a.tables, a.progress, a.play_topic, a.top_topic, a.path, a.servers, a.once)
+        ingest(spark, a.tables, a.progress, a.play_topic, a.top_topic, a.path, a.servers, a.once, a.rate)
+    elif a.command == "compact":
+        route = flow.top_tracks_route(a.top_topic)
+        stores.compact_latest(spark, f"{a.tables}/{route.table}", route.stored, route.keys, flow.ARRIVAL)
     elif a.command == "seed":
-        written = stores.seed_if_empty(files.read_records(spark, a.records, a.schema), a.table, a.key)
+        records = files.read_records(spark, a.records, a.schema, not a.lines)
+        written = stores.seed_if_empty(records, a.table, a.key, a.order.split(",") if a.order else ())
         print("seeded" if written else "already has rows")
 
 

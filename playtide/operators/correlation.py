@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from playtide.functions import safe_corr
 
@@ -14,9 +15,9 @@ _PAIRS = 8
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
-    kinds = ("tinyint", "smallint", "int", "bigint", "float", "double")
+    """Columns of numbers, decimals and booleans included."""
     return [f.name for f in df.schema
-            if f.dataType.simpleString() in kinds and f.name not in exclude]
+            if isinstance(f.dataType, (T.NumericType, T.BooleanType)) and f.name not in exclude]
 
 
 def group_correlations(df: DataFrame, by: str, target: str, columns: Sequence[str] | None = None,
@@ -28,7 +29,8 @@ def group_correlations(df: DataFrame, by: str, target: str, columns: Sequence[st
     columns = numeric_columns(df, [by]) if columns is None else columns
     prefix = f"corr_{target}_" if prefix is None else prefix
     return (df.where(F.col(by).isNotNull()).groupBy(by)
-            .agg(*[safe_corr(c, target).alias(prefix + c) for c in columns]))
+            .agg(*[safe_corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(prefix + c)
+                   for c in columns]))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None,

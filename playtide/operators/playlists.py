@@ -33,20 +33,24 @@ def first_of_each_track(entries: DataFrame, playlist: str = "playlist_id", track
     return keep_first(entries, [playlist, track], order)
 
 
-def playlist_tracks(items: DataFrame, limit: int = schemas.PLAYLIST_LIMIT) -> DataFrame:
-    """Distinct named tracks among the first ``limit`` raw entries of each playlist.
+def playlist_tracks(items: DataFrame, limit: int | None = None) -> DataFrame:
+    """Distinct named tracks of each playlist, all or among its first ``limit`` raw entries.
 
     The limit counts raw entries, so fewer tracks may be left.
     """
-    limit = min(limit, schemas.PLAYLIST_LIMIT)
-    return first_of_each_track(listed_tracks(items.where(F.col("position") < limit)))
+    reached = items if limit is None else items.where(F.col("position") < limit)
+    return first_of_each_track(listed_tracks(reached))
+
+
+def positions(entries: DataFrame, playlist: str, order: Sequence[Column | str]) -> DataFrame:
+    """All entries with their 0-based ``position`` in the playlist."""
+    window = W.partitionBy(playlist).orderBy(*order)
+    return entries.withColumn("position", F.row_number().over(window) - 1)
 
 
 def first_entries(entries: DataFrame, n: int, playlist: str, order: Sequence[Column | str]) -> DataFrame:
     """The first ``n`` entries per playlist with their 0-based ``position``."""
-    window = W.partitionBy(playlist).orderBy(*order)
-    return (entries.withColumn("rn", F.row_number().over(window)).where(F.col("rn") <= n)
-            .withColumn("position", F.col("rn") - 1).drop("rn"))
+    return positions(entries, playlist, order).where(F.col("position") < n)
 
 
 def complete_features(features: DataFrame, columns: Sequence[str] = schemas.PROFILE_FEATURES,
@@ -75,32 +79,37 @@ def search_terms(genres: DataFrame, fallbacks: Sequence[str] = ()) -> DataFrame:
 
 
 def pick_playlists(genres: DataFrame, searches: DataFrame, fallbacks: Sequence[str] = (),
-                   limit: int = 3) -> DataFrame:
+                   limit: int | None = None) -> DataFrame:
     """The first playlist found per genre; later search texts count only if none was found.
 
     ``searches`` has ``query, position, playlist_id`` with the positions of usable
-    results; positions from ``limit`` on are out of a result's reach.
+    results; with a ``limit``, later positions are out of a result's reach.
     """
-    found = search_terms(genres, fallbacks).join(searches.where(F.col("position") < limit), "query")
+    reached = searches if limit is None else searches.where(F.col("position") < limit)
+    found = search_terms(genres, fallbacks).join(reached, "query")
     return keep_first(found, ["genre"], ["priority", "position"]).drop("priority", "position", "query")
 
 
 def genre_tracks(genres: DataFrame, searches: DataFrame, items: DataFrame,
-                 n: int = schemas.PLAYLIST_LIMIT, fallbacks: Sequence[str] = ()) -> DataFrame:
-    """Tracks of each genre's playlist; genres without a playlist are left out."""
-    picked = pick_playlists(genres, searches, fallbacks).select("genre", "playlist_id")
-    tracks = playlist_tracks(items, n)
+                 n: int | None = None, fallbacks: Sequence[str] = (), found: int | None = None) -> DataFrame:
+    """Tracks of each genre's playlist; genres without a playlist are left out.
+
+    ``n`` limits the raw entries of a playlist, ``found`` the results of a search. Entries
+    are narrowed to the few picked playlists before anything else is done with them.
+    """
+    picked = pick_playlists(genres, searches, fallbacks, found).select("genre", "playlist_id")
+    tracks = playlist_tracks(items.join(picked, "playlist_id", "left_semi"), n)
     return picked.join(tracks, "playlist_id")
 
 
 def compare_genres(genres: DataFrame, searches: DataFrame, items: DataFrame, analysis: DataFrame,
-                   n: int = schemas.TRACKS_PER_GENRE, feature: str = "danceability",
-                   fallbacks: Sequence[str] = ()) -> DataFrame:
-    """Mean of a feature over the first ``n`` playlist entries per genre, highest first.
+                   n: int | None = None, feature: str = "danceability",
+                   fallbacks: Sequence[str] = (), found: int | None = None) -> DataFrame:
+    """Mean of a feature over all or the first ``n`` playlist entries per genre, highest first.
 
     Genres without a playlist or without any value stay, with a null mean and 0 tracks.
     """
-    tracks = genre_tracks(genres, searches, items, n, fallbacks).select("genre", "track_id")
+    tracks = genre_tracks(genres, searches, items, n, fallbacks, found).select("genre", "track_id")
     values = tracks.join(analysis.select("track_id", feature), "track_id", "left")
     means = values.groupBy("genre").agg(F.avg(feature).alias(f"avg_{feature}"),
                                         F.count(feature).alias("n_tracks"))

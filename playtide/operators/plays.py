@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from playtide import schemas
 from playtide.functions import first_by, int_or_zero, join_names, present, present_values, utc_now_iso
+from playtide.operators.tables import keep_first
 from playtide.sources.payloads import recent_items
 
 
@@ -61,6 +62,22 @@ def play_rows(payloads: DataFrame) -> DataFrame:
         track["artists"].alias("artists"))
 
 
+def recent_plays(payloads: DataFrame, n: int = schemas.RECENT_LIMIT) -> DataFrame:
+    """Each user's newest ``n`` plays out of any number of payloads, which may overlap.
+
+    A play is known by its user, track and time; the same play in several payloads counts once.
+    """
+    rows = keep_first(play_rows(payloads), ["user_id", "track_id", "played_at"], ["idx"])
+    return last_n_plays(rows.drop("idx"), n, tiebreak=["track_id"])
+
+
+def newest_payloads(payloads: DataFrame) -> DataFrame:
+    """One payload per user: the one with the newest play, then with a country, then by country."""
+    newest = F.array_max(F.transform("items", lambda item: item["played_at"]))
+    return keep_first(payloads.withColumn("_newest", newest), ["user_id"], [
+        F.desc_nulls_last("_newest"), F.asc_nulls_last(F.nullif("country", F.lit("")))]).drop("_newest")
+
+
 def last_n_plays(plays: DataFrame, n: int = schemas.RECENT_LIMIT, by: Sequence[str] = ("user_id",),
                  played_at: str = "played_at", tiebreak: Sequence[str] = ()) -> DataFrame:
     """The newest ``n`` plays per user with their position ``idx`` (0 is the newest).

@@ -1,18 +1,17 @@
 """Exact interpolated quantiles without collecting a group in one task.
 
-``percentile`` and ``median`` keep one value-to-count map per group. That is the
-quickest way while groups are small, so the group sizes are counted first. A group
-with a large share of the rows would overflow its map; for such groups up to three
-narrow passes find the same numbers:
-
-1. a sketch over a part of the rows proposes edges around every quantile;
-2. the rows below and at each edge are counted exactly, which settles quantiles
-   that fall on an edge, as they do in columns with many equal values;
-3. for the others, the values between the two edges that enclose the wanted
-   position are counted one by one, in slices, and the slice holding it is ranked.
-
-The sketch decides how many rows pass 3 has to look at, never the result: where
-an edge falls short, the interval simply reaches to the next one or is open.
+One way for groups of any size. The group and value columns are written out once, and
+passes over them find the numbers:
+
+1. a sketch of each group proposes edges around every quantile, and the exact ends;
+2. the rows below and at each edge are counted exactly, which settles quantiles that
+   fall on an edge: all of them in groups that a sketch holds whole, and those in columns
+   with many equal values;
+3. for the others, the values between the two edges that enclose the wanted position are
+   counted one by one, cut into slices at edges that a second sketch proposes, and the
+   slice holding the position is ranked.
+
+A sketch decides how many rows the next pass looks at, never the result.
 """
 
 from __future__ import annotations
@@ -23,60 +22,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from playtide.session import broadcast_if_small, cut
+from playtide.session import cut, work_path
 
-# Rows up to which a group may be held in one map.
-SMALL_GROUP = 125_000
-# Rows of the smallest group beyond that which the sketch sees.
-_SKETCHED = 5_000
 _ACCURACY = 1_000
 # Close edges serve the groups with most rows, wide ones those with fewest.
 _MARGINS = (0.003, 0.03)
 # Slices of the interval between two edges; only one of them is ranked.
-_SLICES = 256
+_SLICES = 64
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], columns: Sequence[str],
-                    probabilities: Sequence[float], small_group: int = SMALL_GROUP) -> DataFrame:
-    """``by..., column, probability, value`` with linear interpolation; missing values left out."""
+                    probabilities: Sequence[float]) -> DataFrame:
+    """``by..., column, probability, value`` with linear interpolation; missing values left out.
+
+    The passes run when this is called; what it returns reads small tables.
+    """
     by = list(by)
     for c in by:
         df = df.where(F.col(c).isNotNull())
     numbers = [F.col(c).cast("double") for c in columns]
     rows = df.select(*by, *[F.when(~F.isnan(v), v).alias(c) for v, c in zip(numbers, columns)])
-    sizes = rows.groupBy(*by).agg(F.count("*").alias("n"))
-    is_large = F.col("n") > small_group
-    groups = sizes.agg(F.count_if(is_large).alias("large"), F.count("*").alias("all")).first()
-    part = min(1.0, _SKETCHED / small_group) if small_group else 1.0
-    if groups["large"] == 0:
-        return _in_one_map(rows, by, columns, probabilities)
-    if groups["large"] == groups["all"]:
-        return _in_passes(rows, by, columns, probabilities, part)
-    large = broadcast_if_small(cut(sizes.where(is_large).select(*by)))
-    return _in_one_map(rows.join(large, by, "left_anti"), by, columns, probabilities).unionByName(
-        _in_passes(rows.join(large, by, "left_semi"), by, columns, probabilities, part))
-
-
-def _in_one_map(rows: DataFrame, by: list[str], columns: Sequence[str],
-                probabilities: Sequence[float]) -> DataFrame:
-    wanted = [float(p) for p in probabilities]
-    found = rows.groupBy(*by).agg(*[F.percentile(c, F.lit(wanted)).alias(c) for c in columns])
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(p).alias("probability"),
-                               F.col(c)[i].alias("value"))
-                      for c in columns for i, p in enumerate(wanted)])
-    return found.select(*by, F.inline(cells))
-
-
-def _in_passes(rows: DataFrame, by: list[str], columns: Sequence[str],
-               probabilities: Sequence[float], part: float) -> DataFrame:
+    path = work_path(df.sparkSession, "quantile-values")
+    rows.write.parquet(path)
+    rows = df.sparkSession.read.schema(rows.schema).parquet(path)
     marks = sorted({min(max(p + sign * margin, 0.0), 1.0)
                     for p in probabilities for margin in _MARGINS for sign in (-1, 1)})
-    seen = rows.sample(part, seed=1) if part < 1 else rows
-    sketch = cut(seen.groupBy(*by).agg(
-        *[F.percentile_approx(c, marks, _ACCURACY).alias(f"{c}~edges") for c in columns]))
+    sketch = cut(rows.groupBy(*by).agg(*[
+        F.concat(F.percentile_approx(c, marks, _ACCURACY), F.array(F.min(c), F.max(c))).alias(f"{c}~edges")
+        for c in columns]))
     counts = _attach(rows, sketch, by).groupBy(*by).agg(
         *[F.count(c).alias(f"{c}~n") for c in columns],
-        *[F.array(*[F.count_if(compare(F.col(c), F.col(f"{c}~edges")[i])) for i in range(len(marks))])
+        *[F.array(*[F.count_if(compare(F.col(c), F.col(f"{c}~edges")[i])) for i in range(len(marks) + 2)])
           .alias(f"{c}~{name}") for c in columns for name, compare in _COMPARE.items()])
     wanted = cut(_positions(_attach(counts, sketch, by), by, columns, probabilities))
 
@@ -93,24 +69,23 @@ def _in_passes(rows: DataFrame, by: list[str], columns: Sequence[str],
 
 
 def group_quantiles(df: DataFrame, by: Sequence[str], columns: Sequence[str],
-                    probabilities: dict[str, float], small_group: int = SMALL_GROUP) -> DataFrame:
+                    probabilities: dict[str, float]) -> DataFrame:
     """One row per group with a column ``<column><suffix>`` per suffix and probability."""
-    long = exact_quantiles(df, by, columns, list(probabilities.values()), small_group)
+    long = exact_quantiles(df, by, columns, list(probabilities.values()))
     wide = [F.max(F.when((F.col("column") == c) & (F.col("probability") == p), F.col("value")))
             .alias(f"{c}{suffix}") for c in columns for suffix, p in probabilities.items()]
     return long.groupBy(*by).agg(*wide)
 
 
-def group_medians(df: DataFrame, by: Sequence[str], columns: Sequence[str],
-                  small_group: int = SMALL_GROUP) -> DataFrame:
+def group_medians(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Exact median of every column per group."""
-    return group_quantiles(df, by, columns, {"": 0.5}, small_group)
+    return group_quantiles(df, by, columns, {"": 0.5})
 
 
 def _attach(rows: DataFrame, per_group: DataFrame, by: list[str]) -> DataFrame:
     """Per-group columns on every row; without groups, the one row's values as literals."""
     if by:
-        return rows.join(broadcast_if_small(per_group), by, "left")
+        return rows.join(per_group, by, "left")
     only = per_group.select(F.to_json(F.struct("*")).alias("text")).first()["text"]
     schema = per_group.schema
     return (rows.withColumn("_all", F.from_json(F.lit(only), schema, {
@@ -172,10 +147,13 @@ def _rank_between(rows: DataFrame, unsettled: DataFrame, by: list[str],
               .groupBy(*by, "hit.column", "hit.target.position", "hit.target.before",
                        "hit.target.above", "hit.target.under", "hit.value")
               .agg(F.count("*").alias("n")))
-    share = F.try_divide(F.col("value") - F.col("above"), F.col("under") - F.col("above"))
-    pulled = pulled.withColumn("slice", F.coalesce(
-        F.least(F.floor(share * _SLICES), F.lit(_SLICES - 1)), F.lit(0)))
     target = [*by, "column", "position"]
+    pulled = cut(pulled)
+    shares = [i / _SLICES for i in range(1, _SLICES)]
+    edges = pulled.groupBy(*target).agg(F.percentile_approx("value", shares, _ACCURACY).alias("edges"))
+    value = F.col("value")
+    pulled = pulled.join(edges, target).withColumn(
+        "slice", F.size(F.filter("edges", lambda edge: edge < value))).drop("edges")
 
     def running(order: str, *keys: str) -> Column:
         return F.sum("n").over(W.partitionBy(*target, *keys).orderBy(order)

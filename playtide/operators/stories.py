@@ -17,7 +17,7 @@ from playtide.functions import camelot_code
 from playtide.operators.catalog import top_per_group
 from playtide.operators.quantiles import exact_quantiles
 from playtide.operators.tables import group_means, top_groups
-from playtide.session import broadcast_if_small, cut
+from playtide.session import cut
 
 MS_PER_HOUR = 3_600_000
 
@@ -82,7 +82,7 @@ def success_profile(tracks: DataFrame, features: Sequence[str], top_share: float
     """
     limits = exact_quantiles(tracks, ["genre"], ["popularity"], [1 - top_share]).select(
         "genre", F.col("value").alias("limit"))
-    tagged = tracks.join(broadcast_if_small(cut(limits)), "genre").withColumn(
+    tagged = tracks.join(cut(limits), "genre").withColumn(
         "successful", F.col("popularity") >= F.col("limit"))
     return (tagged.where(F.col("successful").isNotNull()).groupBy("genre", "successful")
             .agg(F.count("*").alias("tracks"), *[F.avg(c).alias(c) for c in features]))
@@ -231,7 +231,7 @@ def bridge_tracks(tracks: DataFrame, styles: DataFrame, pairs: DataFrame, featur
     candidates = (tracks.where(F.col("tempo") > 0)
                   .withColumn("code", F.concat(position.cast("string"), letter))
                   .withColumn("bucket", bucket(F.col("tempo"))))
-    matches = (candidates.join(broadcast_if_small(cut(wanted)), ["code", "bucket"])
+    matches = (candidates.join(wanted, ["code", "bucket"])
                .where(F.col("tempo").between(F.col("slow"), F.col("fast")))
                .withColumn("distance", F.round(distance, 6))
                .select("from_style", "to_style", "track_id", "distance"))

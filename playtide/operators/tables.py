@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from playtide.functions import present
 from playtide.session import cut
 
 
@@ -119,15 +118,11 @@ def label_codes(df: DataFrame, column: str, code: str) -> DataFrame:
 
 
 def label_encode(df: DataFrame, column: str, code: str) -> DataFrame:
-    """Rows with the code of their value; rows without a value keep a null code."""
-    return df.join(label_codes(df, column, code), column, "left")
-
-
-def rows_with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows where every key is neither null nor empty."""
-    for key in keys:
-        df = df.where(present(key))
-    return df
+    """Rows with the code of their value; rows without a value keep a null code and are not shuffled."""
+    codes = label_codes(df, column, code)
+    coded = df.where(F.col(column).isNotNull()).join(codes, column)
+    without = df.where(F.col(column).isNull()).withColumn(code, F.lit(None).cast(codes.schema[code].dataType))
+    return coded.unionByName(without)
 
 
 def stack_rows(frames: Sequence[DataFrame]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,7 +11,7 @@ from playtide.operators import catalog, plays as listening, tables
 from playtide.plans import bindings as b
 from playtide.plans import pipelines
 from playtide.plans.registry import query
-from playtide.schemas import RECENT_ITEM, TOP_TRACKS, TOP_TRACKS_EVENT_TYPE
+from playtide.schemas import ARTIST_TOP_TRACKS, RECENT_ITEM, RECENT_LIMIT, TOP_TRACKS, TOP_TRACKS_EVENT_TYPE
 from playtide.sources import payloads
 from playtide.sources.files import topic_messages as as_messages
 
@@ -192,8 +193,8 @@ def top_tracks_document(spark, sf_dir):
         F.size("tracks").cast("bigint").alias("n_tracks"), F.array_join(text, ",").alias("tracks"))
 
 
-def _recent_payloads(spark, sf_dir):
-    """Recent-plays payload texts, one per user with at most 50 items, newest first."""
+def _payload_texts(plays):
+    """Recent-plays payload texts out of plays with ``page`` and ``idx``, items in that order."""
     track = F.struct(
         F.col("track_id").alias("id"), F.col("track_name").alias("name"),
         F.when(F.col("duration_ms") > 20, F.floor("duration_ms")).alias("duration_ms"), "artists",
@@ -201,16 +202,21 @@ def _recent_payloads(spark, sf_dir):
             F.col("album_id").alias("id"), F.col("album_name").alias("name"),
             F.lit("2020").alias("release_date"))).alias("album"))
     item = F.struct("idx", F.date_format("played_at", ISO).alias("played_at"), track.alias("track"))
-    recent = _recent(spark, sf_dir).select("user_id", item.alias("item"))
-    # At most 50 items per user were left by the rank filter.
-    lists = recent.groupBy("user_id").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    lists = (plays.select("user_id", "page", item.alias("item")).groupBy("user_id", "page")
+             .agg(F.array_sort(F.collect_list("item")).alias("items")))
     return lists.select(F.to_json(F.struct(
         F.col("user_id").cast("string").alias("user_id"), F.lit("AT").alias("country"),
         "items")).alias("payload"))
 
 
+def _payloads(texts):
+    schema = T.StructType([T.StructField("user_id", T.StringType()), T.StructField("country", T.StringType()),
+                           T.StructField("items", T.ArrayType(RECENT_ITEM))])
+    return payloads.parse_payloads(texts, "payload", schema)
+
+
 @query(f"""
-WITH {b.LAST_50}
+WITH {b.PLAYS}
 SELECT '1.0' AS event_version, 'recent_play' AS event_type,
        '2024-02-01T00:00:00.000000+00:00' AS generated_at, CAST(user_id AS VARCHAR) AS user_id,
        'AT' AS country, 'AT' AS market_used, strftime(played_at, '{SQL_ISO}') AS played_at,
@@ -222,17 +228,47 @@ SELECT '1.0' AS event_version, 'recent_play' AS event_type,
        CASE WHEN album_id <> 'error' THEN '2020' END AS album_release_date,
        concat_ws(',', nullif(artist_1, ''), nullif(artist_2, '')) AS artist_ids,
        replace(track_artists, ', ', ',') AS artist_names
-FROM last_plays""")
+FROM plays""")
 def play_events(spark, sf_dir):
-    schema = T.StructType([T.StructField("user_id", T.StringType()), T.StructField("country", T.StringType()),
-                           T.StructField("items", T.ArrayType(RECENT_ITEM))])
-    parsed = payloads.parse_payloads(_recent_payloads(spark, sf_dir), "payload", schema)
+    """All plays, out of payloads of up to 50 plays of a user's day each."""
+    day = F.to_date("played_at")
+    newest = W.partitionBy("user_id", day).orderBy(F.desc("played_at"), "event_id")
+    place = F.row_number().over(newest) - 1
+    paged = (b.plays(spark, sf_dir).withColumn("place", place).withColumn("idx", F.col("place") % RECENT_LIMIT)
+             .withColumn("page", F.struct(day.alias("day"), F.floor(F.col("place") / RECENT_LIMIT).alias("n"))))
     now = F.to_timestamp_ltz(F.lit("2024-02-01T00:00:00Z"))
-    events = listening.play_events(parsed, now=now)
+    events = listening.play_events(_payloads(_payload_texts(paged)), now=now)
     return (events.withColumn("artist_ids", F.array_join("artist_ids", ","))
             .withColumn("artist_names", F.array_join("artist_names", ",")))
 
 
+@query(f"""
+WITH {b.PLAYS},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY played_at DESC, track_id) AS rn FROM (
+  SELECT DISTINCT user_id, played_at, track_id, track_name, track_artists FROM plays)),
+recent AS (SELECT *, rn - 1 AS idx FROM ranked WHERE rn <= 50),
+stats AS (SELECT user_id, track_id, count(*) AS plays, min(idx) AS first_idx, arg_min(track_name, idx) AS name
+          FROM recent WHERE track_id <> '' GROUP BY user_id, track_id),
+board AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY plays DESC, first_idx, lower(name)) AS rank
+          FROM stats)
+SELECT CAST(user_id AS VARCHAR) AS user_id, rank, track_id, plays, CAST(first_idx AS BIGINT) AS first_idx
+FROM board WHERE rank <= 10""")
+def leaderboard_from_payloads(spark, sf_dir):
+    """Boards over each user's last 50 plays, out of payloads that overlap by half."""
+    newest = W.partitionBy("user_id").orderBy(F.desc("played_at"), "event_id")
+    plays = b.plays(spark, sf_dir).withColumn("place", F.row_number().over(newest) - 1)
+    half = RECENT_LIMIT // 2
+    # Every play is in two payloads: the one that begins with its half, and the one before.
+    runs = F.array(F.floor(F.col("place") / half), F.floor(F.col("place") / half) - 1)
+    overlapping = (plays.withColumn("page", F.explode(runs))
+                   .withColumn("idx", F.col("place") - F.col("page") * half))
+    rows = listening.recent_plays(_payloads(_payload_texts(overlapping)))
+    stats = listening.listening_stats(rows, "track_id", ["track_name"])
+    return listening.leaderboard(stats, "track_name", 10).select(
+        "user_id", F.col("rank").cast("bigint").alias("rank"), "track_id", "plays",
+        F.col("first_idx").cast("bigint").alias("first_idx"))
+
+
 @query(f"""
 WITH {b.LAST_50}
 SELECT user_id, count(*) AS plays, arg_min(played_at, idx) AS newest_played_at
@@ -247,6 +283,27 @@ def timeline(spark, sf_dir):
             .select("user_id", "played_at", "track_id"))
 
 
+@query(f"""
+WITH {_RANKED_ARTISTS}, {_CATALOG}
+SELECT artist_id, market, CAST(rank - 1 AS BIGINT) AS position, track_id, track_name, printf('%02d:%02d',
+       duration_ms // 60000, (duration_ms // 1000) % 60) AS length, duration_ms // 1000 AS seconds
+FROM catalog""")
+def catalogue_payloads(spark, sf_dir):
+    """Top tracks per artist and market as JSON payloads, flattened again."""
+    placed = W.partitionBy("artist_id", "market").orderBy("position")
+    entry = F.struct((F.row_number().over(placed) - 1).alias("place"), "track")
+    lists = (_catalog(spark, sf_dir).select("artist_id", "market", entry.alias("entry")).groupBy("artist_id", "market")
+             .agg(F.array_sort(F.collect_list(F.struct(F.col("entry.place").alias("place"), F.col("entry.track").alias("track"))))
+                  .alias("entries")))
+    texts = lists.select(F.to_json(F.struct("artist_id", "market", F.transform("entries", lambda e: e["track"])
+                                            .alias("tracks"))).alias("payload"))
+    rows = payloads.artist_top_tracks(payloads.parse_payloads(texts, "payload", ARTIST_TOP_TRACKS))
+    ms = F.col("track.duration_ms")
+    return rows.select("artist_id", "market", F.col("position").cast("bigint").alias("position"),
+                       F.col("track.id").alias("track_id"), F.col("track.name").alias("track_name"),
+                       P.ms_to_mmss(ms).alias("length"), P.seconds(ms).alias("seconds"))
+
+
 @query("""
 SELECT l_orderkey, l_linenumber, l_quantity,
        printf('%02d:%02d', CAST(floor(l_extendedprice * 100) AS BIGINT) // 60000,

@@ -43,12 +43,9 @@ def playlist_table(spark, sf_dir):
 
 
 @query("""
-SELECT playlist_name, _id FROM (
-  SELECT o_orderpriority AS playlist_name, CAST(o_orderkey AS VARCHAR) AS _id FROM orders
-  WHERE o_custkey = (SELECT max(c_custkey) FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)))""")
+SELECT o_orderpriority AS playlist_name, CAST(o_orderkey AS VARCHAR) AS _id FROM orders""")
 def columns_from(spark, sf_dir):
-    owner = b.table(spark, sf_dir, "orders").agg(F.max("o_custkey")).scalar()
-    rows = b.playlists(spark, sf_dir).where(F.col("owner_id") == owner).select(
+    rows = b.playlists(spark, sf_dir).select(
         "owner_id", "playlist_name", F.col("playlist_id").cast("string").alias("_id"))
     return tables.columns_from(rows, "playlist_name")
 
@@ -89,9 +86,8 @@ def _searches(spark, sf_dir):
 
 
 def _found(spark, sf_dir):
-    """The three first results per query text with their positions."""
-    first = ops.first_entries(_searches(spark, sf_dir).withColumnRenamed("query", "q"), 3, "q", ["found"])
-    return first.select(F.col("q").alias("query"), "position", "playlist_id")
+    """All results per query text with their positions."""
+    return ops.positions(_searches(spark, sf_dir), "query", ["found"]).select("query", "position", "playlist_id")
 
 
 def _genres(spark, sf_dir):
@@ -103,6 +99,7 @@ def _genres(spark, sf_dir):
 
 
 FALLBACKS = ["{}HIGH", "{}LOW"]
+FOUND = 3  # results of a search that are looked at
 _PICKED = """
 genres AS (SELECT DISTINCT unnest([o_orderpriority, substr(o_orderpriority, 1, 2), 'unknown']) AS genre
            FROM orders),
@@ -120,7 +117,7 @@ picked AS (SELECT genre, playlist_id FROM (
 
 @query(f"WITH {_PICKED} SELECT genre, playlist_id FROM picked")
 def first_playlist_per_genre(spark, sf_dir):
-    return ops.pick_playlists(_genres(spark, sf_dir), _found(spark, sf_dir), FALLBACKS)
+    return ops.pick_playlists(_genres(spark, sf_dir), _found(spark, sf_dir), FALLBACKS, FOUND)
 
 
 _FIRST = f"""
@@ -137,13 +134,13 @@ def first_n_per_playlist(spark, sf_dir):
 
 
 def _items(spark, sf_dir):
-    """The first entries of every playlist as raw items; tracks of quantity 1 have no id."""
-    first = ops.first_entries(b.entries(spark, sf_dir), 3, "playlist_id", b.ENTRY_ORDER)
+    """All entries of every playlist as raw items; tracks of quantity 1 have no id."""
+    placed = ops.positions(b.entries(spark, sf_dir), "playlist_id", b.ENTRY_ORDER)
     track = F.struct(
         F.when(F.col("tempo") != 1, F.col("track_id").cast("string")).alias("id"),
         F.concat(F.lit("Track "), F.col("track_id").cast("string")).alias("name"),
         F.array(F.struct(F.lit("a").alias("id"), F.lit("A").alias("name"))).alias("artists"))
-    return first.select("playlist_id", "position", track.alias("track"))
+    return placed.select("playlist_id", "position", track.alias("track"))
 
 
 _VALUES = """
@@ -162,7 +159,8 @@ def _analysis(spark, sf_dir):
 
 @query(f"WITH {_PICKED}, {_FIRST}, {_VALUES} SELECT genre, playlist_id, track_id FROM chosen JOIN picked USING (genre)")
 def first_n_per_genre(spark, sf_dir):
-    tracks = ops.genre_tracks(_genres(spark, sf_dir), _found(spark, sf_dir), _items(spark, sf_dir), 3, FALLBACKS)
+    tracks = ops.genre_tracks(_genres(spark, sf_dir), _found(spark, sf_dir), _items(spark, sf_dir), 3, FALLBACKS,
+                              FOUND)
     return tracks.select("genre", "playlist_id", "track_id")
 
 
@@ -172,7 +170,7 @@ SELECT genre, round(avg(danceability), 6) AS avg_danceability, count(danceabilit
 FROM genres LEFT JOIN chosen USING (genre) LEFT JOIN features USING (track_id) GROUP BY genre""")
 def compare_genres(spark, sf_dir):
     table = ops.compare_genres(_genres(spark, sf_dir), _found(spark, sf_dir), _items(spark, sf_dir),
-                               _analysis(spark, sf_dir), n=3, fallbacks=FALLBACKS)
+                               _analysis(spark, sf_dir), n=3, fallbacks=FALLBACKS, found=FOUND)
     return table.withColumn("avg_danceability", F.round("avg_danceability", 6))
 
 
@@ -221,10 +219,10 @@ SELECT playlist_id AS album_id, position, track_id, name FROM (
   SELECT CAST(l_orderkey AS VARCHAR) AS playlist_id, CAST(l_partkey AS VARCHAR) AS track_id,
          'Track ' || l_partkey AS name,
          row_number() OVER (PARTITION BY l_orderkey ORDER BY {_ORDER}) - 1 AS position
-  FROM lineitem) WHERE position < 7""")
+  FROM lineitem)""")
 def album_pages(spark, sf_dir):
-    """The first seven entries per order as JSON pages of three, put together again."""
-    first = ops.first_entries(b.entries(spark, sf_dir), 7, "playlist_id", b.ENTRY_ORDER)
+    """All entries of all orders as JSON pages of three, put together again."""
+    first = ops.positions(b.entries(spark, sf_dir), "playlist_id", b.ENTRY_ORDER)
     place = F.col("position").cast("bigint")
     track = F.struct("position", F.col("track_id").cast("string").alias("id"),
                      F.concat(F.lit("Track "), F.col("track_id").cast("string")).alias("name"))
@@ -239,16 +237,19 @@ def album_pages(spark, sf_dir):
 
 @query("""
 SELECT query, CAST(position AS INTEGER) AS position, playlist_id FROM (
-  SELECT o_orderpriority AS query, CAST(o_orderkey AS VARCHAR) AS playlist_id, o_totalprice,
-         row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) - 1 AS position
+  SELECT o_orderpriority || ' ' || o_custkey AS query, CAST(o_orderkey AS VARCHAR) AS playlist_id,
+         row_number() OVER (PARTITION BY o_orderpriority, o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS position
   FROM orders) WHERE position < 5 AND position <> 1""")
 def playlist_search(spark, sf_dir):
-    """The first orders per priority as a search result in JSON; the second one has no name."""
-    first = ops.first_entries(_searches(spark, sf_dir).withColumnRenamed("query", "q"), 9, "q", ["found"])
+    """The orders per customer and priority as a search result in JSON; the second one has no name."""
+    text = F.concat_ws(" ", "o_orderpriority", "o_custkey")
+    searches = b.table(spark, sf_dir, "orders").select(
+        text.alias("q"), F.col("o_orderkey").alias("playlist_id"), F.struct("o_orderdate", "o_orderkey").alias("found"))
+    placed = ops.positions(searches, "q", ["found"])
     entry = F.struct("position", F.col("playlist_id").cast("string").alias("id"),
                      F.when(F.col("position") != 1, F.lit("N")).otherwise(F.lit("")).alias("name"))
-    # Nine results per text at most.
-    results = first.groupBy("q").agg(F.array_sort(F.collect_list(entry)).alias("items"))
+    # A result holds one customer's orders of one priority.
+    results = placed.groupBy("q").agg(F.array_sort(F.collect_list(entry)).alias("items"))
     texts = results.select(F.to_json(F.struct(
         F.col("q").alias("query"), F.struct("items").alias("playlists"))).alias("result"))
     found = payloads.search_results(payloads.parse_payloads(texts, "result", SEARCH_RESULT), 5)
@@ -278,14 +279,14 @@ def record_files(spark, sf_dir):
     rows = b.table(spark, sf_dir, "orders").select(
         "o_orderkey", F.nullif("o_orderpriority", F.lit("5-LOW")).alias("o_orderpriority"), "o_totalprice")
     files.write_records(rows, path)
-    return spark.read.schema(rows.schema).json(path)
+    return files.read_records(spark, path, rows.schema, multi_line=False)
 
 
 @query("""
 SELECT CAST(row_number() OVER (ORDER BY p_type) - 1 AS BIGINT) AS row_id, p_type, round(avg(p_size), 6) AS p_size
 FROM part GROUP BY p_type""")
 def column_json(spark, sf_dir):
-    """Means per genre written column by column and read back."""
+    """Means per genre written column by column, a document per run of rows, and read back."""
     path = work_path(spark, "columns")
     means = tables.group_means(b.table(spark, sf_dir, "part"), ["p_type"], ["p_size"])
     files.write_column_json(tables.number_rows(means, ["p_type"], "row_id"), path, "row_id")

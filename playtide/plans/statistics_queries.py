@@ -94,8 +94,7 @@ def genre_median_all(spark, sf_dir):
 
 @query(f"WITH {b.TRACKS} SELECT genre, {_each('round(median({c}), 6) AS {c}')} FROM tracks GROUP BY genre")
 def genre_median_large_groups(spark, sf_dir):
-    """The form for groups that are too large for one map, whatever their size here."""
-    return _rounded(quantiles.group_medians(b.tracks(spark, sf_dir), ["genre"], COLUMNS, small_group=0), COLUMNS)
+    return _rounded(quantiles.group_medians(b.tracks(spark, sf_dir), ["genre"], COLUMNS), COLUMNS)
 
 
 _CODED = f"""{_KEPT},
@@ -139,6 +138,33 @@ def corr_with_constant(spark, sf_dir):
     return table.select("p_type", F.round("p_retailprice", 6).alias("corr"), F.col("one").alias("constant"))
 
 
+@query(f"WITH {b.TRACKS} SELECT genre, CAST(NULL AS DOUBLE) AS tenth, CAST(NULL AS DOUBLE) AS large, "
+       "CAST(NULL AS DOUBLE) AS itself FROM tracks GROUP BY genre")
+def corr_inexact_constant(spark, sf_dir):
+    """Constants whose sums are not exact, over many partitions: undefined all the same."""
+    rows = (b.tracks(spark, sf_dir).repartition(16).withColumn("tenth", F.lit(0.1))
+            .withColumn("large", F.lit(123456.789)))
+    table = correlation.group_correlations(rows, "genre", "popularity", ["tenth", "large"], prefix="")
+    whole = correlation.correlation_matrix(rows, ["tenth", "large"]).where("column_x = column_y").agg(
+        F.max("corr").alias("itself"))
+    return table.select("genre", "tenth", "large", whole.scalar().alias("itself"))
+
+
+_KINDS = """
+k AS (SELECT *, CAST(l_extendedprice AS DOUBLE) AS price, l_quantity > 25 AS many FROM lineitem)"""
+
+
+@query(f"WITH {_KINDS} " + " UNION ALL ".join(
+    f"SELECT '{x}' AS column_x, '{y}' AS column_y, round(corr(CAST({x} AS DOUBLE), CAST({y} AS DOUBLE)), 6) AS corr FROM k"
+    for x in ("price", "many", "l_discount") for y in ("price", "many", "l_discount")))
+def corr_matrix_kinds(spark, sf_dir):
+    """A decimal, a boolean and a double column."""
+    rows = b.table(spark, sf_dir, "lineitem").select(
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("price"), (F.col("l_quantity") > 25).alias("many"),
+        "l_discount")
+    return _rounded(correlation.correlation_matrix(rows), ["corr"])
+
+
 @query("SELECT l_discount AS value, count(*) AS n FROM lineitem GROUP BY l_discount")
 def value_counts_feature(spark, sf_dir):
     return tables.value_counts(
@@ -249,10 +275,9 @@ def box_summary_by_type(spark, sf_dir):
     f"round(quantile_cont(value, {p}), 6) AS value_{n}" for n, p in (("min", 0), ("p01", 0.01), ("p50", 0.5), ("max", 1)))
     + " FROM events")
 def quantiles_large_table(spark, sf_dir):
-    """Quantiles of a whole table, in the form for tables of any size."""
     table = quantiles.group_quantiles(
         b.table(spark, sf_dir, "events"), [], ["value"],
-        {"_min": 0.0, "_p01": 0.01, "_p50": 0.5, "_max": 1.0}, small_group=0)
+        {"_min": 0.0, "_p01": 0.01, "_p50": 0.5, "_max": 1.0})
     return _rounded(table, table.columns)
 
 

@@ -1,15 +1,10 @@
-"""Session defaults, the shared scratch folder, and size-checked broadcasts."""
+"""Session defaults and the shared scratch folder."""
 
 from __future__ import annotations
 
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Rows a side may have before it is no longer broadcast by hand. The sides that
-# are passed here are narrow (a key and a few numbers per group).
-BROADCAST_ROWS = 100_000
 
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -60,14 +55,3 @@ def cut(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting that ``df`` holds at most ``max_rows``.
-
-    Beyond that the frame is returned without a hint, so the join is planned as
-    a shuffle join that AQE can split on hot keys.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df

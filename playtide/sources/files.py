@@ -19,9 +19,12 @@ def read_catalogue(spark: SparkSession, path: str,
     return nan_to_null(rows.drop("_row"))
 
 
-def read_records(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """JSON files holding an array of records, or one record per file."""
-    return spark.read.schema(schema).json(path, multiLine=True)
+def read_records(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = True) -> DataFrame:
+    """JSON files holding an array of records, one record per file, or one per line.
+
+    ``multi_line`` files are each read by one task; lines (``multi_line=False``) can be split.
+    """
+    return spark.read.schema(schema).json(path, multiLine=multi_line)
 
 
 def write_records(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -29,12 +32,12 @@ def write_records(df: DataFrame, path: str, mode: str = "errorifexists") -> None
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
-def read_column_json(spark: SparkSession, path: str, types: dict[str, str]) -> DataFrame:
+def read_column_json(spark: SparkSession, path: str, types: dict[str, str], multi_line: bool = False) -> DataFrame:
     """Column-wise JSON ``{"column": {"0": value, ...}, ...}`` as rows with their ``row_id``.
 
-    Such a file is one single record, so it is for small exported results only.
+    One document per line; a file that is one single document is read with ``multi_line``.
     """
-    text = spark.read.text(path, wholetext=True)
+    text = spark.read.text(path, wholetext=multi_line)
     columns = F.from_json("value", "map<string,map<string,string>>")
     cells = (text.select(F.explode(columns).alias("name", "cells"))
              .select("name", F.explode("cells").alias("row_id", "cell")))
@@ -43,20 +46,20 @@ def read_column_json(spark: SparkSession, path: str, types: dict[str, str]) -> D
                    for name, kind in types.items()]))
 
 
-def write_column_json(df: DataFrame, path: str, row_id: str, max_rows: int = 10_000) -> None:
-    """Write a small result in the column-wise form that ``read_column_json`` reads.
+def write_column_json(df: DataFrame, path: str, row_id: str, rows_per_document: int = 1_000) -> None:
+    """Write rows in the column-wise form that ``read_column_json`` reads.
 
-    The form is one record; results above ``max_rows`` belong in ``write_records``.
+    Each line is one document with a run of ``rows_per_document`` row numbers, so a result of
+    any size is written by many tasks.
     """
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"more than {max_rows} rows: use write_records")
     columns = [c for c in df.columns if c != row_id]
-    document = df.agg(*[
+    run = F.floor(F.col(row_id) / rows_per_document).alias("run")
+    documents = df.groupBy(run).agg(*[
         F.map_from_entries(F.array_sort(F.collect_list(
             F.struct(F.col(row_id).alias("row_id"), F.col(c).alias("cell"))))).alias(c)
         for c in columns])
     text = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
-    document.select(text.alias("value")).coalesce(1).write.text(path)
+    documents.select(text.alias("value")).write.text(path)
 
 
 def topic_messages(df: DataFrame, topic: str) -> DataFrame:

@@ -38,20 +38,18 @@ def parse_payloads(texts: DataFrame, column: str, schema: T.StructType) -> DataF
         *[c for c in texts.columns if c != column], f"{column}.*")
 
 
-def recent_items(payloads: DataFrame, limit: int = schemas.RECENT_LIMIT) -> DataFrame:
-    """One row per played item with its position ``idx`` (0 is the newest)."""
-    limit = min(limit, schemas.RECENT_LIMIT)
+def recent_items(payloads: DataFrame, limit: int | None = None) -> DataFrame:
+    """One row per played item with its position ``idx`` (0 is the newest), all or the first ``limit``."""
     keep = [c for c in payloads.columns if c != "items"]
-    items = F.slice("items", 1, limit)
+    items = F.col("items") if limit is None else F.slice("items", 1, limit)
     return payloads.select(*keep, F.posexplode(items).alias("idx", "item")).select(
         *keep, "idx", "item.played_at", "item.track")
 
 
 def paged_items(pages: DataFrame, by: str = "album_id") -> DataFrame:
-    """Items of all pages with their position over the pages, in order."""
+    """Items of all pages with their ``position`` over the pages."""
     return (pages.select(by, "offset", F.posexplode("items").alias("pos", "item"))
-            .select(by, (F.coalesce("offset", F.lit(0)) + F.col("pos")).alias("position"), "item.*")
-            .orderBy(by, "position"))
+            .select(by, (F.coalesce("offset", F.lit(0)) + F.col("pos")).alias("position"), "item.*"))
 
 
 def artist_top_tracks(payloads: DataFrame) -> DataFrame:
@@ -60,10 +58,10 @@ def artist_top_tracks(payloads: DataFrame) -> DataFrame:
                            F.posexplode("tracks").alias("position", "track"))
 
 
-def search_results(payloads: DataFrame, limit: int = 5) -> DataFrame:
-    """Playlists found per query, without entries lacking an id or a name."""
-    found = payloads.select("query", F.posexplode(F.slice("playlists.items", 1, limit))
-                            .alias("position", "item"))
+def search_results(payloads: DataFrame, limit: int | None = None) -> DataFrame:
+    """Playlists found per query, all or among the first ``limit``, without those lacking an id or a name."""
+    items = F.col("playlists.items") if limit is None else F.slice("playlists.items", 1, limit)
+    found = payloads.select("query", F.posexplode(items).alias("position", "item"))
     return (found.where(present("item.id") & present("item.name"))
             .select("query", "position", F.col("item.id").alias("playlist_id"),
                     F.col("item.name").alias("playlist_name")))

@@ -18,6 +18,7 @@ from playtide.streaming import stores
 
 ARRIVAL = ["timestamp", "partition", "offset"]
 PREVIEW_CHARS = 120
+_STRICT = {"allowSingleQuotes": "false"}
 
 
 @dataclass(frozen=True)
@@ -67,12 +68,16 @@ def parse_messages(messages: DataFrame, routes: Sequence[Route]) -> DataFrame:
     """
     data = F.struct(*[
         F.when(F.col("topic") == route.topic, F.from_json("value", _with_corrupt(route.schema), {
-            "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})).alias(f"data_{i}")
+            **_STRICT, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})).alias(f"data_{i}")
         for i, route in enumerate(routes)])
+    # A parser with a schema stops at the end of the first object. As the one element of an
+    # array the whole text must be JSON, and one value.
+    alone = F.size(F.from_json(F.concat(F.lit("["), "value", F.lit("]")), "array<string>", _STRICT)) == 1
+    whole = F.coalesce(alone & F.col("value").rlike(r"\A[ \t\r\n]*\{"), F.lit(False))
     # As a generated row the fields are parsed once, not again in every filter on them.
     parsed = messages.select(
         "topic", *ARRIVAL, F.substring("value", 1, PREVIEW_CHARS).alias("value_preview"),
-        F.coalesce(F.ltrim("value").startswith("{"), F.lit(False)).alias("_object"),
+        whole.alias("_object"),
         F.inline(F.array(data)))
     reason = F.lit(None).cast("string")
     known = F.lit(False)

@@ -1,8 +1,9 @@
 """Keyed Parquet tables that can be written again and again without doubling rows.
 
-Every write goes to its own folder ``ingest=<id>``, which a retry replaces. The
-id names the streaming query and the batch, so batches of another checkpoint
-never overwrite each other. There is one writer per table.
+Every write goes to folders ``ingest=<id>`` of its own, which a retry replaces; in insert
+tables they lie inside the folders of the days. The id names the streaming query and the
+batch, so batches of another checkpoint never overwrite each other. There is one writer
+per table.
 """
 
 from __future__ import annotations
@@ -15,10 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playtide.operators.tables import keep_first
-from playtide.session import broadcast_if_small
-
-# Days a batch may span before the stored days are no longer picked by a list.
-_MAX_DAYS = 400
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -51,7 +48,8 @@ def insert_if_absent(batch: DataFrame, path: str, keys: Sequence[str], order: Se
     """Add rows whose key is not stored yet; within the batch the first by ``order`` counts.
 
     ``day_of`` is a key column holding an ISO time. Its day partitions the table, so
-    equal keys share a day and only the days in the batch are searched.
+    equal keys share a day and only the days in the batch are read: the join with them
+    prunes the scan when it runs.
     """
     spark = batch.sparkSession
     day = F.coalesce(F.regexp_extract(day_of, r"^\d{4}-\d{2}-\d{2}", 0), F.lit(""))
@@ -59,23 +57,28 @@ def insert_if_absent(batch: DataFrame, path: str, keys: Sequence[str], order: Se
     rows = keep_first(batch, keys, order)
     if path_exists(spark, path):
         columns = T.StructType([batch.schema[k] for k in keys])
-        stored = (spark.read.schema(_schema(columns, "ingest", "day"))
+        stored = (spark.read.schema(_schema(columns, "day", "ingest"))
                   .option("basePath", path).parquet(path).where(F.col("ingest") != ingest))
-        days = [r["day"] for r in batch.select("day").distinct().limit(_MAX_DAYS + 1).collect()]
-        if len(days) <= _MAX_DAYS:
-            stored = stored.where(F.col("day").isin(days))
-        # The batch is small next to the table: look its keys up in the scan, then drop them.
-        known = stored.select(*keys).join(broadcast_if_small(rows.select(*keys)), list(keys),
-                                          "left_semi")
+        known = stored_keys(stored, rows, keys)
         rows = rows.join(known, list(keys), "left_anti")
     # Rebalancing splits a day that holds most of the batch and merges small ones.
-    (rows.hint("rebalance", "day").write.mode("overwrite").partitionBy("day")
-     .parquet(f"{path}/ingest={ingest}"))
+    (rows.withColumn("ingest", F.lit(ingest)).hint("rebalance", "day").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("day", "ingest").parquet(path))
+
+
+def stored_keys(stored: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Those keys of a batch that the table has, from the days of the batch alone.
+
+    The days are broadcast so that their list prunes the scan; they are short texts, at
+    most one per row of a batch, whose size the stream's rate limit bounds.
+    """
+    days = F.broadcast(rows.select("day").distinct())
+    return stored.join(days, "day", "left_semi").select(*keys).join(rows.select(*keys), list(keys), "left_semi")
 
 
 def read_inserted(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The rows of an insert-if-absent table with the ``day`` they are stored under."""
-    return (spark.read.schema(_schema(schema, "ingest", "day")).option("basePath", path)
+    return (spark.read.schema(_schema(schema, "day", "ingest")).option("basePath", path)
             .parquet(path).drop("ingest"))
 
 
@@ -122,22 +125,29 @@ def seed_if_empty(rows: DataFrame, path: str, key: str | None = None,
                   order: Sequence[str] = ()) -> bool:
     """Write ``rows`` as a table unless it already holds rows; tells whether it wrote.
 
-    With a ``key``, the first row per key by ``order`` is kept.
+    With a ``key``, the first row per key by ``order`` is kept; the order must be given.
     """
+    if key and not order:
+        raise ValueError("a keyed seed needs an order: it decides which row of a key stays")
     spark = rows.sparkSession
     if path_exists(spark, path):
         stored = spark.read.schema(rows.schema).parquet(path)
         if not stored.isEmpty():
             return False
     if key:
-        rows = keep_first(rows, [key], list(order) or [key])
+        rows = keep_first(rows, [key], list(order))
     rows.write.mode("overwrite").parquet(path)
     return True
 
 
-def seed_tables(seeds: dict[str, DataFrame], base: str) -> dict[str, bool]:
-    """Seed every named table below ``base``; per table whether it was written."""
-    return {name: seed_if_empty(rows, f"{base}/{name}") for name, rows in seeds.items()}
+def seed_tables(seeds: dict[str, DataFrame], base: str,
+                keys: dict[str, tuple[str, Sequence[str]]] | None = None) -> dict[str, bool]:
+    """Seed every named table below ``base``; per table whether it was written.
+
+    ``keys`` gives a table's key and the order that decides which row of a key stays.
+    """
+    keys = keys or {}
+    return {name: seed_if_empty(rows, f"{base}/{name}", *keys.get(name, ())) for name, rows in seeds.items()}
 
 
 def duplicate_keys(rows: DataFrame, key: str) -> DataFrame:

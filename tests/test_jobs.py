@@ -24,7 +24,7 @@ def test_publish_to_ingest(spark, tmp_path):
     # Without a play time, a track or a track id an event has no key.
     assert {(r["user_id"], r["track_id"]) for r in plays.where("user_id = 'u1'").collect()} == {
         ("u1", "t2"), ("u1", "t1")}
-    assert plays.where("user_id = 'u4'").count() == 50
+    assert plays.where("user_id = 'u4'").count() == 60
     assert plays.where("user_id = 'u4'").first()["market_used"] == "AT"
     tops = flow.read_table(spark, flow.top_tracks_route("tops"), str(tmp_path / "out")).collect()
     assert [(r["user_id"], r["market"], r["artist_name"], [t["track_name"] for t in r["tracks"]]) for r in tops] == [

@@ -117,5 +117,6 @@ def test_records_and_column_json(spark, tmp_path):
     files.write_column_json(rows.withColumn("n", F.col("a") - 1), str(tmp_path / "cols"), "n")
     back = files.read_column_json(spark, str(tmp_path / "cols"), {"a": "int", "b": "string"})
     assert [tuple(r) for r in back.orderBy("row_id").collect()] == [(0, 1, None), (1, 2, "x")]
-    with pytest.raises(ValueError):
-        files.write_column_json(rows, str(tmp_path / "no"), "a", max_rows=1)
+    files.write_column_json(rows.withColumn("n", F.col("a") - 1), str(tmp_path / "many"), "n", rows_per_document=1)
+    many = files.read_column_json(spark, str(tmp_path / "many"), {"a": "int", "b": "string"})
+    assert sorted(map(tuple, many.collect())) == sorted(map(tuple, back.collect()))

@@ -54,7 +54,7 @@ def test_play_events(spark, tmp_path):
     assert rows[1]["artist_ids"] == ["a2"] and rows[1]["artist_names"] == ["N", "X"]
     assert rows[3]["track_id"] is None and rows[3]["artist_ids"] == []
     assert events.where("user_id in ('u2', 'u3')").count() == 0
-    assert events.where("user_id = 'u4'").count() == 50
+    assert events.where("user_id = 'u4'").count() == 60
 
 
 def test_leaderboards_from_payloads(spark, tmp_path):

@@ -29,11 +29,10 @@ def catalogue(spark):
 COLUMNS = ["duration", "popularity", "energy"]
 
 
-@pytest.mark.parametrize("small_group", [0, 1000, 10**9])
-def test_quantiles_agree_with_pandas(catalogue, small_group):
+def test_quantiles_agree_with_pandas(catalogue):
     frame = catalogue.toPandas()
     probabilities = {"_0": 0.0, "_1": 0.1, "_5": 0.5, "_9": 0.937, "_x": 1.0}
-    got = quantiles.group_quantiles(catalogue, ["genre"], COLUMNS, probabilities, small_group).toPandas()
+    got = quantiles.group_quantiles(catalogue, ["genre"], COLUMNS, probabilities).toPandas()
     got = got.set_index("genre").sort_index()
     assert list(got.index) == ["b", "c", "hot", "none", "one"]
     for suffix, p in probabilities.items():
@@ -42,17 +41,13 @@ def test_quantiles_agree_with_pandas(catalogue, small_group):
             np.testing.assert_allclose(got[c + suffix].astype(float), want[c], rtol=1e-12)
 
 
-@pytest.mark.parametrize("bad_edges", [[0.0] * 4, [1.0] * 4, [0.1, 0.2, 0.3, 0.31], None])
+@pytest.mark.parametrize("bad_edges", [[0.0] * 4, [1.0] * 4, [0.1, 0.2, 0.3, 0.31]])
 def test_quantiles_do_not_depend_on_the_sketch(catalogue, monkeypatch, bad_edges):
     original = F.percentile_approx
-    if bad_edges:
-        monkeypatch.setattr(quantiles.F, "percentile_approx",
-                            lambda c, edges, accuracy: original(c, bad_edges, 10))
-    else:
-        # A sketch over so few rows that groups are missing from it.
-        monkeypatch.setattr(quantiles, "min", lambda *_: 0.002, raising=False)
+    monkeypatch.setattr(quantiles.F, "percentile_approx",
+                        lambda c, edges, accuracy: original(c, bad_edges, 10))
     got = {r["genre"]: r["energy"] for r in quantiles.group_medians(
-        catalogue, ["genre"], ["energy"], 0 if bad_edges else 1).collect()}
+        catalogue, ["genre"], ["energy"]).collect()}
     want = catalogue.toPandas().groupby("genre")["energy"].median()
     assert got["hot"] == pytest.approx(want["hot"], rel=1e-12)
     assert got["b"] == pytest.approx(want["b"], rel=1e-12) and got["none"] is None
@@ -62,7 +57,7 @@ def test_quantiles_do_not_depend_on_the_sketch(catalogue, monkeypatch, bad_edges
 @given(st.lists(st.one_of(st.none(), st.integers(-5, 5), st.floats(-1e6, 1e6)), min_size=1, max_size=40))
 def test_median_of_any_list(spark, values):
     frame = spark.createDataFrame([(None if v is None else float(v),) for v in values], "v double")
-    got = quantiles.group_medians(frame, [], ["v"], small_group=0).first()
+    got = quantiles.group_medians(frame, [], ["v"]).first()
     numbers = [float(v) for v in values if v is not None]
     if numbers:
         assert got["v"] == pytest.approx(statistics.median(numbers), rel=1e-9, abs=1e-9)
