@@ -53,8 +53,9 @@ def play_events(payloads: DataFrame, market: Column | str | None = None,
 def play_rows(payloads: DataFrame) -> DataFrame:
     """Played items with the ids, names and artist texts the leaderboards show."""
     track, album = F.col("track"), F.col("track.album")
-    return recent_items(payloads).select(
-        "user_id", "idx", "played_at",
+    items = recent_items(payloads)
+    return items.select(
+        "user_id", "idx", "played_at", *[c for c in items.columns if c == "seen_at"],
         track["id"].alias("track_id"), F.coalesce(track["name"], F.lit("?")).alias("track_name"),
         join_names(track["artists"]).alias("track_artists"),
         album["id"].alias("album_id"), F.coalesce(album["name"], F.lit("?")).alias("album_name"),
@@ -66,9 +67,16 @@ def recent_plays(payloads: DataFrame, n: int = schemas.RECENT_LIMIT) -> DataFram
     """Each user's newest ``n`` plays out of any number of payloads, which may overlap.
 
     A play is known by its user, track and time; the same play in several payloads counts once.
+    Payloads are newest first, so a play without a time is as new as the next one with a time.
     """
-    rows = keep_first(play_rows(payloads), ["user_id", "track_id", "played_at"], ["idx"])
-    return last_n_plays(rows.drop("idx"), n, tiebreak=["track_id"])
+    def seen_at(item: Column, place: Column) -> Column:
+        later = F.transform(F.slice("items", place + 1, F.size("items")), lambda other: other["played_at"])
+        return F.coalesce(item["played_at"], F.array_max(later))
+
+    items = F.transform("items", lambda item, place: F.struct(
+        item["played_at"].alias("played_at"), item["track"].alias("track"), seen_at(item, place).alias("seen_at")))
+    rows = keep_first(play_rows(payloads.withColumn("items", items)), ["user_id", "track_id", "played_at"], ["idx"])
+    return last_n_plays(rows, n, played_at="seen_at", tiebreak=["idx", "track_id"]).drop("seen_at")
 
 
 def newest_payloads(payloads: DataFrame) -> DataFrame:

@@ -291,3 +291,13 @@ def star_schema(spark, sf_dir):
     facts = star["fact_plays"].agg(F.count("*").cast("string").alias("name")).select(
         F.lit("plays"), F.lit("all"), "name")
     return artists.union(albums).union(tracks).union(facts)
+
+
+@query(f"""
+WITH {b.PLAYS}
+SELECT user_id, strftime(played_at, '%Y-%m-%dT%H:%M:%S') AS played_at, track_id, album_id,
+       CASE WHEN k % 3 = 0 THEN artist_1 || ',' || artist_2 ELSE artist_1 END AS artist_ids, duration_ms FROM plays""")
+def star_facts(spark, sf_dir):
+    facts = stories.star_schema(b.plays(spark, sf_dir))["fact_plays"]
+    return facts.select("user_id", F.date_format("played_at", "yyyy-MM-dd'T'HH:mm:ss").alias("played_at"), "track_id",
+                        "album_id", F.array_join("artist_ids", ",").alias("artist_ids"), "duration_ms")

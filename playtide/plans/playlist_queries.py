@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from playtide.operators import playlists as ops, tables
 from playtide.plans import bindings as b
 from playtide.plans.registry import query
-from playtide.schemas import ALBUM_PAGE, SEARCH_RESULT
+from playtide.schemas import ALBUM_PAGE, SEARCH_RESULT, USER_PLAYLISTS
 from playtide.session import work_path
 from playtide.sources import files, payloads
 from playtide.streaming import stores
@@ -272,6 +272,58 @@ def catalogue_csv(spark, sf_dir):
     return files.read_catalogue(spark, path, rows.drop("_row").schema)
 
 
+@query("""
+SELECT CAST(o_orderkey AS VARCHAR) AS playlist_id, o_orderpriority AS playlist_name,
+       CAST(o_custkey AS VARCHAR) AS owner_id, '/playlists/' || o_orderkey AS href FROM orders""")
+def user_playlists(spark, sf_dir):
+    """Orders as JSON lists of playlists, one per customer, flattened again."""
+    item = F.struct(
+        F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderpriority").alias("name"),
+        F.struct(F.col("o_custkey").cast("string").alias("id")).alias("owner"),
+        F.struct(F.concat(F.lit("/playlists/"), F.col("o_orderkey").cast("string")).alias("href")).alias("tracks"))
+    lists = (b.table(spark, sf_dir, "orders").select("o_custkey", item.alias("item")).groupBy("o_custkey")
+             .agg(F.collect_list("item").alias("items")))
+    texts = lists.select(F.to_json(F.struct("items")).alias("payload"))
+    return payloads.user_playlists(payloads.parse_payloads(texts, "payload", USER_PLAYLISTS))
+
+
+@query("""
+WITH f AS (
+  SELECT o_orderpriority AS playlist_name, CASE WHEN p_size > 5 THEN p_size / 50 END AS danceability,
+         CASE WHEN p_size % 7 <> 0 THEN p_retailprice / 1000 END AS energy
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
+c AS (SELECT playlist_name, CASE WHEN energy IS NOT NULL THEN danceability END AS danceability,
+             CASE WHEN danceability IS NOT NULL THEN energy END AS energy FROM f)
+SELECT playlist_name, round(avg(danceability), 6) AS danceability, round(avg(energy), 6) AS energy
+FROM c GROUP BY playlist_name""")
+def analysis_profile(spark, sf_dir):
+    """Playlist entries joined with analysis documents: one feature at the top, one nested, some no number."""
+    size, price = F.col("p_size"), F.col("p_retailprice")
+    document = F.struct(
+        F.when(size > 5, size / 50).alias("danceability"),
+        F.struct(F.when(size % 7 != 0, (price / 1000).cast("string")).alias("text"),
+                 F.when(size % 7 != 0, price / 1000).alias("energy")).alias("audio_features"))
+    texts = b.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("track_id"),
+                                                  F.to_json(document).alias("analysis"))
+    features = payloads.analysis_features(texts, fields=["danceability", "energy"])
+    entries = b.entries(spark, sf_dir).select("playlist_id", "track_id").join(features, "track_id", "left")
+    named = entries.join(b.playlists(spark, sf_dir).select("playlist_id", "playlist_name"), "playlist_id")
+    profile = ops.playlist_audio_profile(named, "playlist_name", ["danceability", "energy"])
+    return profile.select("playlist_name", *[F.round(c, 6).alias(c) for c in ("danceability", "energy")])
+
+
+@query("""
+SELECT genre, CAST(place AS INTEGER) AS place, count(o_orderkey) AS n
+FROM (VALUES ('5-LOW', 0), ('1-URGENT', 1), ('none', 2)) AS g(genre, place)
+LEFT JOIN orders ON o_orderpriority = genre GROUP BY genre, place""")
+def genre_list(spark, sf_dir):
+    """The driving genres in their order, with the number of playlists of that name."""
+    genres = ops.genre_list(spark, ["5-LOW", "1-URGENT", "none"])
+    counts = tables.value_counts(b.table(spark, sf_dir, "orders"), "o_orderpriority")
+    return genres.join(counts, F.col("genre") == F.col("o_orderpriority"), "left").select(
+        "genre", "place", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
+
+
 @query("SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS o_orderpriority, o_totalprice FROM orders")
 def record_files(spark, sf_dir):
     """Orders written as records with nulls and read back."""

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from playtide.operators import plays as listening
 from playtide.plans import bindings as b
 from playtide.plans.registry import query
 from playtide.schemas import TOP_TRACKS_EVENT_TYPE
 from playtide.session import work_path
+from playtide.sources import streams
 from playtide.streaming import stores, windows
 from playtide.streaming import ingest as flow
 
@@ -43,6 +45,8 @@ def messages(events: DataFrame) -> DataFrame:
         F.col("ts").cast("timestamp").alias("timestamp"),
         F.when(kind == "signup", top)
         .when((kind == "click") & (F.col("value") < 5), F.substring(play, 1, 30))
+        .when(k % 100 == 16, F.concat(play, F.lit(" xyz"))).when(k % 100 == 25, F.concat(play, play))
+        .when(k % 100 == 37, F.concat(F.lit("\n\t"), play, F.lit("\r\n")))
         .otherwise(play).alias("value"))
 
 
@@ -57,7 +61,8 @@ def _ingested(spark, sf_dir) -> str:
 _MESSAGES = """
 m AS (
   SELECT CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, *,
-         event_type = 'click' AND value < 5 AS broken
+         (event_type = 'click' AND value < 5)
+           OR CAST(json_extract_string(props, '$.k') AS INTEGER) % 100 IN (16, 25) AS broken
   FROM events)"""
 _FIRST = """
 SELECT user_id, track_id, played_at, track_duration_ms FROM (
@@ -100,6 +105,27 @@ def dead_letters(spark, sf_dir):
     return flow.read_rejects(spark, _ingested(spark, sf_dir)).select("topic", "offset", "reason")
 
 
+@query(f"WITH {_MESSAGES} {_FIRST}")
+def file_messages(spark, sf_dir):
+    """Message files of three periods, written one after the other, streamed one file per batch."""
+    base = work_path(spark, "messages")
+    every = messages(b.table(spark, sf_dir, "events"))
+    bounds = ["1970-01-01", "2024-01-11", "2024-01-21", "9999-01-01"]
+    for low, high in zip(bounds, bounds[1:]):
+        part = every.where((F.col("timestamp") >= low) & (F.col("timestamp") < high))
+        part.coalesce(1).write.mode("append").json(f"{base}/in")
+    stream = streams.file_stream(spark, f"{base}/in", max_files_per_trigger=1)
+    flow.ingest(stream, ROUTES, f"{base}/tables", f"{base}/progress", once=True).awaitTermination()
+    return flow.read_table(spark, PLAYS_ROUTE, f"{base}/tables").select(*_PLAY_COLUMNS)
+
+
+@query("SELECT event_id, user_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS generated_at FROM events WHERE event_type = 'signup'")
+def newest_snapshots(spark, sf_dir):
+    rows = b.table(spark, sf_dir, "events").where("event_type = 'signup'").select(
+        "event_id", "user_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("generated_at"))
+    return listening.newest_first(rows, tiebreak=["event_id"])
+
+
 def _accepted(spark, sf_dir) -> DataFrame:
     parsed = flow.parse_messages(messages(b.table(spark, sf_dir, "events")), ROUTES)
     return flow.accepted(parsed, ROUTES, PLAYS_ROUTE)
@@ -151,12 +177,27 @@ def stream_counts(spark, sf_dir):
 SELECT user_id, event_type, count(*) AS n FROM (
   SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS day FROM events) GROUP BY 1, 2""")
 def stream_distinct(spark, sf_dir):
-    """Streaming duplicates per user, type and day, state kept for a month of event time."""
+    """Streaming duplicates per user, type and day, without a horizon: through the exact insert form."""
     base = work_path(spark, "distinct")
+    plays = event_stream(spark, sf_dir).select(
+        F.date_format("ts", "yyyy-MM-dd").alias("played_on"), "user_id", "event_type", "event_id")
+    windows.insert_distinct(plays, ["user_id", "event_type", "played_on"], ["event_id"], "played_on",
+                            f"{base}/table", f"{base}/progress", once=True).awaitTermination()
+    table = stores.read_inserted(spark, f"{base}/table", plays.schema)
+    return table.groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
+
+
+@query("""
+SELECT user_id, event_type, count(*) AS n FROM (
+  SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS day FROM events) GROUP BY 1, 2""")
+def stream_distinct_horizon(spark, sf_dir):
+    """The form with bounded state. Keys are forgotten a day of event time after they were first
+    seen; within one batch, as here, none is dropped and each key passes once."""
+    base = work_path(spark, "horizon")
     plays = event_stream(spark, sf_dir).select(
         F.col("ts").cast("timestamp").alias("played_at"), "user_id", "event_type",
         F.to_date("ts").alias("day"))
-    unique = windows.distinct_plays(plays, ["user_id", "event_type", "day"], delay="40 days")
+    unique = windows.distinct_plays(plays, ["user_id", "event_type", "day"])
     (unique.writeStream.format("parquet").option("path", f"{base}/table")
      .option("checkpointLocation", f"{base}/progress").trigger(availableNow=True).start()
      .awaitTermination())

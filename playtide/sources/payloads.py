@@ -42,8 +42,7 @@ def recent_items(payloads: DataFrame, limit: int | None = None) -> DataFrame:
     """One row per played item with its position ``idx`` (0 is the newest), all or the first ``limit``."""
     keep = [c for c in payloads.columns if c != "items"]
     items = F.col("items") if limit is None else F.slice("items", 1, limit)
-    return payloads.select(*keep, F.posexplode(items).alias("idx", "item")).select(
-        *keep, "idx", "item.played_at", "item.track")
+    return payloads.select(*keep, F.posexplode(items).alias("idx", "item")).select(*keep, "idx", "item.*")
 
 
 def paged_items(pages: DataFrame, by: str = "album_id") -> DataFrame:

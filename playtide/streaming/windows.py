@@ -50,6 +50,16 @@ def read_counts(spark: SparkSession, path: str, schema: T.StructType,
     return stores.read_latest(spark, path, schema, ["window_start", *keys], ["plays"])
 
 
+def insert_distinct(plays: DataFrame, keys: Sequence[str], order: Sequence[str], day_of: str, path: str,
+                    checkpoint: str, once: bool = False) -> StreamingQuery:
+    """Streaming duplicates removed exactly: the first row of each key goes to an insert table."""
+    writer = plays.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+        lambda batch, batch_id: stores.insert_if_absent(batch, path, keys, order, batch_name(batch, batch_id), day_of))
+    if once:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
 def distinct_plays(plays: DataFrame, keys: Sequence[str], played_at: str = "played_at",
                    delay: str = "1 day") -> DataFrame:
     """Streaming duplicates removed with bounded state: keys are forgotten after ``delay``.

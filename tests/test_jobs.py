@@ -31,3 +31,21 @@ def test_publish_to_ingest(spark, tmp_path):
         ("u1", "DE", "One", ["X", "Y"])]
     boards = jobs.leaderboards(spark, recent)
     assert boards["albums"].count() == 1 and boards["tracks"].where("user_id = 'u4'").count() == 10
+
+
+def test_overlapping_payloads_of_one_user(spark, tmp_path):
+    old = [{"played_at": f"2024-01-0{d}T10:00:00Z", "track": track(f"t{d}", artists=[artist("a1", "One")])} for d in (2, 1)]
+    new = [{"played_at": "2024-01-03T10:00:00Z", "track": track("t3", artists=[artist("a1", "One")])}, *old[:1]]
+    documents = {"recent": [{"user_id": "u", "country": "DE", "items": old}, {"user_id": "u", "country": "AT", "items": new}],
+                 "catalog": [{"artist_id": "a1", "market": "AT", "tracks": [track("x", "X")]}],
+                 "artists": [artist("a1", "One")]}
+    for name, rows in documents.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "all.json").write_text("".join(json.dumps(row) + "\n" for row in rows), encoding="utf-8")
+    board = jobs.leaderboards(spark, str(tmp_path / "recent"), multi_line=False)["tracks"].orderBy("rank").collect()
+    assert [(r["track_id"], r["plays"]) for r in board] == [("t3", 1), ("t2", 1), ("t1", 1)]
+    tops = jobs.top_tracks(spark, str(tmp_path / "recent"), str(tmp_path / "catalog"), str(tmp_path / "artists"),
+                           multi_line=False)
+    assert [(r["user_id"], r["market"]) for r in tops.collect()] == [("u", "AT")]
+    jobs.main(["leaderboards", "--payloads", str(tmp_path / "recent"), "--output", str(tmp_path / "boards"), "--lines"])
+    assert spark.read.parquet(str(tmp_path / "boards" / "tracks")).count() == 3

@@ -77,7 +77,7 @@ def test_dominant_artist_tie_goes_to_first_seen(spark, tmp_path):
     got = {r["user_id"]: (r["artist_id"], r["plays"]) for r in plays.dominant_artist(rows).collect()}
     assert got == {"u1": ("a1", 2)}
     summary = {r["user_id"]: tuple(r)[1:] for r in plays.batch_summary(rows).collect()}
-    assert summary == {"u1": (5, None), "u4": (50, "2024-01-01T00:00:00Z")}
+    assert summary == {"u1": (5, None), "u4": (60, "2024-01-01T00:00:00Z")}
 
 
 def test_last_n_plays_and_leaderboard_against_plain_python(spark):

@@ -127,8 +127,7 @@ def test_routes_are_checked():
         flow.Route("t", "t", flow.schemas.PLAY_EVENT, ("user_id",), "append")
 
 
-def test_insert_many_days_without_a_day_list(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(stores, "_MAX_DAYS", 2)
+def test_insert_over_many_days(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.range(10).select(F.col("id"), F.concat(F.lit("2024-01-0"), F.col("id") % 5 + 1).alias("at"))
     stores.insert_if_absent(rows.where("id < 6"), path, ["id", "at"], ["id"], "a", "at")
@@ -181,3 +180,58 @@ def test_windowed_counts_drop_late_rows(spark, tmp_path):
     assert count() == [(0, "a", 2), (1, "b", 1), (5, "c", 1)]
     add("2", [("00:30:00", "a"), ("04:45:00", "c"), ("05:30:00", "c")])
     assert count() == [(0, "a", 2), (1, "b", 1), (4, "c", 1), (5, "c", 2)]
+
+
+def test_run_until_stopped_stops_the_query(monkeypatch):
+    import os
+    import signal
+    import threading
+
+    class Query:
+        isActive = True
+
+        def stop(self):
+            self.isActive = False
+
+    before = {n: signal.getsignal(n) for n in (signal.SIGINT, signal.SIGTERM)}
+    query = Query()
+    threading.Timer(0.3, os.kill, (os.getpid(), signal.SIGTERM)).start()
+    try:
+        flow.run_until_stopped(query)
+    finally:
+        for number, handler in before.items():
+            signal.signal(number, handler)
+    assert not query.isActive
+
+
+def test_whole_message_texts(spark):
+    good = '{"user_id": "u", "track_id": "t", "played_at": "2024-01-01"}'
+    cases = {"\n\t " + good + "\r\n": None, good + " xyz": "malformed", good + good: "malformed",
+             good + "," + good: "malformed", "[" + good + "]": "malformed", good[:-1]: "malformed", "": "malformed",
+             "null": "malformed", good.replace('"', "'"): "malformed", "{}": "missing key"}
+    rows = spark.createDataFrame([("p", 0, i, None, text) for i, text in enumerate(cases)],
+                                 "topic string, partition int, offset bigint, timestamp timestamp, value string")
+    parsed = flow.parse_messages(rows, [flow.play_event_route("p")]).orderBy("offset").collect()
+    assert [r["reason"] for r in parsed] == list(cases.values())
+
+
+def test_insert_tables_read_only_the_days_of_the_batch(spark, tmp_path):
+    path = str(tmp_path / "t")
+    day = "concat('2024-01-', lpad(cast(id % 9 + 10 as string), 2, '0'))"
+    for i in range(20):
+        rows = spark.range(40 * i, 40 * i + 60).selectExpr("id", f"{day} as at")
+        stores.insert_if_absent(rows, path, ["id", "at"], ["id"], f"run-{i}", "at")
+    assert stores.read_inserted(spark, path, rows.schema).count() == 40 * 19 + 60
+    stored = spark.read.schema("id bigint, at string, day string, ingest string").parquet(path)
+    batch = spark.createDataFrame([(1, "2024-01-11", "2024-01-11")], "id bigint, at string, day string")
+    rows = stores.keep_first(batch, ["id", "at"], ["id"])
+    plan = stores.stored_keys(stored, rows, ["id", "at"])._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
+
+
+def test_keyed_seed_needs_an_order(spark, tmp_path):
+    with pytest.raises(ValueError):
+        stores.seed_if_empty(spark.range(3), str(tmp_path / "s"), "id")
+    rows = spark.createDataFrame([(1, 5), (1, 3)], "k int, n int")
+    assert stores.seed_tables({"a": rows}, str(tmp_path), {"a": ("k", ["n"])}) == {"a": True}
+    assert [r["n"] for r in spark.read.parquet(str(tmp_path / "a")).collect()] == [3]
