@@ -70,7 +70,7 @@ def bucket(modulus: int) -> Column:
 
 def toxicity_network(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Network | float:
     labels = table(spark, sf_dir, "labels")
-    return toxicity.train(toxicity.training_rows(docs, labels, "toxic", bucket(3) != 1))
+    return toxicity.train(*toxicity.training_rows(docs, labels, "toxic", bucket(3) != 1))
 
 
 @query("op3_toxicity")

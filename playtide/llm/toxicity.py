@@ -13,7 +13,8 @@ of at most ``SAMPLE_CHARS`` characters each); scoring takes every window of ever
 
 Defined results: null and empty texts have one empty window and get a score like any other.
 Without training rows of both labels every score is the share of label 1 among the training
-rows, or 0 if there are none. Repeated rows get equal scores. Null labels are ignored.
+rows, or 0 if there are none. Repeated rows get equal scores, up to the rounding
+of single precision. Null labels are ignored.
 """
 
 from __future__ import annotations
@@ -28,17 +29,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playtide.llm.frames import python_ready, whole_text
+from playtide.llm.frames import drawn_rows, python_ready, whole_text
 
 SAMPLE = 2000  # training rows of each label
 SAMPLE_CHARS = 20_000  # of a training row; longer ones are not drawn
 WINDOW, STEP = 48, 32  # words of a window, and from one window to the next
 STATE, POOL = 8, 8  # units of each direction, of the attention
 BATCH = 2048  # windows scored at once
+TURNS = 3  # of training; each takes the windows that the last one scored highest
 WORDS_REMEMBERED = 300_000
+WORD, RUN = -1.0, 0.3  # what a table keeps: all words seen often, so that they are known, and telling runs
+EVIDENCE = 15.0  # log likelihood ratio at which a feature's odds count half
 
 _EDGE = re.compile(r"^\W+|\W+$")
-FEATURES = 5
+FEATURES = 6
 
 
 def ngrams(word: str) -> set[str]:
@@ -63,21 +67,28 @@ def run_sets(texts: Iterable[str]) -> Iterator[set[str]]:
         yield set().union(*map(ngrams, found))
 
 
-def log_odds(texts: Iterable[set[str]], labels: np.ndarray, least: int = 4, prior: float = 3.0) -> dict[str, float]:
-    """Of each feature in at least ``least`` texts, how its presence shifts the odds; clipped, small ones left out."""
+def log_odds(texts: Iterable[set[str]], labels: np.ndarray, above: float, least: int = 4) -> dict[str, float]:
+    """Of each feature in at least ``least`` texts, how its presence shifts the odds.
+
+    Clipped, and shrunk by the weight of the evidence (the likelihood ratio of two rates against
+    one), so that a few chance meetings stay below a stem that is seen often. Only those above
+    ``above``, up or down.
+    """
     counts = (Counter(), Counter())
     for features, label in zip(texts, labels):
         counts[label].update(features)
-    n0, n1 = (labels == 0).sum(), (labels == 1).sum()
-    found = {}
-    for name in counts[0].keys() | counts[1].keys():
-        c0, c1 = counts[0][name], counts[1][name]
-        if c0 + c1 >= least:
-            rate = (c0 + c1) / (n0 + n1)
-            odds = np.log((c1 + prior * rate + 0.1) / (n1 + prior)) - np.log((c0 + prior * rate + 0.1) / (n0 + prior))
-            if abs(odds) > 0.7:
-                found[name] = float(np.clip(odds, -3, 3))
-    return found
+    names = [name for name in counts[0].keys() | counts[1].keys() if counts[0][name] + counts[1][name] >= least]
+    if not names:
+        return {}
+    n = np.array([[(labels == y).sum()] for y in (0, 1)], float)
+    c = np.array([[counts[y][name] for name in names] for y in (0, 1)], float)
+    rate = c.sum(axis=0) / n.sum()
+    odds = np.log((c + 3 * rate + 0.1) / (n + 3))
+    odds = np.clip(odds[1] - odds[0], -3, 3)
+    plog = lambda x, q: x * np.log(np.maximum(q, 1e-12))
+    evidence = (plog(c, c / n) + plog(n - c, 1 - c / n) - plog(c, rate) - plog(n - c, 1 - rate)).sum(axis=0)
+    value = odds * evidence / (evidence + EVIDENCE)
+    return {names[i]: float(value[i]) for i in np.flatnonzero(np.abs(value) > above)}
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -104,7 +115,8 @@ class Network:
     def features(self, token: str) -> list[float]:
         word = plain(token)
         odds = [self.runs.get(run, 0.0) for run in ngrams(word)] if word else [0.0]
-        return [self.words.get(word, 0.0), max(odds), min(odds), sum(odds) / len(odds), min(len(word), 20) / 10]
+        return [self.words.get(word, 0.0), float(word in self.words), max(odds), min(odds), sum(odds) / len(odds),
+                min(len(word), 20) / 10]
 
     def _gates(self, x: np.ndarray, h: np.ndarray, side: str, inner: np.ndarray) -> tuple[np.ndarray, ...]:
         """One step of a direction; x has the input's share of all gates."""
@@ -229,8 +241,11 @@ def text_scores(network: Network, texts: list[str | None], memory: Features) ->
     return np.maximum.reduceat(scores, np.cumsum(counts) - counts)
 
 
-def train(rows: list[tuple[str, int]], steps: int = 240) -> Network | float:
-    """A network from ``(text, label)`` rows, or the share of label 1 where one label is missing."""
+def train(rows: list[tuple[str, int]], share: float | None = None, steps: int = 450) -> Network | float:
+    """A network from ``(text, label)`` rows, or the share of label 1 where one label is missing.
+
+    ``share`` is the share of label 1 among all training rows, if the rows are drawn otherwise.
+    """
     rows = sorted(set(rows))  # copies would weigh a text more than once
     np.random.default_rng(3).shuffle(rows)
     labels = np.array([label for _, label in rows], np.int64)
@@ -240,28 +255,34 @@ def train(rows: list[tuple[str, int]], steps: int = 240) -> Network | float:
     texts = [text for text, _ in rows]
     first, second = np.flatnonzero(half == 0), np.flatnonzero(half == 1)
     counted = [texts[i] for i in first]
-    network = Network(log_odds(word_sets(counted), labels[first]), log_odds(run_sets(counted), labels[first]))
+    network = Network(log_odds(word_sets(counted), labels[first], WORD), log_odds(run_sets(counted), labels[first], RUN))
     memory = Features(network)
     cut = [windows(memory.places(texts[i].split())) for i in second]
     owner = np.repeat(np.arange(len(second)), [len(c) for c in cut])
     every = np.concatenate(cut)
     # The window that stands for a text: first the one with the highest odds, then the one the network scores highest.
-    guess = memory.rows[every][:, :, :2].max(axis=1).sum(axis=1)
+    guess = memory.rows[every][:, :, [0, 2]].max(axis=1).sum(axis=1)
     rng = np.random.default_rng(5)
-    for turn in range(2):
-        top = np.array([np.flatnonzero(owner == i)[np.argmax(guess[owner == i])] for i in range(len(second))])
+    for turn in range(TURNS):
+        order = np.lexsort((-guess, owner))
+        rank = np.arange(len(order)) - np.searchsorted(owner, owner[order])
+        clean = labels[second][owner[order]] == 0
         extra = rng.permutation(np.flatnonzero(labels[second][owner] == 0))[:len(second)]
-        chosen = np.concatenate([top, extra])
+        chosen = np.concatenate([order[(rank == 0) | (clean & (rank < 4))], extra])
         part = every[chosen]
-        network.fit(memory.rows[part], (part > 0).astype(np.float32), labels[second][owner[chosen]], steps // 2,
+        network.fit(memory.rows[part], (part > 0).astype(np.float32), labels[second][owner[chosen]], steps // TURNS,
                     seed=turn)
         guess = np.concatenate([network.run(memory.rows[p], (p > 0).astype(np.float32))
                                 for p in (every[i:i + BATCH] for i in range(0, len(every), BATCH))])
     best = np.maximum.reduceat(guess, np.searchsorted(owner, np.arange(len(second))))
-    network.scale = logistic_curve(best, labels[second])
+    slope, offset = logistic_curve(best, labels[second])
+    if share and share < 1:
+        drawn = labels[second].mean()
+        offset += float(np.log(share / (1 - share)) - np.log(drawn / (1 - drawn)))
+    network.scale = slope, offset
     # The network has learnt how far odds can be trusted; for scoring they are counted on both halves.
-    network.words = log_odds(word_sets(texts), labels)
-    network.runs = log_odds(run_sets(texts), labels)
+    network.words = log_odds(word_sets(texts), labels, WORD)
+    network.runs = log_odds(run_sets(texts), labels, RUN)
     return network
 
 
@@ -279,19 +300,26 @@ def logistic_curve(scores: np.ndarray, labels: np.ndarray, rounds: int = 50) ->
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, text: str = "text",
-                  id_column: str = "doc_id", sample: int = SAMPLE, chars: int = SAMPLE_CHARS) -> list[tuple[str, int]]:
-    """At most ``sample`` labelled rows of each label, those with the smallest hash of their id."""
+                  id_column: str = "doc_id", sample: int = SAMPLE,
+                  chars: int = SAMPLE_CHARS) -> tuple[list[tuple[str, int]], float | None]:
+    """At most ``sample`` labelled rows of each label, those with the smallest hash of their id.
+
+    Also the share of label 1 among all labelled rows that may be learnt from.
+    """
     marked = (labels.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{label}`").alias("label"))
-              .where("label is not null and id is not null").where(allowed))
+              .where("label in (0, 1) and id is not null").where(allowed))
+    counts = {row.label: row["count"] for row in marked.groupBy("label").count().collect()}
     texts = docs.select(F.col(f"`{id_column}`").alias("id"), whole_text(text).alias("text")).where(
         F.length("text") <= chars)
-    # Ids are drawn first, with room for long texts and copies, so that few texts meet the join.
-    order = F.xxhash64("id", F.lit("toxicity"))
     drawn = None
-    for value in (0, 1):
-        part = marked.where(F.col("label") == value).orderBy(order, "id").limit(sample)
+    for value, count in counts.items():
+        part = drawn_rows(marked.where(F.col("label") == value), count, sample, "id")
         drawn = part if drawn is None else drawn.union(part)
-    return [(row.text, int(row.label)) for row in texts.join(F.broadcast(drawn), "id").select("text", "label").collect()]
+    if drawn is None:
+        return [], None
+    # The drawn ids are two samples at most, which bounds the broadcast.
+    rows = texts.join(F.broadcast(drawn), "id").select("text", "label").collect()
+    return [(row.text, int(row.label)) for row in rows], counts.get(1, 0) / sum(counts.values())
 
 
 def score_column(network: Network | float, text: Column) -> Column:

@@ -80,7 +80,8 @@ def test_windows_cover_every_word(count):
 def test_toxicity_in_spark(documents, network):
     scored = toxicity.score(documents(EDGES), network).collect()
     assert len(scored) == len(EDGES) and all(0 <= r.score <= 1 for r in scored)
-    assert len({r.score for r in scored if r.text == "same text"}) == 1
+    same = [r.score for r in scored if r.text == "same text"]
+    assert max(same) - min(same) < 1e-6
     assert toxicity.score(documents([]), network).collect() == []
 
 
