@@ -33,6 +33,35 @@ def group_correlations(df: DataFrame, by: str, target: str, columns: Sequence[st
                    for c in columns]))
 
 
+def code_correlations(df: DataFrame, by: str, target: str, value: str, codes: DataFrame, code: str,
+                      name: str) -> DataFrame:
+    """Correlation per group of ``target`` with the code of ``value``, as ``by, name``.
+
+    The code is the same for all rows of a value, so rows are reduced to the moments of
+    ``target`` per group and value before the codes are joined: no row meets the join, and a
+    value with most of the rows is one row per group there.
+    """
+    rows = df.where(F.col(by).isNotNull() & F.col(value).isNotNull() & F.col(target).isNotNull())
+    number = F.col(target).cast("double")
+    parts = rows.groupBy(by, value).agg(
+        F.count(F.lit(1)).alias("n"), F.avg(number).alias("mean"), F.var_pop(number).alias("spread"),
+        F.min(number).alias("low"), F.max(number).alias("high"))
+    coded = parts.join(codes, value).select(by, "n", "mean", "spread", "low", "high",
+                                            F.col(code).cast("double").alias("code"))
+
+    def mean(column: str) -> Column:
+        return F.sum(F.col("n") * F.col(column)) / F.sum("n")
+
+    centres = coded.groupBy(by).agg(mean("mean").alias("mean_all"), mean("code").alias("code_all"))
+    a, b = F.col("mean") - F.col("mean_all"), F.col("code") - F.col("code_all")
+    sums = coded.join(centres, by).groupBy(by).agg(
+        F.sum(F.col("n") * a * b).alias("ab"), F.sum(F.col("n") * (F.col("spread") + a * a)).alias("aa"),
+        F.sum(F.col("n") * b * b).alias("bb"), (F.min("low") < F.max("high")).alias("a_varies"),
+        (F.min("code") < F.max("code")).alias("b_varies"))
+    corr = F.when(F.col("a_varies") & F.col("b_varies"), F.col("ab") / F.sqrt("aa") / F.sqrt("bb"))
+    return sums.select(by, corr.alias(name))
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None,
                        method: str = "pearson") -> DataFrame:
     """``column_x, column_y, corr`` over all pairs, each over the rows where both are there."""

@@ -56,9 +56,11 @@ def popularity_correlations(tracks: DataFrame, columns: Sequence[str], by: str =
                             target: str = "popularity", encode: str = "artists",
                             code: str = "artists_id") -> DataFrame:
     """Correlation of popularity with every column and the artist code per genre, sorted by the code's."""
-    coded = tables.label_encode(tracks, encode, code)
-    table = correlation.group_correlations(coded, by, target, [*columns, code])
-    return table.orderBy(F.desc_nulls_last(f"corr_{target}_{code}"), by)
+    table = correlation.group_correlations(tracks, by, target, columns)
+    name = f"corr_{target}_{code}"
+    of_code = correlation.code_correlations(tracks, by, target, encode, tables.label_codes(tracks, encode, code),
+                                            code, name)
+    return table.join(of_code, by, "left").orderBy(F.desc_nulls_last(name), by)
 
 
 def distribution_of(df: DataFrame, column: str, bins: int, points: int = 200) -> dict[str, DataFrame]:
