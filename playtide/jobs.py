@@ -69,6 +69,14 @@ def ingest(spark: SparkSession, tables: str, progress: str, play_topic: str, top
     query.awaitTermination() if once else flow.run_until_stopped(query)
 
 
+def compact(spark: SparkSession, tables: str, play_topic: str, top_topic: str, before: str) -> None:
+    """Fold the batches of both tables together: plays of days before ``before``, all documents."""
+    plays_route, tops = flow.play_event_route(play_topic), flow.top_tracks_route(top_topic)
+    stores.compact_inserted(spark, f"{tables}/{plays_route.table}", plays_route.stored, plays_route.keys,
+                            flow.ARRIVAL, before)
+    stores.compact_latest(spark, f"{tables}/{tops.table}", tops.stored, tops.keys, flow.ARRIVAL)
+
+
 def main(arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="playtide")
     commands = parser.add_subparsers(dest="command", required=True)
@@ -84,7 +92,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     command("publish", "payloads", "topic", optional=["market", "path", "servers"])
     boards = command("leaderboards", "payloads", "output")
     boards.add_argument("--limit", type=int, default=10)
-    command("compact", "tables", "top-topic")
+    command("compact", "tables", "play-topic", "top-topic", "before")
     command("top-tracks", "payloads", "catalog", "artists", "topic", optional=["market", "path", "servers"])
     messages = command("ingest", "tables", "progress", "play-topic", "top-topic", optional=["path", "servers"])
     messages.add_argument("--once", action="store_true")
@@ -106,8 +114,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     elif a.command == "ingest":
         ingest(spark, a.tables, a.progress, a.play_topic, a.top_topic, a.path, a.servers, a.once, a.rate)
     elif a.command == "compact":
-        route = flow.top_tracks_route(a.top_topic)
-        stores.compact_latest(spark, f"{a.tables}/{route.table}", route.stored, route.keys, flow.ARRIVAL)
+        compact(spark, a.tables, a.play_topic, a.top_topic, a.before)
     elif a.command == "seed":
         records = files.read_records(spark, a.records, a.schema, not a.lines)
         written = stores.seed_if_empty(records, a.table, a.key, a.order.split(",") if a.order else ())

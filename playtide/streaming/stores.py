@@ -24,11 +24,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm_path)
 
 
-def _folders(spark: SparkSession, path: str) -> list[str]:
+def _folders(spark: SparkSession, path: str, column: str = "ingest") -> list[str]:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     return [s.getPath().toString() for s in fs.listStatus(jvm_path)
-            if s.isDirectory() and s.getPath().getName().startswith("ingest=")]
+            if s.isDirectory() and s.getPath().getName().startswith(f"{column}=")]
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -82,6 +82,26 @@ def read_inserted(spark: SparkSession, path: str, schema: T.StructType) -> DataF
             .parquet(path).drop("ingest"))
 
 
+def compact_inserted(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str],
+                     order: Sequence[str], before: str) -> None:
+    """Bring each day before ``before`` (an ISO date) together in one folder.
+
+    Rebalancing sizes the files. The new folders are complete before the old ones go; after a
+    stop in between, running it again removes the copies.
+    """
+    name = f"compact-{uuid.uuid4().hex}"
+    closed = [folder for folder in _folders(spark, path, "day") if folder.rsplit("=", 1)[1] < before]
+    old = [folder for day in closed for folder in _folders(spark, day)]
+    if len(old) <= len(closed):
+        return
+    rows = (spark.read.schema(_schema(schema, "day", "ingest")).option("basePath", path)
+            .parquet(*closed).drop("ingest"))
+    (keep_first(rows, [*keys, "day"], order).withColumn("ingest", F.lit(name)).hint("rebalance", "day")
+     .write.mode("append").partitionBy("day", "ingest").parquet(path))
+    for folder in old:
+        _delete(spark, folder)
+
+
 # --- keep latest ------------------------------------------------------------
 
 def upsert_latest(batch: DataFrame, path: str, keys: Sequence[str], order: Sequence[str],

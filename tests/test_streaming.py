@@ -222,6 +222,14 @@ def test_insert_tables_read_only_the_days_of_the_batch(spark, tmp_path):
         rows = spark.range(40 * i, 40 * i + 60).selectExpr("id", f"{day} as at")
         stores.insert_if_absent(rows, path, ["id", "at"], ["id"], f"run-{i}", "at")
     assert stores.read_inserted(spark, path, rows.schema).count() == 40 * 19 + 60
+    wanted = sorted(map(tuple, stores.read_inserted(spark, path, rows.schema).collect()))
+    for _ in range(2):
+        stores.compact_inserted(spark, path, rows.schema, ["id", "at"], ["id"], "2024-01-15")
+    folders = {day: len(list((tmp_path / "t" / f"day=2024-01-{day}").glob("ingest=*"))) for day in (10, 14, 15)}
+    assert folders[10] == folders[14] == 1 and folders[15] > 1
+    assert sorted(map(tuple, stores.read_inserted(spark, path, rows.schema).collect())) == wanted
+    stores.insert_if_absent(rows, path, ["id", "at"], ["id"], "run-again", "at")
+    assert sorted(map(tuple, stores.read_inserted(spark, path, rows.schema).collect())) == wanted
     stored = spark.read.schema("id bigint, at string, day string, ingest string").parquet(path)
     batch = spark.createDataFrame([(1, "2024-01-11", "2024-01-11")], "id bigint, at string, day string")
     rows = stores.keep_first(batch, ["id", "at"], ["id"])
