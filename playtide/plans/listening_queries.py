@@ -304,6 +304,20 @@ def catalogue_payloads(spark, sf_dir):
                        P.ms_to_mmss(ms).alias("length"), P.seconds(ms).alias("seconds"))
 
 
+@query(f"""
+WITH {b.PLAYS}
+SELECT event_id, track_id, track_name, CASE WHEN k % 11 = 0 THEN '' ELSE track_artists END AS artists
+FROM plays WHERE k % 10 <> 9""")
+def listed_artists(spark, sf_dir):
+    """Raw entries with a track id, with the names of those artists that have one."""
+    artists = F.transform("artists", lambda a: F.struct(
+        a["id"].alias("id"), F.when(a["id"] == "", F.lit("")).otherwise(a["name"]).alias("name")))
+    track = F.struct(F.when(F.col("track_id").cast("int") % 10 != 9, F.col("track_id")).alias("id"),
+                     F.col("track_name").alias("name"), artists.alias("artists"))
+    items = b.plays(spark, sf_dir).select("event_id", track.alias("track"))
+    return payloads.listed_tracks(items).select("event_id", "track_id", "track_name", "artists")
+
+
 @query("""
 SELECT l_orderkey, l_linenumber, l_quantity,
        printf('%02d:%02d', CAST(floor(l_extendedprice * 100) AS BIGINT) // 60000,
