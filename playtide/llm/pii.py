@@ -6,9 +6,9 @@ far as knowing the term tells which entity is meant: by point-wise mutual inform
 
     pmi(entity; term) = log2(N * n(entity, term) / (n(entity) * n(term))),
 
-out of the entity's own information, log2(N / n(entity)). Counts are of different texts in
-the whole corpus: N texts, those with the entity, those with the term, and those with the
-term near the entity. Terms that disclose at least ``DISCLOSURE`` of an entity's information
+out of the entity's own information, log2(N / n(entity)). Counts are of documents in the
+whole corpus: all N, those with the entity, those with the term, and those with the term
+near the entity. Terms that disclose at least ``DISCLOSURE`` of an entity's information
 are added as spans in the texts that mention it: removed from ``REMOVE`` on, generalised to a
 category below. A term counts only with ``SUPPORT`` different texts that have it near the
 entity, so copies of one text prove nothing, and texts without personal data stay as they are.
@@ -130,16 +130,16 @@ def base(docs: DataFrame, text: str = "text") -> DataFrame:
 def disclosing(found: DataFrame, texts: DataFrame) -> DataFrame:
     """``(entity, term, share)``: terms that disclose at least DISCLOSURE of an entity's information.
 
-    ``found(text_key, entities, near)`` and ``texts(text_key, text)`` cover the whole corpus.
+    ``found(text_key, entities, near)`` and ``texts(text)`` cover the whole corpus.
     """
     held = found.where(F.size("entities") > 0)
-    of_entity = (held.select("text_key", F.explode("entities").alias("entity")).distinct()
+    of_entity = (held.select(F.explode("entities").alias("entity"))
                  .groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")))
-    pairs = stored(held.select("text_key", F.explode("near").alias("near"))
-                   .select("text_key", "near.entity", "near.term").distinct()
-                   .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
-                   .where(F.col("n_both") >= SUPPORT), "term-pairs")
-    total = float(max(texts.select("text_key").distinct().count(), 1))
+    once = F.array_distinct(F.transform("near", lambda n: F.struct(n["entity"].alias("entity"), n["term"].alias("term"))))
+    pairs = stored(held.select("text_key", F.explode(once).alias("near")).groupBy("near.entity", "near.term")
+                   .agg(F.count(F.lit(1)).alias("n_both"), F.count_distinct("text_key").alias("n_texts"))
+                   .where(F.col("n_texts") >= SUPPORT), "term-pairs")
+    total = float(max(found.count(), 1))
     known = pairs.join(of_entity, "entity").join(term_texts(texts, pairs.select("term").distinct()), "term")
     own = F.log2(F.lit(total) / F.col("n_entity"))
     pmi = F.log2(F.lit(total) * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))
@@ -147,14 +147,14 @@ def disclosing(found: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def term_texts(texts: DataFrame, terms: DataFrame) -> DataFrame:
-    """``(term, n_term)``: how many different texts have each of the terms.
+    """``(term, n_term)``: how many documents have each of the terms.
 
-    A task keeps only words whose hash is a term's, by a filter of BITS bits; the few others
-    that pass it go in the join.
+    A task keeps only words whose hash is a term's, by a filter of BITS bits, and adds them up
+    before they are shuffled; the few others that pass the filter go in the join.
     """
-    places = terms.select(F.pmod(F.xxhash64("term"), F.lit(BITS)).cast("int").alias("x")).distinct().collect()
+    places = terms.select(F.pmod(F.xxhash64("term"), F.lit(BITS)).cast("int").alias("x")).distinct().toArrow()
     wanted = np.zeros(BITS, bool)
-    wanted[[row.x for row in places]] = True
+    wanted[places["x"].to_numpy()] = True
     packed = np.packbits(wanted)
 
     @F.arrow_udf("array<string>")
@@ -163,8 +163,8 @@ def term_texts(texts: DataFrame, terms: DataFrame) -> DataFrame:
         for batch in batches:
             yield pa.array([hits(value.as_py(), bits) for value in batch], pa.list_(pa.string()))
 
-    seen = (texts.select("text_key", F.explode(run("text")).alias("term")).distinct().join(terms, "term"))
-    return seen.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    seen = texts.select(F.explode(run("text")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    return seen.join(terms, "term")
 
 
 def hits(text: str | None, bits: np.ndarray) -> list[str]:
@@ -179,7 +179,7 @@ def protect(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> D
     texts = docs.select(F.col(f"`{id_column}`").alias("id"), whole_text(text).alias("text")).withColumn(
         "text_key", F.xxhash64("text"))
     found = stored(base(texts).drop("text"), "entities")
-    known = disclosing(found, texts.select("text_key", "text"))
+    known = disclosing(found, texts.select("text"))
     near = (found.select("id", "text_key", F.explode("near").alias("near")).select("id", "text_key", "near.*")
             .join(known, ["entity", "term"]).groupBy("id", "text_key", "start", "stop").agg(F.max("share").alias("share")))
     terms = near.groupBy("id", "text_key").agg(F.collect_list(F.struct("start", "stop", "share")).alias("terms"))
