@@ -8,8 +8,6 @@ PLAY_EVENT_TYPE = "recent_play"
 TOP_TRACKS_EVENT_TYPE = "avd_artist_market_top_tracks"
 DEFAULT_MARKET = "AT"
 RECENT_LIMIT = 50
-PLAYLIST_LIMIT = 100
-TRACKS_PER_GENRE = 40
 TOP_TRACKS = 10
 GENRES = [
     "tech house", "drum and bass", "trance", "progressive house", "bass house", "dubstep",
