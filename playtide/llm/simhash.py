@@ -211,7 +211,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8, tex
     sets = stored(_sets(texts.select("item", "text").join(close, F.col("item") == F.col("node"))
                         .select("item", "text", "root"), words).dropDuplicates(["item"]), "shingles")
     sure = tiles.links(sets, ["shingles"], ["root"], [(0,)], alike(threshold), salts=4,
-                       weight="size(shingles) + 64", capacity=1 << 19)
+                       weight="size(shingles) + 64", capacity=1 << 17, at_once=8)
     group = components.roots(sure)
     joined = sketches.join(group, F.col("item") == F.col("node"), "left").select(
         "item", "id", F.coalesce("root", "item").alias("root"))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playtide.llm.frames import python_ready
+from playtide.llm.frames import python_ready, rows_per_batch, stored
 
 TILE = 1024
 ROWS = 64  # of a tile that are compared at once
@@ -77,11 +77,12 @@ def _unpacked(column: pa.ListArray, row: int) -> dict:
 
 
 def links(points: DataFrame, values: list[str], bins: list[str], offsets: Iterable[tuple[int, ...]],
-          compare: Compare, salts: int = 1, weight: str = "1", capacity: int = TILE) -> DataFrame:
+          compare: Compare, salts: int = 1, weight: str = "1", capacity: int = TILE, at_once: int = 256) -> DataFrame:
     """Spanning links ``(a, b)`` of ``points(item, values..., bins...)``, items being distinct.
 
     ``weight`` says how much of a tile's ``capacity`` an item takes. ``salts`` deals a bin's
-    tile pairs over that many keys.
+    tile pairs over that many keys. A worker gets ``at_once`` tile pairs at a time. The links
+    are found when this is called and read from a table.
     """
     sizes = points.groupBy(*bins).agg(F.ceil(F.sum(F.expr(weight)) / F.lit(capacity)).cast("int").alias("blocks"))
     blocked = points.join(sizes, bins).withColumn("block", F.pmod(F.xxhash64("item"), F.col("blocks")).cast("int"))
@@ -106,5 +107,6 @@ def links(points: DataFrame, values: list[str], bins: list[str], offsets: Iterab
             yield pa.RecordBatch.from_arrays([pa.array([int(x[side]) for x in found], pa.int64()) for side in (0, 1)],
                                              names=["a", "b"])
 
-    python_ready(points.sparkSession)
-    return pairs.mapInArrow(run, "a bigint, b bigint")
+    spark = python_ready(points.sparkSession)
+    with rows_per_batch(spark, at_once):
+        return stored(pairs.mapInArrow(run, "a bigint, b bigint"), "tile-links")
