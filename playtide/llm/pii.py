@@ -6,12 +6,14 @@ far as knowing the term tells which entity is meant: by point-wise mutual inform
 
     pmi(entity; term) = log2(N * n(entity, term) / (n(entity) * n(term))),
 
-out of the entity's own information, log2(N / n(entity)). Counts are of documents in the
+out of the entity's own information, log2(N / n(entity)). Counts are of different texts in the
 whole corpus: all N, those with the entity, those with the term, and those with the term
-near the entity. Terms that disclose at least ``DISCLOSURE`` of an entity's information
-are added as spans in the texts that mention it: removed from ``REMOVE`` on, generalised to a
-category below. A term counts only with ``SUPPORT`` different texts that have it near the
-entity, so copies of one text prove nothing, and texts without personal data stay as they are.
+near the entity; copies of a text count once. Terms that disclose at least ``DISCLOSURE`` of an
+entity's information are added as spans in the texts that mention it: removed from ``REMOVE``
+on, generalised to a category below. What decides is a smoothed share, with ``PRIOR`` more
+texts of the entity and of the term: a value or a word of a single text counts in full, but in
+a corpus of a few hundred different texts its meeting the other may be chance, and nothing is
+hidden for it. Texts without personal data stay as they are.
 
 Defined results: null and empty texts have no spans. Repeated rows get equal spans. Matches
 that fail a check are dropped and not tried again from another start.
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 from playtide.llm.frames import python_ready, stored, whole_text
 
 CONTEXT = 8  # words on each side of an entity
-SUPPORT = 3  # different texts in which a term stands near an entity
+PRIOR = 1 / 3  # of a text, added to the texts of an entity and of a term before a share decides
 DISCLOSURE = 0.9  # share of an entity's information from which a term is hidden
 REMOVE = 0.98
 BITS = 1 << 20  # of the filter for terms; its size does not depend on the corpus
@@ -130,20 +132,27 @@ def base(docs: DataFrame, text: str = "text") -> DataFrame:
 def disclosing(found: DataFrame, texts: DataFrame) -> DataFrame:
     """``(entity, term, share)``: terms that disclose at least DISCLOSURE of an entity's information.
 
-    ``found(text_key, entities, near)`` and ``texts(text)`` cover the whole corpus.
+    ``found(text_key, entities, near)`` and ``texts(text_key, text)`` cover the whole corpus.
+    The smoothed share decides; the one returned is that of the plain counts.
     """
-    held = found.where(F.size("entities") > 0)
+    held = found.where(F.size("entities") > 0).select("text_key", "entities", "near").dropDuplicates(["text_key"])
     of_entity = (held.select(F.explode("entities").alias("entity"))
                  .groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")))
     once = F.array_distinct(F.transform("near", lambda n: F.struct(n["entity"].alias("entity"), n["term"].alias("term"))))
-    pairs = stored(held.select("text_key", F.explode(once).alias("near")).groupBy("near.entity", "near.term")
-                   .agg(F.count(F.lit(1)).alias("n_both"), F.count_distinct("text_key").alias("n_texts"))
-                   .where(F.col("n_texts") >= SUPPORT), "term-pairs")
-    total = float(max(found.count(), 1))
-    known = pairs.join(of_entity, "entity").join(term_texts(texts, pairs.select("term").distinct()), "term")
+    pairs = stored(held.select(F.explode(once).alias("near")).groupBy("near.entity", "near.term")
+                   .agg(F.count(F.lit(1)).alias("n_both")), "term-pairs")
+    total = float(max(found.select("text_key").distinct().count(), 1))
+    of_term = term_texts(texts.dropDuplicates(["text_key"]).select("text"), pairs.select("term").distinct())
+    known = pairs.join(of_entity, "entity").join(of_term, "term")
+    return (known.withColumn("share", shared(total, 0)).where(shared(total, PRIOR) >= DISCLOSURE)
+            .select("entity", "term", "share"))
+
+
+def shared(total: float, prior: float) -> Column:
+    """The share of an entity's information that a term discloses, with ``prior`` more texts of either."""
     own = F.log2(F.lit(total) / F.col("n_entity"))
-    pmi = F.log2(F.lit(total) * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))
-    return known.select("entity", "term", F.try_divide(pmi, own).alias("share")).where(F.col("share") >= DISCLOSURE)
+    pmi = F.log2(F.lit(total) * F.col("n_both") / ((F.col("n_entity") + prior) * (F.col("n_term") + prior)))
+    return F.try_divide(pmi, own)
 
 
 def term_texts(texts: DataFrame, terms: DataFrame) -> DataFrame:
@@ -179,7 +188,7 @@ def protect(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> D
     texts = docs.select(F.col(f"`{id_column}`").alias("id"), whole_text(text).alias("text")).withColumn(
         "text_key", F.xxhash64("text"))
     found = stored(base(texts).drop("text"), "entities")
-    known = disclosing(found, texts.select("text"))
+    known = disclosing(found, texts.select("text_key", "text"))
     near = (found.select("id", "text_key", F.explode("near").alias("near")).select("id", "text_key", "near.*")
             .join(known, ["entity", "term"]).groupBy("id", "text_key", "start", "stop").agg(F.max("share").alias("share")))
     terms = near.groupBy("id", "text_key").agg(F.collect_list(F.struct("start", "stop", "share")).alias("terms"))

@@ -76,6 +76,13 @@ def test_copies_of_one_text_prove_nothing(documents):
     assert all(r.terms == [] for r in pii.protect(documents(rows)).collect())
 
 
+def test_a_name_beside_one_number_is_hidden(documents):
+    rows = [(i, "call Zebulon under +1 617 555 0199 now") for i in range(3)]  # copies count once
+    rows += [(100 + i, f"call me now under the {prose(i, 20)}") for i in range(400)]
+    for row in pii.protect(documents(rows)).collect():
+        assert {dict(rows)[row.doc_id][t.start:t.stop] for t in row.terms} == ({"Zebulon"} if row.doc_id < 3 else set())
+
+
 def test_term_counts_are_exact_behind_the_filter(spark, monkeypatch):
     monkeypatch.setattr(pii, "BITS", 8)  # nearly every word passes the filter
     texts = spark.createDataFrame([(i, prose(i, 40)) for i in range(30)] + [(3, prose(3, 40))], "text_key bigint, text string")  # one text twice
