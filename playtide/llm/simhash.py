@@ -169,13 +169,14 @@ def alike(threshold: float) -> tiles.Compare:
 
 
 def _sketches(docs: DataFrame, words: int) -> DataFrame:
-    """Two fingerprints of three-word shingles and the number of different longer shingles, per text."""
+    """Two fingerprints of the different three-word shingles and the number of different longer ones, per text."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         low, high, sizes = [], [], []
         for value in batch["text"]:
             found = words_of(value.as_py())
-            low.append(majority(mixed_shingles(found, 3, 1)))
-            high.append(majority(mixed_shingles(found, 3, 2)))
+            # Likeness is one of sets, so a shingle that a text repeats counts once here too.
+            low.append(majority(np.unique(mixed_shingles(found, 3, 1))))
+            high.append(majority(np.unique(mixed_shingles(found, 3, 2))))
             sizes.append(len(np.unique(mixed_shingles(found, words))))
         columns = [batch["item"], batch["id"], *[pa.array(np.array(x, np.uint64).view(np.int64)) for x in (low, high)],
                    pa.array(sizes, pa.int64())]

@@ -108,6 +108,13 @@ def test_near_duplicates_against_brute_force(documents):
     assert found - wanted == set() and len(wanted - found) == 0
 
 
+def test_near_copies_with_a_line_repeated_more_often(documents):
+    own, line = " ".join(f"word{i}" for i in range(300)), " ".join(f"line{i}" for i in range(10))
+    texts = [" ".join([own, *[line] * times]) for times in (1, 10, 20, 50, 100)]
+    assert all(likeness(texts[0], text) for text in texts)
+    assert [r.doc_id for r in simhash.near_duplicates(documents(list(enumerate(texts)))).collect()] == [0]
+
+
 def test_empty(documents):
     assert simhash.label_near_copies(documents([])).collect() == []
     assert simhash.near_duplicates(documents([])).collect() == []
