@@ -7,10 +7,10 @@ far as knowing the term tells which entity is meant: by point-wise mutual inform
     pmi(entity; term) = log2(N * n(entity, term) / (n(entity) * n(term))),
 
 out of the entity's own information, log2(N / n(entity)). Counts are of different texts in the
-whole corpus: all N, those with the entity, those with the term, and those with the term
-near the entity; copies of a text count once. Terms that disclose at least ``DISCLOSURE`` of an
-entity's information are added as spans in the texts that mention it: removed from ``REMOVE``
-on, generalised to a category below. What decides is a smoothed share, with ``PRIOR`` more
+whole corpus: all N, those with the entity, those with the term, and those with
+both, however far apart; copies of a text count once. Terms that disclose at least ``DISCLOSURE``
+of an entity's information are added as spans wherever they stand in the texts that mention it:
+removed from ``REMOVE`` on, generalised to a category below. What decides is a smoothed share, with ``PRIOR`` more
 texts of the entity and of the term: a value or a word of a single text counts in full, but in
 a corpus of a few hundred different texts its meeting the other may be chance, and nothing is
 hidden for it. Texts without personal data stay as they are.
@@ -32,7 +32,6 @@ from pyspark.sql import functions as F
 
 from playtide.llm.frames import python_ready, stored, whole_text
 
-CONTEXT = 8  # words on each side of an entity
 PRIOR = 1 / 3  # of a text, added to the texts of an entity and of a term before a share decides
 DISCLOSURE = 0.9  # share of an entity's information from which a term is hidden
 REMOVE = 0.98
@@ -52,7 +51,7 @@ _WORD = re.compile(r"[^\W_]+")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 
 SPANS = "array<struct<kind:string,start:int,stop:int>>"
-TERMS = "array<struct<entity:string,term:string,start:int,stop:int>>"
+TERMS = "array<struct<start:int,stop:int,share:double>>"
 
 
 def luhn(digits: str) -> bool:
@@ -89,38 +88,30 @@ def entity_of(kind: int, value: str) -> str:
     return f"{KINDS[kind]}:{value.lower() if kind == 0 else value if kind == 1 else _NOT_DIGIT.sub('', value)}"
 
 
-def nearby_terms(text: str, spans: list[tuple]) -> list[dict]:
-    """The words around each entity that are not part of one."""
-    if not spans:
-        return []
-    words = [(m.start(), m.end()) for m in _WORD.finditer(text)]
-    starts = np.array([w[0] for w in words] or [0])
-    covered = [(s, e) for s, _, e, _ in spans]
-    found = []
-    for start, kind, stop, value in spans:
-        first, last = np.searchsorted(starts, start), np.searchsorted(starts, stop)
-        for a, b in words[max(0, first - CONTEXT):first] + words[last:last + CONTEXT]:
-            if not any(a < e and s < b for s, e in covered):
-                found.append({"entity": entity_of(kind, value), "term": text[a:b].lower(), "start": a, "stop": b})
-    return found
+def free_words(text: str) -> Iterator[re.Match]:
+    """The words of a text that are not part of an entity."""
+    spans, at, stop = base_spans(text), 0, 0
+    for word in _WORD.finditer(text):
+        while at < len(spans) and spans[at][0] < word.end():
+            stop = max(stop, spans[at][2])
+            at += 1
+        if stop <= word.start():
+            yield word
 
 
 def base(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add ``base`` (pattern spans), ``entities`` and ``near`` (words around them) to each row."""
+    """Add ``base`` (pattern spans) and ``entities`` to each row."""
     span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("stop", pa.int32())])
-    term = pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int32()), ("stop", pa.int32())])
-    kinds = pa.struct([("base", pa.list_(span)), ("entities", pa.list_(pa.string())), ("near", pa.list_(term))])
+    kinds = pa.struct([("base", pa.list_(span)), ("entities", pa.list_(pa.string()))])
 
-    @F.arrow_udf(f"struct<base:{SPANS},entities:array<string>,near:{TERMS}>")
+    @F.arrow_udf(f"struct<base:{SPANS},entities:array<string>>")
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
             rows = []
             for value in batch:
-                whole = value.as_py() or ""
-                spans = base_spans(whole)
+                spans = base_spans(value.as_py() or "")
                 rows.append({"base": [{"kind": KINDS[k], "start": s, "stop": e} for s, k, e, _ in spans],
-                             "entities": sorted({entity_of(k, v) for _, k, _, v in spans}),
-                             "near": nearby_terms(whole, spans)})
+                             "entities": sorted({entity_of(k, v) for _, k, _, v in spans})})
             yield pa.array(rows, kinds)
 
     python_ready(docs.sparkSession)
@@ -129,23 +120,69 @@ def base(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.withColumn("found", run(maybe)).select("*", "found.*").drop("found")
 
 
-def disclosing(found: DataFrame, texts: DataFrame) -> DataFrame:
-    """``(entity, term, share)``: terms that disclose at least DISCLOSURE of an entity's information.
+def disclosing(held: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(text_key, term, share)``: terms that disclose at least DISCLOSURE of the information of an entity of a text.
 
-    ``found(text_key, entities, near)`` and ``texts(text_key, text)`` cover the whole corpus.
-    The smoothed share decides; the one returned is that of the plain counts.
+    ``held(text_key, entities, text)`` has each different text with entities once;
+    ``texts(text_key, text)`` covers the whole corpus. The smoothed share decides; the one
+    returned is that of the plain counts.
     """
-    held = found.where(F.size("entities") > 0).select("text_key", "entities", "near").dropDuplicates(["text_key"])
-    of_entity = (held.select(F.explode("entities").alias("entity"))
-                 .groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")))
-    once = F.array_distinct(F.transform("near", lambda n: F.struct(n["entity"].alias("entity"), n["term"].alias("term"))))
-    pairs = stored(held.select(F.explode(once).alias("near")).groupBy("near.entity", "near.term")
-                   .agg(F.count(F.lit(1)).alias("n_both")), "term-pairs")
-    total = float(max(found.select("text_key").distinct().count(), 1))
-    of_term = term_texts(texts.dropDuplicates(["text_key"]).select("text"), pairs.select("term").distinct())
-    known = pairs.join(of_entity, "entity").join(of_term, "term")
-    return (known.withColumn("share", shared(total, 0)).where(shared(total, PRIOR) >= DISCLOSURE)
-            .select("entity", "term", "share"))
+    copies = stored(texts.groupBy("text_key").agg(F.count(F.lit(1)).alias("n")), "copies")
+    total = float(max(copies.count(), 1))
+    # No term of more texts than this can disclose so much of an entity of n texts.
+    reach = lambda n: F.lit(total ** (1 - DISCLOSURE)) * F.pow(n, F.lit(DISCLOSURE))
+    entities = held.select("text_key", F.explode("entities").alias("entity"))
+    of_entity = stored(entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")), "entity-texts")
+    # Entities of a single text have equal counts with its terms, so they are counted as one.
+    owner = F.when(F.col("n_entity") > 1, F.col("entity")).otherwise(F.concat(F.lit("text:"), F.col("text_key")))
+    owners = entities.join(of_entity, "entity").select("text_key", owner.alias("owner"), "n_entity").distinct()
+    most = of_entity.agg(F.max("n_entity")).first()[0] or 0
+    words = stored(held.select("text_key", F.explode(different_words("text")).alias("term")), "held-words")
+    rare = words.groupBy("term").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= reach(F.lit(most))).select("term")
+    of_term = stored(term_texts(different_texts(texts, copies.where("n > 1")), stored(rare, "rare-words"))
+                     .where(F.col("n_term") <= reach(F.lit(most))), "term-texts")
+    pairs = stored(words.join(of_term, "term").join(owners, "text_key").where(F.col("n_term") <= reach(F.col("n_entity"))),
+                   "term-pairs")
+    counted = pairs.groupBy("owner", "term", "n_entity", "n_term").agg(F.count(F.lit(1)).alias("n_both"))
+    known = stored(counted.withColumn("share", shared(total, 0)).where(shared(total, PRIOR) >= DISCLOSURE)
+                   .select("owner", "term", "share"), "known-terms")
+    return pairs.join(known, ["owner", "term"]).groupBy("text_key", "term").agg(F.max("share").alias("share"))
+
+
+def different_texts(texts: DataFrame, copies: DataFrame) -> DataFrame:
+    """Each different text once. Only texts that a filter of BITS bits takes for copies are shuffled."""
+    place = F.pmod("text_key", F.lit(BITS)).alias("place")
+    places = F.broadcast(stored(copies.select(place).distinct(), "copy-places"))
+    placed = texts.withColumn("place", place)
+    single = placed.join(places, "place", "left_anti").select("text")
+    return single.union(placed.join(places, "place", "left_semi").dropDuplicates(["text_key"]).select("text"))
+
+
+def different_words(text: str) -> Column:
+    """The different words outside entities, in lower case."""
+    @F.arrow_udf("array<string>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([sorted({w.group().lower() for w in free_words(value.as_py())}) for value in batch],
+                           pa.list_(pa.string()))
+
+    return run(F.col(text))
+
+
+def places(text: str, terms: str) -> Column:
+    """Every place of ``terms(term, share)`` in a text, outside entities."""
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("share", pa.float64())]))
+
+    @F.arrow_udf(TERMS)
+    def run(texts: pa.Array, lists: pa.Array) -> pa.Array:
+        rows = []
+        for value, terms in zip(texts, lists):
+            share = {t["term"]: t["share"] for t in terms.as_py()}
+            rows.append([{"start": w.start(), "stop": w.end(), "share": share[w.group().lower()]}
+                         for w in free_words(value.as_py()) if w.group().lower() in share])
+        return pa.array(rows, kind)
+
+    return run(F.col(text), F.col(terms))
 
 
 def shared(total: float, prior: float) -> Column:
@@ -187,16 +224,16 @@ def protect(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> D
     """``id, text_key, base, terms``: the spans of each document; ``text_key`` is a hash of its text."""
     texts = docs.select(F.col(f"`{id_column}`").alias("id"), whole_text(text).alias("text")).withColumn(
         "text_key", F.xxhash64("text"))
-    found = stored(base(texts).drop("text"), "entities")
-    known = disclosing(found, texts.select("text_key", "text"))
-    near = (found.select("id", "text_key", F.explode("near").alias("near")).select("id", "text_key", "near.*")
-            .join(known, ["entity", "term"]).groupBy("id", "text_key", "start", "stop").agg(F.max("share").alias("share")))
-    terms = near.groupBy("id", "text_key").agg(F.collect_list(F.struct("start", "stop", "share")).alias("terms"))
-    terms = terms.select(F.col("id").alias("term_id"), F.col("text_key").alias("term_key"), "terms")
-    same = F.col("id").eqNullSafe(F.col("term_id")) & (F.col("text_key") == F.col("term_key"))
-    return found.join(terms, same, "left").select(
-        F.col("id").alias(id_column), "text_key", "base",
-        F.coalesce("terms", F.array().cast("array<struct<start:int,stop:int,share:double>>")).alias("terms"))
+    found = stored(base(texts).withColumn("text", F.when(F.size("entities") > 0, F.col("text"))), "entities")
+    none = F.col("text").isNull()
+    held = stored(found.where(~none).select("text_key", "entities", "text").dropDuplicates(["text_key"]), "held-texts")
+    known = disclosing(held, texts.select("text_key", "text")).groupBy("text_key").agg(
+        F.collect_list(F.struct("term", "share")).alias("known"))
+    terms = stored(held.join(known, "text_key").select("text_key", places("text", "known").alias("terms")), "terms")
+    empty = F.array().cast(TERMS)
+    columns = [F.col("id").alias(id_column), "text_key", "base"]
+    return found.where(none).select(*columns, empty.alias("terms")).union(
+        found.where(~none).join(terms, "text_key", "left").select(*columns, F.coalesce("terms", empty).alias("terms")))
 
 
 def joined(spans: Column) -> Column:

@@ -83,6 +83,13 @@ def test_a_name_beside_one_number_is_hidden(documents):
         assert {dict(rows)[row.doc_id][t.start:t.stop] for t in row.terms} == ({"Zebulon"} if row.doc_id < 3 else set())
 
 
+def test_terms_are_counted_and_hidden_in_the_whole_text(documents):
+    text = "call Zebulon under +1 617 555 0199 now " + "call me now " * 10 + "Zebulon call Quuxby"
+    rows = [(1, text)] + [(100 + i, f"call me now under the {prose(i, 20)}") for i in range(400)]
+    found = {r.doc_id: [text[t.start:t.stop] for t in r.terms] for r in pii.protect(documents(rows)).collect() if r.terms}
+    assert found == {1: ["Zebulon", "Zebulon", "Quuxby"]}
+
+
 def test_term_counts_are_exact_behind_the_filter(spark, monkeypatch):
     monkeypatch.setattr(pii, "BITS", 8)  # nearly every word passes the filter
     texts = spark.createDataFrame([(i, prose(i, 40)) for i in range(30)] + [(3, prose(3, 40))], "text_key bigint, text string")  # one text twice
