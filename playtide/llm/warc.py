@@ -7,7 +7,10 @@ member ends with the top byte of its length, which is 0 below 16 MiB (an empty m
 added to longer ones), and that 0 is the sink's line separator.
 
 The reader walks an archive from its start. A gzip member must inflate with the right
-checksum and hold whole records; a plain record must have a version line, its declared
+checksum and hold whole records; if it doesn't, its content, as far as it inflates, is
+walked in the same way, its good records are kept, and what is lost inside is logged with the
+member's place and the offsets in its content (where the stream is broken, and not only cut
+short, a record needs a fitting SHA-256 block digest); a plain record must have a version line, its declared
 length and its end mark; block digests must fit where they are given. After a failed check
 it searches for the next gzip mark or version line at which all checks hold again, goes on
 there, and logs the bytes between as a gap. Archives are read one per row, so they should be
@@ -25,7 +28,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -102,7 +105,11 @@ def write(pages: DataFrame, path: str, id_column: str = "page_id", url: str = "u
 
 
 class Damage(ValueError):
-    """Why bytes are not a record."""
+    """Why bytes are not a record, and what was found in them nevertheless."""
+
+    def __init__(self, reason: str, found: list[tuple] = ()):
+        super().__init__(reason)
+        self.found = found
 
 
 def parse(data: bytes | memoryview, start: int) -> tuple[dict, bytes, int]:
@@ -132,57 +139,84 @@ def parse(data: bytes | memoryview, start: int) -> tuple[dict, bytes, int]:
     return headers, block, stop + 4
 
 
-def inflate(data: memoryview, start: int, chunk: int = 1 << 16) -> tuple[bytes, int]:
-    """The content of the gzip member at ``start``, and where it stops."""
+def inflate(data: memoryview, start: int, chunk: int = 1 << 16) -> tuple[bytes, int, str | None, bool]:
+    """The content of the gzip member at ``start``, where it stops, and what is wrong with it, if anything.
+
+    Of a damaged member there is what inflates before the fault; the last value says whether it is
+    surely right, as in a member that is only cut short.
+    """
     engine, parts, at = zlib.decompressobj(wbits=31), [], start
     try:
         while not engine.eof:
             if at >= len(data):
-                raise Damage("member without an end")
+                return b"".join(parts), len(data), "member without an end", True
             parts.append(engine.decompress(data[at:at + chunk]))
             at += chunk
     except zlib.error as error:
-        raise Damage(f"member: {error}") from None
-    return b"".join(parts), min(at, len(data)) - len(engine.unused_data)
-
-
-def _records_at(data: memoryview, start: int) -> tuple[list[tuple[dict, bytes]], int]:
-    if data[start:start + 3] == GZIP_MARK:
-        content, stop = inflate(data, start)
-        found, at = [], 0
-        while at < len(content):
-            headers, block, at = parse(content, at)
-            found.append((headers, block))
-        return found, stop
-    headers, block, stop = parse(data, start)
-    return [(headers, block)], stop
+        # A failing call returns nothing: come to the same place again, and on by single bytes.
+        engine = zlib.decompressobj(wbits=31)
+        for before in range(start, at, chunk):
+            engine.decompress(data[before:before + chunk])
+        try:
+            for place in range(at, min(at + chunk, len(data))):
+                parts.append(engine.decompress(data[place:place + 1]))
+        except zlib.error:
+            pass
+        return b"".join(parts), at, f"member: {error}", False
+    return b"".join(parts), min(at, len(data)) - len(engine.unused_data), None, True
 
 
-def salvage(content: bytes) -> Iterator[tuple[int, int, str | None, dict, bytes]]:
-    """``start, stop, reason, headers, block`` of each record, and of each gap (those with a reason)."""
-    data, at, lost, reason = memoryview(content), 0, None, ""
+def _plain_at(data: memoryview, start: int) -> tuple[list[tuple], int]:
+    headers, block, stop = parse(data, start)
+    return [(None, headers, block)], stop
+
+
+def _records_at(data: memoryview, start: int) -> tuple[list[tuple], int]:
+    """``reason, headers, block`` of the records at ``start`` and of the gaps between them, and where they stop."""
+    if data[start:start + 3] != GZIP_MARK:
+        return _plain_at(data, start)
+    content, stop, fault, sure = inflate(data, start)
+    found = []
+    for first, last, reason, headers, block in _walk(memoryview(content), _plain_at, _VERSION):
+        if reason is None and not sure and not headers.get("warc-block-digest", "").startswith("sha256:"):
+            reason = "no digest proves the record of a broken member"
+        found.append((f"content {first} to {last}: {reason}", {}, b"") if reason else (None, headers, block))
+    good = any(reason is None for reason, *_ in found)
+    if fault or (found and not good):
+        raise Damage(fault or found[0][0], found if good else [])
+    return found, stop
+
+
+def _walk(data: memoryview, read_at: Callable[[memoryview, int], tuple[list[tuple], int]],
+          mark: re.Pattern) -> Iterator[tuple[int, int, str | None, dict, bytes]]:
+    at, lost, reason = 0, None, ""
     while at < len(data):
         if lost is None and data[at:at + 2] == b"\r\n":  # blank lines between records
             at += 2
             continue
         try:
-            found, stop = _records_at(data, at)
-        except Damage as damage:
-            if lost is None:
-                lost, reason = at, str(damage)
-            following = _START.search(data, at + 1)
-            at = following.start() if following else len(data)
-            continue
-        if lost is not None:
+            found, stop = read_at(data, at)
+            damage = None
+        except Damage as error:
+            following = mark.search(data, at + 1)
+            found, stop, damage = error.found, following.start() if following else len(data), str(error)
+        if lost is not None and (damage is None or found):
             yield lost, at, reason, {}, b""
             lost = None
-        for headers, block in found:
-            yield at, stop, None, headers, block
+        for why, headers, block in found:
+            yield at, stop, why, headers, block
+        if damage is not None and lost is None:
+            lost, reason = at, damage
         at = stop
     if lost is not None:
         yield lost, len(data), reason, {}, b""
 
 
+def salvage(content: bytes) -> Iterator[tuple[int, int, str | None, dict, bytes]]:
+    """``start, stop, reason, headers, block`` of each record, and of each gap (those with a reason)."""
+    return _walk(memoryview(content), _records_at, _START)
+
+
 def payload_of(headers: dict, block: bytes) -> bytes:
     """What follows the HTTP headers, where the block has them."""
     if headers.get("content-type", "").startswith("application/http"):

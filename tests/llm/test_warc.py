@@ -112,6 +112,26 @@ def test_salvage_recovers_all_but_the_damaged(pack):
             assert len(gaps) == 1 and gaps[0][0] == start and gaps[0][1] == start + len(part) and gaps[0][2]
 
 
+def test_salvage_inside_a_member_of_many_records():
+    parts = records_of(12)
+    name = lambda rows: [int(r[3]["warc-record-id"][12:-1]) for r in rows if r[2] is None]
+    start, stop = sum(map(len, parts[:5])), sum(map(len, parts[:6]))
+    bad = parts[5][:-20] + b"#" + parts[5][-19:]  # its block digest differs
+    packed = warc.member(b"".join([*parts[:5], bad, *parts[6:]]))
+    found = list(warc.salvage(packed + warc.member(parts[0])))
+    assert name(found) == [0, 1, 2, 3, 4, 6, 7, 8, 9, 10, 11, 0]
+    assert [r[2] for r in found if r[2]] == [f"content {start} to {stop}: block digest differs"]
+    whole = warc.member(b"".join(parts))
+    cut = list(warc.salvage(whole[:len(whole) * 2 // 3]))
+    assert name(cut) == list(range(len(name(cut)))) and 5 <= len(name(cut)) < 12
+    assert any(r[2].startswith(f"content {sum(map(len, parts[:len(name(cut))]))} to") for r in cut if r[2])
+    assert (0, len(whole) * 2 // 3, "member without an end") in [r[:3] for r in cut]
+    broken = bytearray(whole)
+    broken[-12] ^= 0xFF  # near the end of the stream
+    broken = list(warc.salvage(bytes(broken) + warc.member(parts[0])))
+    assert set(range(10)) <= set(name(broken)) and name(broken)[-1] == 0 and any(r[2] for r in broken)
+
+
 def test_salvage_odd_input():
     assert list(warc.salvage(b"")) == []
     assert [(r[0], r[1]) for r in warc.salvage(b"no archive at all")] == [(0, 17)]
