@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playtide.llm import attention_lm, byte_bpe, exact_dedup, pii, quality, simhash, tiling, token_counts, toxicity, warc
+from playtide.llm import (
+    attention_lm, byte_bpe, exact_dedup, importance, pii, quality, simhash, tiling, token_counts, toxicity, warc)
 from playtide.llm.frames import stored, whole_text
 from playtide.session import work_path
 
@@ -139,3 +140,38 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
                         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+# CRC-32 in SQL: its table of 256 entries from the polynomial, and a word's bytes from its hexadecimal form.
+CRC32 = """
+    crc_table AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k:
+        CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS entries),
+    crcs AS (SELECT word, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+        range(1, strlen(word) + 1), lambda i: ('0x' || substr(hex(word), (2 * i - 1)::INT, 2))::BIGINT)),
+        lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1]))) AS crc FROM {words}, crc_table)"""
+
+
+@query("op11_importance", f"""
+    WITH texts AS (
+        SELECT false AS aim, doc_id AS id, text FROM documents UNION ALL SELECT true, item_id, text FROM benchmark),
+    held AS (SELECT aim, id, row_number() OVER () AS place, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM texts),
+    uses AS MATERIALIZED (SELECT aim, place, unnest(words) AS word FROM held),
+    different AS (SELECT DISTINCT word FROM uses),
+    {CRC32.format(words="different")},
+    hits AS (SELECT aim, place, crc % 10000 AS bucket FROM uses JOIN crcs USING (word)),
+    counts AS (SELECT bucket, count(*) FILTER (WHERE aim) AS t, count(*) FILTER (WHERE NOT aim) AS s FROM hits GROUP BY bucket),
+    gains AS (SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
+        / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain FROM counts),
+    weights AS (SELECT place, sum(gain)::BIGINT AS weight FROM hits JOIN gains USING (bucket) WHERE NOT aim GROUP BY place),
+    scored AS (SELECT id AS doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(id::VARCHAR, '')), 1, 8))::BIGINT
+            + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM held LEFT JOIN weights USING (place) WHERE NOT aim),
+    places AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+        count(*) FILTER (WHERE n_features >= 20) OVER () AS n FROM scored)
+    SELECT doc_id, n_features, weight, score,
+           CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank
+    FROM places""")
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10, 2024)
+    return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
