@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playtide.llm import (
-    attention_lm, byte_bpe, exact_dedup, importance, pii, quality, simhash, tiling, token_counts, toxicity, warc)
+    attention_lm, byte_bpe, exact_dedup, importance, pii, prefix_trie, quality, simhash, tiling, token_counts, toxicity, warc)
 from playtide.llm.frames import stored, whole_text
 from playtide.session import work_path
 
@@ -175,3 +175,33 @@ CRC32 = """
 def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = importance.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10, 2024)
     return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+@query("op13_prefix_trie", f"""
+    WITH turns AS MATERIALIZED (SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x, row_number() OVER (
+            PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '')
+            || coalesce(text, ''))) AS p FROM conversations WHERE conv_id IS NOT NULL),
+    named AS (SELECT DISTINCT c::VARCHAR AS word FROM turns),
+    {CRC32.format(words="named")},
+    convs AS (SELECT c, count(*) AS own, any_value(crc) % 6 AS h, c - c % 100 AS base
+              FROM turns JOIN crcs ON word = c::VARCHAR GROUP BY c),
+    plan AS MATERIALIZED (SELECT a.*, least(a.h, coalesce(b.own, 0)) AS taken, least(a.h, coalesce(b.own, 0))
+              + greatest(a.own - a.h, 0) AS len FROM convs a LEFT JOIN convs b ON b.c = a.base),
+    rebuilt AS (SELECT plan.c, len, p AS d, r, x FROM plan JOIN turns ON turns.c = base AND p <= h
+                UNION ALL SELECT c, len, p - h + taken, r, x FROM plan JOIN turns USING (c) WHERE p > h),
+    members AS (SELECT c, len, d, length(x) AS chars, list({{'r': r, 'x': x}}) OVER (PARTITION BY c ORDER BY d) AS path FROM rebuilt
+                UNION ALL SELECT c, len, 0, 0, [] FROM plan),
+    placed AS MATERIALIZED (SELECT *, min(c) OVER (PARTITION BY d, path) AS node FROM members),
+    edges AS (SELECT *, lag(node) OVER (PARTITION BY c ORDER BY d) AS parent FROM placed),
+    nodes AS MATERIALIZED (SELECT node, d, any_value(parent) AS parent, count(*) AS n_convs, any_value(chars) AS chars,
+        sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE d = len), '')) AS ends_sha256
+        FROM edges GROUP BY node, d),
+    children AS MATERIALIZED (SELECT parent AS node, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+    below AS (SELECT u.node, u.d, count(*) FILTER (WHERE n_children IS NULL) AS n_leaves, sum((n_convs - 1) * n.chars) AS saved
+        FROM nodes n JOIN placed u ON u.c = n.node AND u.d <= n.d LEFT JOIN children k ON k.node = n.node AND k.d = n.d
+        GROUP BY u.node, u.d)
+    SELECT n.node AS conv_id, n.d::BIGINT AS depth, parent AS parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children,
+           n_leaves, saved::BIGINT AS saved_tokens, ends_sha256
+    FROM nodes n JOIN below b ON b.node = n.node AND b.d = n.d LEFT JOIN children k ON k.node = n.node AND k.d = n.d""")
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(*prefix_trie.rebuilt(prefix_trie.turns_of(table(spark, sf_dir, "conversations"))))
