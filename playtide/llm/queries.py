@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playtide.llm import (
-    attention_lm, byte_bpe, exact_dedup, importance, pii, prefix_trie, quality, simhash, tiling, token_counts, toxicity, warc)
+    attention_lm, byte_bpe, exact_dedup, importance, pii, prefix_trie, quality, quantised, simhash, tiling, token_counts,
+    toxicity, warc)
 from playtide.llm.frames import stored, whole_text
 from playtide.session import work_path
 
@@ -177,6 +178,23 @@ def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
 
 
+@query("op12_quantised", """
+    WITH RECURSIVE v AS MATERIALIZED (SELECT vec_id, embedding::DOUBLE[] AS e, len(embedding) AS w FROM embeddings
+        WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    linked AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.w = b.w AND a.vec_id <> b.vec_id
+        AND list_cosine_similarity(a.e, b.e) >= 0.95),
+    reach AS (SELECT vec_id AS start, vec_id AS node FROM embeddings
+              UNION SELECT start, b FROM reach JOIN linked ON a = node),
+    least AS (SELECT start, min(node) AS component_id FROM reach GROUP BY start),
+    counts AS (SELECT a, count(*) AS n FROM linked GROUP BY a)
+    SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+    FROM embeddings JOIN least ON start = vec_id LEFT JOIN counts ON a = vec_id""")
+def op12_quantised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quantised.near_vectors(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
 @query("op13_prefix_trie", f"""
     WITH turns AS MATERIALIZED (SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x, row_number() OVER (
             PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '')
