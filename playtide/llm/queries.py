@@ -49,11 +49,11 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         number("refers_to").alias("refers_to"), F.substring_index("payload_digest", ":", -1).alias("named"))
     index = stored(found, "warc-index")
     kept = index.where("record_type = 'response'").drop("named")
-    # A revisit has no payload of its own: length and digest are those of the response that was read.
+    # A revisit has no payload of its own: its length is that of the response that was read, null if that was lost.
     full = (kept.select(F.col("page_id").alias("refers_to"), "payload_bytes", F.col("payload_digest").alias("named"))
             .distinct())
     again = index.where("record_type = 'revisit'").drop("payload_bytes", "payload_digest").join(
-        full, ["refers_to", "named"])
+        full, ["refers_to", "named"], "left")
     return kept.unionByName(again.withColumnRenamed("named", "payload_digest"))
 
 

@@ -11,9 +11,13 @@ checksum and hold whole records; if it doesn't, its content, as far as it inflat
 walked in the same way, its good records are kept, and what is lost inside is logged with the
 member's place and the offsets in its content (where the stream is broken, and not only cut
 short, a record needs a fitting SHA-256 block digest); a plain record must have a version line, its declared
-length and its end mark; block digests must fit where they are given. After a failed check
+length and its end mark; block digests must fit where they are given. Headers must have names that
+are tokens. The writer puts a SHA-256 digest of the header lines behind them, which must fit where it
+is given and makes the record ``proven``; without one a record must have a type, an id, a date and a length,
+and is returned as not proven. After a failed check
 it searches for the next gzip mark or version line at which all checks hold again, goes on
-there, and logs the bytes between as a gap. Archives are read one per row, so they should be
+there, and logs the bytes between as a gap. The content of a broken member may lie in the archive as it
+is (stored, not compressed); a record that was read from the member is not returned again there. Archives are read one per row, so they should be
 of ordinary size (the writer's have the size of a shuffle partition, Spark's limit is 2 GB);
 Spark deals them out to tasks.
 
@@ -51,8 +55,12 @@ _VERSION = re.compile(rb"WARC/\d+\.\d+\r\n")
 _FIELDS = ("type", "record_id", "target", "refers_to", "payload_digest")
 _HEADERS = ("warc-type", "warc-record-id", "warc-target-uri", "warc-refers-to", "warc-payload-digest")
 
+_NEEDED = ("warc-type", "warc-record-id", "warc-date")
+_TOKEN = re.compile(r"[!#$%&'*+.^_`|~0-9A-Za-z-]+")
+_HEADER_DIGEST = "WARC-Header-Digest: sha256:"
+
 RECORDS = ("path string, start bigint, stop bigint, reason string, type string, record_id string, target string, "
-           "refers_to string, payload_digest string, payload binary")
+           "refers_to string, payload_digest string, proven boolean, payload binary")
 
 
 def record(page_id, url: str | None, payload: bytes, digest: str, refers_to) -> bytes:
@@ -69,6 +77,7 @@ def record(page_id, url: str | None, payload: bytes, digest: str, refers_to) ->
     lines += [f"WARC-Payload-Digest: sha256:{digest}",
               f"WARC-Block-Digest: sha256:{hashlib.sha256(block).hexdigest()}",
               "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
+    lines.append(_HEADER_DIGEST + hashlib.sha256("\r\n".join(lines).encode()).hexdigest())
     return VERSION + "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -105,11 +114,11 @@ def write(pages: DataFrame, path: str, id_column: str = "page_id", url: str = "u
 
 
 class Damage(ValueError):
-    """Why bytes are not a record, and what was found in them nevertheless."""
+    """Why bytes are not a record, what was found in them nevertheless, and up to where they were read."""
 
-    def __init__(self, reason: str, found: list[tuple] = ()):
+    def __init__(self, reason: str, found: list[tuple] = (), stop: int = 0):
         super().__init__(reason)
-        self.found = found
+        self.found, self.stop = found, stop
 
 
 def parse(data: bytes | memoryview, start: int) -> tuple[dict, bytes, int]:
@@ -125,7 +134,14 @@ def parse(data: bytes | memoryview, start: int) -> tuple[dict, bytes, int]:
         name, colon, value = line.partition(b":")
         if not colon:
             raise Damage("a header line without a colon")
-        headers[name.decode("latin-1").strip().lower()] = value.decode("utf-8", "replace").strip()
+        if not _TOKEN.fullmatch(name.decode("latin-1")):
+            raise Damage("a header name is not a token")
+        headers[name.decode("latin-1").lower()] = value.decode("utf-8", "replace").strip()
+    if proven(headers):
+        if lines[-1] != (_HEADER_DIGEST + hashlib.sha256(b"\r\n".join(lines[:-1])).hexdigest()).encode():
+            raise Damage("header digest differs")
+    elif missing := [name for name in _NEEDED if name not in headers]:
+        raise Damage(f"no {missing[0]}")
     length = headers.get("content-length", "")
     if not length.isascii() or not length.isdigit():
         raise Damage("no content length")
@@ -139,6 +155,11 @@ def parse(data: bytes | memoryview, start: int) -> tuple[dict, bytes, int]:
     return headers, block, stop + 4
 
 
+def proven(headers: dict) -> bool:
+    """Whether the record's header lines have a digest, which fits if ``parse`` returned them."""
+    return "warc-header-digest" in headers
+
+
 def inflate(data: memoryview, start: int, chunk: int = 1 << 16) -> tuple[bytes, int, str | None, bool]:
     """The content of the gzip member at ``start``, where it stops, and what is wrong with it, if anything.
 
@@ -158,8 +179,9 @@ def inflate(data: memoryview, start: int, chunk: int = 1 << 16) -> tuple[bytes,
         for before in range(start, at, chunk):
             engine.decompress(data[before:before + chunk])
         try:
-            for place in range(at, min(at + chunk, len(data))):
-                parts.append(engine.decompress(data[place:place + 1]))
+            while at < len(data):
+                parts.append(engine.decompress(data[at:at + 1]))
+                at += 1
         except zlib.error:
             pass
         return b"".join(parts), at, f"member: {error}", False
@@ -183,28 +205,38 @@ def _records_at(data: memoryview, start: int) -> tuple[list[tuple], int]:
         found.append((f"content {first} to {last}: {reason}", {}, b"") if reason else (None, headers, block))
     good = any(reason is None for reason, *_ in found)
     if fault or (found and not good):
-        raise Damage(fault or found[0][0], found if good else [])
+        raise Damage(fault or found[0][0], found if good else [], stop)
     return found, stop
 
 
 def _walk(data: memoryview, read_at: Callable[[memoryview, int], tuple[list[tuple], int]],
           mark: re.Pattern) -> Iterator[tuple[int, int, str | None, dict, bytes]]:
     at, lost, reason = 0, None, ""
+    held, held_until = set(), 0  # records of the last broken member, and where it was given up
     while at < len(data):
         if lost is None and data[at:at + 2] == b"\r\n":  # blank lines between records
             at += 2
             continue
         try:
             found, stop = read_at(data, at)
-            damage = None
+            damage, last = None, stop
+            if at < held_until and data[at:at + 3] != GZIP_MARK:
+                fresh = [row for row in found if row[0] or _same(row) not in held]
+                if found and not fresh:
+                    at = stop
+                    continue
+                found = fresh
         except Damage as error:
             following = mark.search(data, at + 1)
             found, stop, damage = error.found, following.start() if following else len(data), str(error)
+            last = error.stop or stop
+            if found:
+                held, held_until = {_same(row) for row in found if row[0] is None}, last
         if lost is not None and (damage is None or found):
             yield lost, at, reason, {}, b""
             lost = None
         for why, headers, block in found:
-            yield at, stop, why, headers, block
+            yield at, last, why, headers, block
         if damage is not None and lost is None:
             lost, reason = at, damage
         at = stop
@@ -212,6 +244,11 @@ def _walk(data: memoryview, read_at: Callable[[memoryview, int], tuple[list[tupl
         yield lost, len(data), reason, {}, b""
 
 
+def _same(row: tuple) -> tuple:
+    _, headers, block = row
+    return tuple(headers.items()), hashlib.sha256(block).digest()
+
+
 def salvage(content: bytes) -> Iterator[tuple[int, int, str | None, dict, bytes]]:
     """``start, stop, reason, headers, block`` of each record, and of each gap (those with a reason)."""
     return _walk(memoryview(content), _records_at, _START)
@@ -230,11 +267,11 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         for name, content in zip(batch["path"].to_pylist(), batch["content"]):
             for start, stop, reason, headers, block in salvage(content.as_py()):
                 yield (name, start, stop, reason, *[headers.get(h) for h in _HEADERS],
-                       None if reason else payload_of(headers, block))
+                       None if reason else proven(headers), None if reason else payload_of(headers, block))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), *[pa.string()] * len(_FIELDS), pa.binary()]
-        names = ["path", "start", "stop", "reason", *_FIELDS, "payload"]
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), *[pa.string()] * len(_FIELDS), pa.bool_(), pa.binary()]
+        names = ["path", "start", "stop", "reason", *_FIELDS, "proven", "payload"]
         for batch in batches:
             held, size = [], 0
             for row in rows(batch):

@@ -154,3 +154,55 @@ def test_damaged_archives_in_spark(spark, tmp_path):
     gap = warc.gaps(read).first()
     assert (gap.start, gap.stop) == (sum(map(len, parts[:7])), sum(map(len, parts[:8]))) and gap.reason
     assert warc.records(read).select(F.countDistinct("record_id")).first()[0] == 29
+
+
+def test_damaged_headers_are_gaps():
+    one, two = warc.record(1, "http://a/1", b"payload", "0", None), warc.record(2, "http://a/2", b"other", "0", None)
+    for damaged in (one.replace(b"WARC-Record-ID", b"WARC\x00Record-ID"), one.replace(b"WARC-Record-ID", b"WARC-Recorf-ID"),
+                    one.replace(b"x-page:1", b"x-page:7"), one.replace(b"http://a/1", b"http://a/9")):
+        found = list(warc.salvage(damaged + two))
+        assert [r[3].get("warc-record-id") for r in found if r[2] is None] == ["<urn:x-page:2>"]
+        assert [(r[0], r[1]) for r in found if r[2]] == [(0, len(damaged))]
+
+
+def foreign(number, block=b"x", drop=b""):
+    lines = [b"WARC/1.1", b"WARC-Type: resource", b"WARC-Record-ID: <urn:f:%d>" % number, b"WARC-Date: 2020-01-01T00:00:00Z",
+             b"Content-Length: %d" % len(block)]
+    return b"\r\n".join(x for x in lines if not drop or not x.startswith(drop)) + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_headers_without_a_digest_are_not_proven(spark, tmp_path):
+    for needed in (b"WARC-Type", b"WARC-Record-ID", b"WARC-Date", b"Content-Length"):
+        found = list(warc.salvage(foreign(1, drop=needed) + foreign(2)))
+        assert [r[3].get("warc-record-id") for r in found if r[2] is None] == ["<urn:f:2>"]
+    (tmp_path / "mixed.warc").write_bytes(foreign(1) + warc.record(2, None, b"p", "0", None))
+    assert sorted((r.record_id, r.proven) for r in warc.read(spark, f"{tmp_path}/mixed.warc").collect()) == [
+        ("<urn:f:1>", False), ("<urn:x-page:2>", True)]
+
+
+@pytest.mark.parametrize("where", [0.5, 1.0])
+def test_records_of_a_stored_member_come_once(where):
+    """A member without compression holds its version lines as they are."""
+    import zlib
+    parts = records_of(5)
+    engine = zlib.compressobj(0, zlib.DEFLATED, 31)
+    packed = bytearray(engine.compress(b"".join(parts)) + engine.flush())
+    place = len(packed) - 6 if where == 1 else packed.index(b"Content-Length", int(len(packed) * where))
+    packed[place] ^= 0xFF  # in the checksum, or within a record
+    found = list(warc.salvage(bytes(packed) + warc.member(parts[0])))
+    names = [int(r[3]["warc-record-id"][12:-1]) for r in found if r[2] is None]
+    hit = [] if where == 1 else [i for i in range(5) if i not in names]
+    assert len(hit) == (where < 1) and names == [i for i in range(5) if i not in hit] + [0]
+    assert all(r[0] < r[1] <= len(packed) for r in found[:-1])
+    inside = [r for r in found if r[2] is None and r[0] == 0]
+    assert all(r[1] > len(packed) - 16 for r in inside)
+
+
+def test_revisits_of_a_lost_response_stay(spark, tmp_path, monkeypatch):
+    from playtide.llm import queries
+    pages(spark, [(1, "u", LONG), (2, "u", LONG)]).select("page_id", "url", "html").write.parquet(f"{tmp_path}/pages.parquet")
+    whole = warc.read
+    monkeypatch.setattr(warc, "read", lambda *a: whole(*a).where("type = 'revisit'"))
+    row, = queries.QUERIES["op1_warc"](spark, str(tmp_path)).collect()
+    assert (row.page_id, row.payload_bytes, row.record_type, row.refers_to) == (2, None, "revisit", 1)
+    assert row.payload_digest == hashlib.sha256(LONG.encode()).hexdigest()
