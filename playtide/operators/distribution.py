@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playtide.operators.quantiles import group_quantiles
-from playtide.session import cut
 
 # Beyond this many bandwidths a Gaussian weight is 0 in double precision.
 _REACH = 39
@@ -88,21 +87,21 @@ def density(df: DataFrame, column: str, points: int = 200) -> DataFrame:
         F.try_divide(F.coalesce("sum", F.lit(0.0)), norm).alias("density"))
 
 
-def box_summary(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
-    """Quartiles, whiskers (extreme values within 1.5 times the quartile range), outliers."""
+def box_summary(df: DataFrame, column: str, by: Sequence[str] = (), stored: bool = False) -> DataFrame:
+    """Quartiles, whiskers (extreme values within 1.5 times the quartile range), outliers.
+
+    ``stored`` rows are cheap to read again, so they are not written out for the quartiles.
+    """
     by = list(by)
     number = F.col(column).cast("double")
     rows = df.select(*by, number.alias("value")).where(number.isNotNull() & ~F.isnan(number))
-    boxes = group_quantiles(rows, by, ["value"], {"~q1": 0.25, "~q2": 0.5, "~q3": 0.75})
+    boxes = group_quantiles(rows, by, ["value"], {"~q1": 0.25, "~q2": 0.5, "~q3": 0.75}, stored)
     boxes = boxes.select(*by, *[F.col(f"`value~{q}`").alias(q) for q in ("q1", "q2", "q3")])
     if by:
-        rows = rows.join(cut(boxes), by)
+        rows = rows.join(boxes, by)
     else:
-        box = boxes.first()
-        if box is None:
-            box = {"q1": None, "q2": None, "q3": None}
-        rows = rows.select("value", *[F.lit(box[q]).cast("double").alias(q)
-                                      for q in ("q1", "q2", "q3")])
+        box = boxes.first()  # three numbers, which exact_quantiles has found already
+        rows = rows.select("value", *[F.lit(box and box[q]).cast("double").alias(q) for q in ("q1", "q2", "q3")])
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     near = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     return rows.groupBy(*by, "q1", "q2", "q3").agg(

@@ -262,12 +262,12 @@ FROM v GROUP BY {key}q1, q2, q3"""
 
 @query(_box_sql("events", "value"))
 def box_summary(spark, sf_dir):
-    return _rounded(distribution.box_summary(b.table(spark, sf_dir, "events"), "value"), ["q1", "q2", "q3"])
+    return _rounded(distribution.box_summary(b.table(spark, sf_dir, "events"), "value", stored=True), ["q1", "q2", "q3"])
 
 
 @query(_box_sql("events", "value", "event_type"))
 def box_summary_by_type(spark, sf_dir):
-    boxes = distribution.box_summary(b.table(spark, sf_dir, "events"), "value", ["event_type"])
+    boxes = distribution.box_summary(b.table(spark, sf_dir, "events"), "value", ["event_type"], stored=True)
     return _rounded(boxes, ["q1", "q2", "q3"])
 
 
@@ -277,7 +277,7 @@ def box_summary_by_type(spark, sf_dir):
 def quantiles_large_table(spark, sf_dir):
     table = quantiles.group_quantiles(
         b.table(spark, sf_dir, "events"), [], ["value"],
-        {"_min": 0.0, "_p01": 0.01, "_p50": 0.5, "_max": 1.0})
+        {"_min": 0.0, "_p01": 0.01, "_p50": 0.5, "_max": 1.0}, stored=True)
     return _rounded(table, table.columns)
 
 
@@ -285,7 +285,7 @@ def quantiles_large_table(spark, sf_dir):
        "round(quantile_cont(o_totalprice, 0.1), 4) AS o_totalprice_p10 FROM orders GROUP BY o_custkey")
 def quantiles_many_groups(spark, sf_dir):
     table = quantiles.group_quantiles(b.table(spark, sf_dir, "orders"), ["o_custkey"], ["o_totalprice"],
-                                      {"_p90": 0.9, "_p10": 0.1})
+                                      {"_p90": 0.9, "_p10": 0.1}, stored=True)
     return _rounded(table, table.columns[1:], 4)
 
 

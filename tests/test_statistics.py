@@ -195,3 +195,76 @@ def test_points(catalogue):
     points = distribution.point_pairs(catalogue, "popularity", "duration")
     assert points.where("popularity is null or duration is null").count() == 0
     assert distribution.pair_plot_points(catalogue, COLUMNS).columns == COLUMNS
+
+
+NUMBERS = [0.0, -0.0, 1.0, -1.0, 2.0 - 2 ** -52, 1.0 - 2 ** -53, 2 ** -1022, 2 ** -1074, 3 * 2 ** -1074, 2 ** -1022 - 2 ** -1074,
+           1.7976931348623157e308, float("inf"), float("-inf"), 8.0, 8 - 2 ** -50, 1e300, 1e-300, 0.1, 1 / 3, 1e15 + 0.125]
+
+
+@pytest.mark.parametrize("small", [1, 1000])
+def test_quantiles_of_all_kinds_of_doubles(spark, monkeypatch, small):
+    monkeypatch.setattr(quantiles, "_SMALL", small)
+    values = NUMBERS + [-v for v in NUMBERS] + [random.Random(i).uniform(-1, 1) * 10.0 ** (i % 600 - 300) for i in range(200)]
+    df = spark.createDataFrame([(v,) for v in [*values, float("nan"), None]], "v double").repartition(3)
+    places = [0, 1, 3, 17, len(values) // 2, len(values) - 2, len(values) - 1]
+    got = quantiles.exact_quantiles(df, [], ["v"], [p / (len(values) - 1) for p in places]).collect()
+    ordered = sorted(values)
+    found = sorted(r["value"] for r in got)
+    assert len(found) == len(places)
+    for value, place in zip(found, places):
+        assert value == pytest.approx(ordered[place], rel=1e-12, abs=0)
+
+
+@pytest.mark.parametrize("small", [1, 20])
+def test_quantiles_digit_by_digit(spark, monkeypatch, small):
+    """Ranges too large to be brought together are counted again by their next digits."""
+    monkeypatch.setattr(quantiles, "_SMALL", small)
+    rng = np.random.default_rng(3)
+    close = 1.0 + rng.integers(0, 300, 800) * 2.0 ** -52  # neighbours in the last digit
+    values = np.concatenate([close, -close, rng.normal(size=300) * 1e300, [5.0] * 400])
+    rows = [(("hot", "b")[i % 7 == 0], float(v), None if i % 3 else float(i)) for i, v in enumerate(values)]
+    frame = pd.DataFrame(rows, columns=["g", "v", "w"])
+    df = spark.createDataFrame(rows, "g string, v double, w double").repartition(5)
+    probabilities = {"_1": 0.1, "_2": 0.25, "_5": 0.5, "_7": 0.73, "_9": 0.999}
+    for by in ([], ["g"]):
+        got = quantiles.group_quantiles(df, by, ["v", "w"], probabilities).toPandas()
+        for suffix, p in probabilities.items():
+            for c in ("v", "w"):
+                want = frame.groupby("g")[c].quantile(p) if by else pd.Series([frame[c].quantile(p)])
+                have = got.set_index("g").sort_index()[c + suffix] if by else got[c + suffix]
+                np.testing.assert_allclose(have.astype(float), want, rtol=1e-12)
+
+
+def test_no_group_meets_in_one_task(spark):
+    """What is shuffled for a group is one row per digit and input partition."""
+    df = spark.range(200_000).select(F.lit("hot").alias("g"), (F.col("id") * 0.37).alias("v")).repartition(6)
+    digit = quantiles._first_digit(F.col("v"), F.nullif(F.abs("v"), F.lit(0.0)), 0.37, 74_000.0)
+    assert 500 < df.select(digit.alias("d")).distinct().count() <= 2 * quantiles._DIGITS + 3
+    got = quantiles.group_medians(df, ["g"], ["v"]).first()["v"]
+    assert got == pytest.approx(0.37 * 199_999 / 2)
+
+
+def test_matrix_with_missing_values_and_wide_ranges(spark):
+    rng = np.random.default_rng(2)
+    frame = pd.DataFrame(rng.normal(size=(400, 6)), columns=list("abcdef"))
+    frame["b"] = frame["a"] * 1e-5 + 1e9  # small spread far from zero
+    frame["c"] = frame["c"] * 1e250
+    frame.loc[::3, "d"] = None
+    frame.loc[1::2, "e"] = None
+    frame["f"] = np.where(frame["e"].notna(), 7.0, frame["f"])  # constant where e is there
+    rows = spark.createDataFrame([tuple(None if x != x else float(x) for x in r) for r in frame.to_numpy()],
+                                 "a double, b double, c double, d double, e double, f double").repartition(3)
+    got = {(r[0], r[1]): r[2] for r in correlation.correlation_matrix(rows).collect()}
+    scaled = frame.assign(c=frame["c"] / 1e250, b=(frame["b"] - 1e9))
+    want = scaled.corr()
+    assert got[("e", "f")] is None and got[("f", "e")] is None and got[("f", "f")] == 1.0
+    for (x, y), value in got.items():
+        if {x, y} != {"e", "f"}:
+            assert value == pytest.approx(want.loc[x, y], abs=1e-9)
+
+
+def test_matrix_of_nothing(spark):
+    rows = spark.createDataFrame([], "a double, b int")
+    assert sorted(map(tuple, correlation.correlation_matrix(rows).collect())) == [
+        ("a", "a", None), ("a", "b", None), ("b", "a", None), ("b", "b", None)]
+    assert correlation.correlation_matrix(rows, []).collect() == []
