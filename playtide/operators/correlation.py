@@ -13,6 +13,7 @@ from playtide.functions import safe_corr
 
 _PLAIN_PAIRS = 16  # summed at once in the matrix
 _MASKED_PAIRS = 4
+_CELLS = "column_x string, column_y string, corr double"
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -76,6 +77,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None,
     if method != "pearson":
         raise ValueError(f"unknown correlation method {method!r}")
     columns = numeric_columns(df) if columns is None else list(columns)
+    if not columns:
+        return df.sparkSession.createDataFrame([], _CELLS)
     values = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
     facts = _column_facts(values, len(columns))
     whole = {i for i, f in facts.items() if f["n"] == f["rows"]}
@@ -112,15 +115,13 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None,
     for x, y, corr in cells:
         corr = None if corr is None else 1.0 if x == y else corr if corr != corr else max(-1.0, min(1.0, corr))
         rows += [(columns[x], columns[y], corr)] + [(columns[y], columns[x], corr)] * (x != y)
-    return df.sparkSession.createDataFrame(rows, "column_x string, column_y string, corr double")
+    return df.sparkSession.createDataFrame(rows, _CELLS)
 
 
 def _column_facts(values: DataFrame, n: int) -> dict[int, dict[str, float]]:
     """Per column: rows, values, least and greatest one, mean, and their distance as a scale."""
     long = values.select(F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"c{i}").alias("v")) for i in range(n)])))
     facts = {i: {"rows": 0, "n": 0, "mean": 0.0, "scale": 1.0, "low": None, "high": None} for i in range(n)}
-    if not n:
-        return facts
     for r in long.groupBy("i").agg(F.count(F.lit(1)).alias("rows"), F.count("v").alias("n"), F.avg("v").alias("mean"),
                                    F.min("v").alias("low"), F.max("v").alias("high")).collect():
         span = (r.high - r.low) if r.n else 0.0

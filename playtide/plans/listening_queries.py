@@ -48,12 +48,18 @@ def _shown(board, key):
                         "latest_played_at", "line")
 
 
-@query(_board_sql("track_id", "track_name", "track_artists"))
-def track_leaderboard(spark, sf_dir):
-    board = pipelines.track_leaderboard(b.plays(spark, sf_dir), tiebreak=["event_id"])
+LINES_SQL_TRACKS = _board_sql("track_id", "track_name", "track_artists")
+
+
+def shown_tracks(board):
     return _shown(_lines(board, "track_name", "track_artists"), "track_id")
 
 
+@query(LINES_SQL_TRACKS)
+def track_leaderboard(spark, sf_dir):
+    return shown_tracks(pipelines.track_leaderboard(b.plays(spark, sf_dir), tiebreak=["event_id"]))
+
+
 @query(_board_sql("album_id", "album_name", "album_artists"))
 def album_leaderboard(spark, sf_dir):
     board = pipelines.album_leaderboard(b.plays(spark, sf_dir), tiebreak=["event_id"])

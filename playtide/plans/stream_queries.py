@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from playtide.operators import plays as listening
 from playtide.plans import bindings as b
+from playtide.plans.listening_queries import LINES_SQL_TRACKS, shown_tracks
 from playtide.plans.registry import query
 from playtide.schemas import TOP_TRACKS_EVENT_TYPE
 from playtide.session import work_path
 from playtide.sources import streams
-from playtide.streaming import stores, windows
+from playtide.streaming import rankings, stores, windows
+from playtide.streaming.live import LiveTable
 from playtide.streaming import ingest as flow
 
 PLAYS_ROUTE = flow.play_event_route("plays")
@@ -203,3 +205,96 @@ def stream_distinct_horizon(spark, sf_dir):
      .awaitTermination())
     return (spark.read.schema(unique.schema).parquet(f"{base}/table")
             .groupBy("user_id", "event_type").agg(F.count("*").alias("n")))
+
+
+_PARTS = 3  # runs of a stream: every run brings plays of all times, so most come late
+
+
+def _in_runs(spark, rows: DataFrame, base: str, start) -> None:
+    """Hand rows to a stream in several runs, dealt by a hash."""
+    place = F.pmod(F.xxhash64(*rows.columns), F.lit(_PARTS))
+    for part in range(_PARTS):
+        rows.where(place == part).write.mode("append").parquet(f"{base}/in")
+        start(spark.readStream.schema(rows.schema).parquet(f"{base}/in")).awaitTermination()
+
+
+def _credits(spark, sf_dir) -> DataFrame:
+    plays = b.plays(spark, sf_dir).withColumn("played_at", F.col("played_at").cast("timestamp"))
+    return plays.select("event_id", "played_at", F.posexplode("artists").alias("pos", "artist")).select(
+        "event_id", "pos", "played_at", F.col("artist.id").alias("artist_id")).where("artist_id <> ''")
+
+
+def _top_list(spark, rows: DataFrame, key: str, n: int) -> DataFrame:
+    base = work_path(spark, "toplist")
+    _in_runs(spark, rows, base, lambda stream: rankings.keep_top_lists(
+        stream, [key], f"{base}/lists", f"{base}/progress", n, window="1 day", delay="4000 days", once=True))
+    lists = rankings.read_top_lists(spark, f"{base}/lists", [rows.schema[key]])
+    return lists.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                        F.col("rank").cast("bigint").alias("rank"), key, "plays")
+
+
+def _top_sql(source: str, key: str, n: int) -> str:
+    return f"""
+SELECT * FROM (
+  SELECT CAST(date_trunc('day', played_at) AS TIMESTAMP) AS window_start,
+         row_number() OVER (PARTITION BY date_trunc('day', played_at) ORDER BY count(*) DESC, {key}) AS rank,
+         {key}, count(*) AS plays FROM {source} GROUP BY date_trunc('day', played_at), {key}) WHERE rank <= {n}"""
+
+
+@query(f"WITH {b.PLAYS} {_top_sql('plays', 'track_id', 10)}")
+def stream_top_tracks(spark, sf_dir):
+    """Most played tracks of every day, kept up over runs that bring late plays."""
+    rows = b.plays(spark, sf_dir).select("event_id", F.col("played_at").cast("timestamp").alias("played_at"), "track_id")
+    return _top_list(spark, rows, "track_id", 10)
+
+
+@query(f"""WITH {b.PLAYS}, credits AS (
+  SELECT played_at, artist_1 AS artist_id FROM plays WHERE artist_1 <> ''
+  UNION ALL SELECT played_at, artist_2 FROM plays WHERE artist_2 <> '') {_top_sql('credits', 'artist_id', 5)}""")
+def stream_top_artists(spark, sf_dir):
+    """Most credited artists of every day."""
+    return _top_list(spark, _credits(spark, sf_dir), "artist_id", 5)
+
+
+@query(LINES_SQL_TRACKS)
+def stream_track_leaderboard(spark, sf_dir):
+    """The track leaderboard out of each user's last plays, which a stream of unordered, partly repeated plays keeps up."""
+    base = work_path(spark, "last-plays")
+    rows = b.plays(spark, sf_dir)
+
+    def start(stream: DataFrame):
+        return rankings.keep_last_plays(stream, ["event_id"], f"{base}/last", f"{base}/progress", once=True)
+
+    _in_runs(spark, rows, base, start)
+    # Everything again under another writer: no play counts twice.
+    table = rankings.last_plays_table(f"{base}/last", [f for f in rows.schema if f.name != "user_id"], rows.schema["user_id"])
+    rankings.merge_last_plays(rows, table, ["event_id"], 50, "again", 0)
+    last = rankings.read_last_plays(spark, f"{base}/last", [f for f in rows.schema if f.name != "user_id"],
+                                    rows.schema["user_id"])
+    stats = listening.listening_stats(last, "track_id", ["track_name", "track_artists"])
+    return shown_tracks(listening.leaderboard(stats, "track_name"))
+
+
+@query("""
+SELECT user_id, event_type, event_id, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events) WHERE rn = 1""")
+def live_latest(spark, sf_dir):
+    """The last row per key over batches in any order, through tiers of merged folders."""
+    rows = b.table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "value", "ts")
+    table = LiveTable(work_path(spark, "live"), rows.schema, ("user_id", "event_type"), ("ts", "event_id"), "last")
+    place = F.pmod(F.xxhash64("event_id"), F.lit(5))
+    for number in range(5):
+        table.write(rows.where(place == number), "batches", number)
+    table.write(rows.where(place == 4), "batches", 4)  # comes again
+    return table.read(spark).drop("ts")
+
+
+@query(f"WITH {_MESSAGES} {_FIRST}")
+def live_insert(spark, sf_dir):
+    """Insert if absent through key buckets: the older part, then everything."""
+    rows = _accepted(spark, sf_dir)
+    table = LiveTable(work_path(spark, "live"), rows.schema, PLAYS_ROUTE.keys, tuple(flow.ARRIVAL))
+    table.write(rows.where(F.col("played_at") < "2024-01-16"), "batches", 0)
+    table.write(rows, "batches", 1)
+    return table.read(spark).select(*_PLAY_COLUMNS)
