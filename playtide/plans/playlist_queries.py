@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from playtide.operators import playlists as ops, tables
+from playtide.operators import paging
 from playtide.plans import bindings as b
 from playtide.plans.registry import query
 from playtide.schemas import ALBUM_PAGE, SEARCH_RESULT, USER_PLAYLISTS
@@ -344,3 +345,34 @@ def column_json(spark, sf_dir):
     files.write_column_json(tables.number_rows(means, ["p_type"], "row_id"), path, "row_id")
     table = files.read_column_json(spark, path, {"p_type": "string", "p_size": "double"})
     return table.withColumn("p_size", F.round("p_size", 6))
+
+
+def _pages(spark, sf_dir):
+    """Pages per part: their places and sizes follow from the order lines, so some are missing, doubled or overlap."""
+    rows = b.table(spark, sf_dir, "lineitem")
+    size = F.when(F.col("l_quantity") % 5 == 0, 12).when(F.col("l_quantity") % 7 == 0, 0).otherwise(10)
+    return rows.select(
+        F.col("l_partkey").alias("album_id"), ((F.col("l_linenumber") - 1) * 10).alias("offset"),
+        F.array_repeat(F.lit("track"), size).alias("items"),
+        F.when(F.col("l_partkey") % 4 > 0, 30 + 5 * (F.col("l_partkey") % 8)).alias("total"))
+
+
+@query("""
+WITH pages AS (
+  SELECT l_partkey AS album_id, (l_linenumber - 1) * 10 AS start,
+         CASE WHEN l_quantity % 5 = 0 THEN 12 WHEN l_quantity % 7 = 0 THEN 0 ELSE 10 END AS size,
+         CASE WHEN l_partkey % 4 > 0 THEN 30 + 5 * (l_partkey % 8) END AS total FROM lineitem),
+known AS (SELECT album_id, start, size, count(*) AS copies FROM pages GROUP BY ALL),
+lengths AS (SELECT album_id, coalesce(max(total), max(start + size)) AS length FROM pages GROUP BY album_id),
+places AS (SELECT album_id, length, unnest(range(0, greatest(length, 200))) AS pos FROM lengths),
+covered AS (
+  SELECT p.album_id, pos, any_value(length) AS length, count(k.start) AS n
+  FROM places p LEFT JOIN known k ON k.album_id = p.album_id AND k.start <= pos AND pos < k.start + k.size GROUP BY 1, 2),
+wrong AS (
+  SELECT album_id, pos, n, pos - row_number() OVER (PARTITION BY album_id, n ORDER BY pos) AS run
+  FROM covered WHERE n > 1 OR (n = 0 AND pos < length))
+SELECT album_id, CASE n WHEN 0 THEN 'gap' ELSE 'overlap' END AS kind, min(pos) AS start, max(pos) + 1 AS stop, n AS copies
+FROM wrong GROUP BY album_id, n, run
+UNION ALL SELECT album_id, 'repeat', start, start + size, copies FROM known WHERE copies > 1""")
+def page_gaps(spark, sf_dir):
+    return paging.page_gaps(_pages(spark, sf_dir))

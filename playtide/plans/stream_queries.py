@@ -298,3 +298,35 @@ def live_insert(spark, sf_dir):
     table.write(rows.where(F.col("played_at") < "2024-01-16"), "batches", 0)
     table.write(rows, "batches", 1)
     return table.read(spark).select(*_PLAY_COLUMNS)
+
+
+@query(f"""
+WITH {_MESSAGES},
+first AS ({_FIRST}),
+late AS (
+  SELECT user_id, track_id, played_at, track_duration_ms FROM (
+    SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(k % 5 AS VARCHAR) AS track_id,
+           strftime(ts, '%Y-%m-%d') AS played_at, CAST(floor(value) AS BIGINT) AS track_duration_ms,
+           row_number() OVER (PARTITION BY user_id, k % 5, strftime(ts, '%Y-%m-%d') ORDER BY ts, event_id) AS rn
+    FROM m WHERE event_type = 'error' AND NOT broken AND k % 10 <> 9) WHERE rn = 1)
+SELECT * FROM first UNION ALL SELECT * FROM late ANTI JOIN first USING (user_id, track_id, played_at)""")
+def replayed_rejects(spark, sf_dir):
+    """Plays after messages of a topic without a route were taken up by a later one, whose run came twice."""
+    base = _ingested(spark, sf_dir)
+    more = [*ROUTES, flow.play_event_route("errors")]
+    for run in (0, 0, 1):
+        flow.replay_rejects(spark, more, base, run)
+    return flow.read_table(spark, PLAYS_ROUTE, base).select(*_PLAY_COLUMNS)
+
+
+@query(f"""
+WITH {_MESSAGES}
+SELECT CASE event_type WHEN 'signup' THEN 'tops' WHEN 'error' THEN 'errors' ELSE 'plays' END AS topic, event_id AS "offset",
+       CASE WHEN event_type = 'signup' THEN 'unexpected event type'
+            WHEN broken THEN 'malformed' ELSE 'missing key' END AS reason, 1 AS attempt
+FROM m WHERE (event_type = 'signup' AND value > 100) OR (event_type <> 'signup' AND (broken OR k % 10 = 9))""")
+def open_rejects(spark, sf_dir):
+    """Rejects that a replay with one route more could not take up either."""
+    base = _ingested(spark, sf_dir)
+    flow.replay_rejects(spark, [*ROUTES, flow.play_event_route("errors")], base, 0)
+    return flow.open_rejects(spark, base).select("topic", "offset", "reason", "attempt")

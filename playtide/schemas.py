@@ -32,7 +32,7 @@ TRACK = _struct(id=_S, name=_S, duration_ms=_L, artists=T.ArrayType(ARTIST), alb
 RECENT_ITEM = _struct(played_at=_S, track=TRACK)
 RECENT_PLAYS = _struct(user_id=_S, country=_S, items=T.ArrayType(RECENT_ITEM))
 
-ALBUM_PAGE = _struct(album_id=_S, offset=_L, items=T.ArrayType(TRACK), next=_S)
+ALBUM_PAGE = _struct(album_id=_S, offset=_L, limit=_L, total=_L, items=T.ArrayType(TRACK), next=_S)
 ARTIST_TOP_TRACKS = _struct(artist_id=_S, market=_S, tracks=T.ArrayType(TRACK))
 
 PLAYLIST = _struct(id=_S, name=_S, owner=_struct(id=_S), tracks=_struct(href=_S))

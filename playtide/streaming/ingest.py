@@ -14,10 +14,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from playtide import schemas
 from playtide.functions import all_present
+from playtide.operators.tables import keep_first
 from playtide.streaming import stores
+from playtide.streaming.live import LiveTable
 
 ARRIVAL = ["timestamp", "partition", "offset"]
 PREVIEW_CHARS = 120
+_PLACE = ("topic", "partition", "offset")
 _STRICT = {"allowSingleQuotes": "false"}
 
 
@@ -76,7 +79,7 @@ def parse_messages(messages: DataFrame, routes: Sequence[Route]) -> DataFrame:
     whole = F.coalesce(alone & F.col("value").rlike(r"\A[ \t\r\n]*\{"), F.lit(False))
     # As a generated row the fields are parsed once, not again in every filter on them.
     parsed = messages.select(
-        "topic", *ARRIVAL, F.substring("value", 1, PREVIEW_CHARS).alias("value_preview"),
+        "topic", *ARRIVAL, F.substring("value", 1, PREVIEW_CHARS).alias("value_preview"), "value",
         whole.alias("_object"),
         F.inline(F.array(data)))
     reason = F.lit(None).cast("string")
@@ -110,27 +113,70 @@ def accepted(parsed: DataFrame, routes: Sequence[Route], route: Route) -> DataFr
 
 
 def rejected(parsed: DataFrame) -> DataFrame:
-    """Rejects of a batch: malformed, wrong type, missing key, or of an unknown topic."""
+    """Rejects of a batch, the whole message with them: malformed, wrong type, missing key, or of an unknown topic."""
     return parsed.where(F.col("reason").isNotNull()).select(
-        "topic", *ARRIVAL, "reason", "value_preview")
+        "topic", *ARRIVAL, "reason", "value_preview", "value")
 
 
 def write_batch(messages: DataFrame, routes: Sequence[Route], base: str, ingest: str) -> None:
     """Write one batch of messages to all tables; writing it again changes nothing."""
     parsed = parse_messages(messages, routes).persist()
     try:
-        for route in routes:
-            rows = accepted(parsed, routes, route)
-            path = f"{base}/{route.table}"
-            if route.mode == "insert":
-                stores.insert_if_absent(rows, path, route.keys, ARRIVAL, ingest, route.day_of)
-            else:
-                stores.upsert_latest(rows, path, route.keys, ARRIVAL, ingest)
+        _write_accepted(parsed, routes, base, ingest)
         rejected(parsed).write.mode("overwrite").parquet(f"{base}/rejects/ingest={ingest}")
     finally:
         parsed.unpersist()
 
 
+def _write_accepted(parsed: DataFrame, routes: Sequence[Route], base: str, ingest: str) -> None:
+    for route in routes:
+        rows = accepted(parsed, routes, route)
+        path = f"{base}/{route.table}"
+        if route.mode == "insert":
+            stores.insert_if_absent(rows, path, route.keys, ARRIVAL, f"{ingest}-{route.topic}", route.day_of)
+        else:
+            stores.upsert_latest(rows, path, route.keys, ARRIVAL, f"{ingest}-{route.topic}")
+
+
+_ATTEMPT = T.StructType([*[schemas.MESSAGE[c] for c in ("topic", "partition", "offset")],
+                         T.StructField("attempt", T.IntegerType()), T.StructField("reason", T.StringType())])
+
+
+def _attempts(base: str) -> LiveTable:
+    """What later attempts made of rejects; a null reason means that the message was taken up."""
+    return LiveTable(f"{base}/attempts", _ATTEMPT, _PLACE, ("attempt",), "last")
+
+
+def open_rejects(spark: SparkSession, base: str) -> DataFrame:
+    """Rejects that no replay has taken up, with the number of attempts and the reason of the last one."""
+    tried = _attempts(base).read(spark).withColumnsRenamed({"reason": "last_reason"})
+    rows = keep_first(read_rejects(spark, base), list(_PLACE), ["timestamp"]).join(tried, list(_PLACE), "left")
+    return (rows.where("attempt is null or last_reason is not null")
+            .withColumn("reason", F.coalesce("last_reason", "reason"))
+            .withColumn("attempt", F.coalesce("attempt", F.lit(0))).drop("last_reason"))
+
+
+def replay_rejects(spark: SparkSession, routes: Sequence[Route], base: str, run: int) -> None:
+    """Read all open rejects again with routes that may know more topics or fields.
+
+    Messages that are accepted now go to the tables of their routes and leave the rejects; the
+    others stay, with one attempt more. ``run`` numbers the replays: after a failure the same number
+    is given again, which replaces what was written, and a run that had ended is not repeated.
+    """
+    attempts = _attempts(base)
+    if attempts.version(spark).done.get("replay", -1) >= run:
+        return
+    rows = open_rejects(spark, base)
+    parsed = parse_messages(rows.select("topic", *ARRIVAL, "value"), routes).persist()
+    try:
+        _write_accepted(parsed, routes, base, f"replay-{run}")
+        before = rows.select(*_PLACE, "attempt")
+        attempts.write(parsed.select(*_PLACE, "reason").join(before, list(_PLACE)).select(
+            *_PLACE, (F.col("attempt") + 1).alias("attempt"), "reason"), "replay", run)
+    finally:
+        parsed.unpersist()
+
+
 def batch_name(batch: DataFrame, batch_id: int) -> str:
     """A name for the batch that is the same on a retry and differs between checkpoints."""
     query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
@@ -157,10 +203,13 @@ def ingest(stream: DataFrame, routes: Sequence[Route], base: str, checkpoint: st
 def run_until_stopped(query: StreamingQuery) -> None:
     """Wait for the query; SIGINT and SIGTERM stop it after the current batch's step."""
     stopping = threading.Event()
-    for number in (signal.SIGINT, signal.SIGTERM):
-        signal.signal(number, lambda *_: stopping.set())
-    while query.isActive and not stopping.wait(1.0):
-        pass
+    before = {number: signal.signal(number, lambda *_: stopping.set()) for number in (signal.SIGINT, signal.SIGTERM)}
+    try:
+        while query.isActive and not stopping.wait(1.0):
+            pass
+    finally:
+        for number, handler in before.items():
+            signal.signal(number, handler)
     if query.isActive:
         query.stop()
     elif query.exception():
@@ -178,7 +227,7 @@ def read_table(spark: SparkSession, route: Route, base: str) -> DataFrame:
 def read_rejects(spark: SparkSession, base: str) -> DataFrame:
     schema = T.StructType([
         schemas.MESSAGE["topic"], *[schemas.MESSAGE[c] for c in ARRIVAL],
-        T.StructField("reason", T.StringType()), T.StructField("value_preview", T.StringType())])
+        *[T.StructField(c, T.StringType()) for c in ("reason", "value_preview", "value")]])
     path = f"{base}/rejects"
     return (spark.read.schema(T.StructType([*schema.fields, T.StructField("ingest", T.StringType())]))
             .option("basePath", path).parquet(path).drop("ingest"))

@@ -243,3 +243,54 @@ def test_keyed_seed_needs_an_order(spark, tmp_path):
     rows = spark.createDataFrame([(1, 5), (1, 3)], "k int, n int")
     assert stores.seed_tables({"a": rows}, str(tmp_path), {"a": ("k", ["n"])}) == {"a": True}
     assert [r["n"] for r in spark.read.parquet(str(tmp_path / "a")).collect()] == [3]
+
+
+def test_rejects_are_replayed_exactly_once(spark, tmp_path, monkeypatch):
+    long = play(track="t9", note="x" * 500)
+    put(tmp_path / "in", [*MESSAGES, ("extra", long), ("extra", play(track=""))])
+    run(spark, tmp_path, "c1")
+    base = str(tmp_path / "out")
+    before = {r["offset"]: r["value"] for r in flow.open_rejects(spark, base).collect()}
+    assert before[13] == long and {r["attempt"] for r in flow.open_rejects(spark, base).collect()} == {0}
+    more = [*ROUTES, flow.play_event_route("extra"), flow.Route(
+        "news", "play_events", flow.schemas.PLAY_EVENT, ("user_id", "track_id", "played_at"), "insert", day_of="played_at")]
+    write = flow.LiveTable.write
+    monkeypatch.setattr(flow.LiveTable, "write", lambda *_: (_ for _ in ()).throw(RuntimeError("lost after the tables")))
+    with pytest.raises(RuntimeError):
+        flow.replay_rejects(spark, more, base, 0)
+    monkeypatch.setattr(flow.LiveTable, "write", write)
+    for again in range(3):
+        flow.replay_rejects(spark, more, base, min(again, 1))
+    plays, _ = state(spark, tmp_path)
+    assert [p[:3] for p in plays] == [("u", "t", "2024-01-01T00:00:00Z"), ("u", "t", "no day"),
+                                      ("u", "t2", "2024-01-01T00:00:00Z"), ("u", "t9", "2024-01-01T00:00:00Z")]
+    left = {r["offset"]: (r["attempt"], r["reason"]) for r in flow.open_rejects(spark, base).collect()}
+    assert set(left) == set(before) - {11, 13} and left[14] == (2, "missing key") and left[3] == (2, "malformed")
+
+
+def test_broker_reader_asks_for_all_topics_from_the_start(monkeypatch):
+    from playtide.sources import streams
+    asked = {}
+
+    class Reader:
+        def format(self, name):
+            asked["format"] = name
+            return self
+
+        def option(self, name, value):
+            asked[name] = value
+            return self
+
+        def load(self):
+            return self
+
+        def select(self, *columns):
+            asked["columns"] = len(columns)
+            return self
+
+    class Spark:
+        readStream = Reader()
+
+    streams.broker_stream(Spark(), "host:1", ["a", "b"], 500)
+    assert asked == {"format": "kafka", "kafka.bootstrap.servers": "host:1", "subscribe": "a,b",
+                     "startingOffsets": "earliest", "maxOffsetsPerTrigger": 500, "columns": 5}
