@@ -10,7 +10,7 @@ from playtide.plans import bindings as b
 from playtide.plans.registry import query
 from playtide.schemas import ALBUM_PAGE, SEARCH_RESULT, USER_PLAYLISTS
 from playtide.session import work_path
-from playtide.sources import files, payloads
+from playtide.sources import documents, files, payloads
 from playtide.streaming import stores
 
 _ORDER = ", ".join(b.ENTRY_ORDER)
@@ -376,3 +376,15 @@ FROM wrong GROUP BY album_id, n, run
 UNION ALL SELECT album_id, 'repeat', start, start + size, copies FROM known WHERE copies > 1""")
 def page_gaps(spark, sf_dir):
     return paging.page_gaps(_pages(spark, sf_dir))
+
+
+@query("SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS o_orderpriority, o_totalprice FROM orders")
+def array_documents(spark, sf_dir):
+    """Orders as documents of one array per priority, put together in tasks, and read back by byte ranges."""
+    path = work_path(spark, "arrays")
+    text = F.to_json(F.struct("o_orderkey", F.nullif("o_orderpriority", F.lit("5-LOW")).alias("o_orderpriority"), "o_totalprice"),
+                     {"ignoreNullFields": "false"})
+    rows = b.table(spark, sf_dir, "orders").select(F.col("o_orderkey") % 50, "o_orderpriority", text.alias("value"))
+    group = rows.groupBy(rows.columns[0], "o_orderpriority").agg(F.concat_ws(",\n", F.collect_list("value")).alias("value"))
+    group.select(F.concat(F.lit("["), "value", F.lit("]")).alias("value")).write.option("lineSep", "\n\n").text(path)
+    return documents.read_array_records(spark, path, "o_orderkey bigint, o_orderpriority string, o_totalprice double")
