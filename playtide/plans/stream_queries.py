@@ -14,6 +14,7 @@ from playtide.session import work_path
 from playtide.sources import streams
 from playtide.streaming import rankings, stores, windows
 from playtide.streaming.live import LiveTable
+from playtide.streaming.rollups import PlayRollup
 from playtide.streaming import ingest as flow
 
 PLAYS_ROUTE = flow.play_event_route("plays")
@@ -330,3 +331,35 @@ def open_rejects(spark, sf_dir):
     base = _ingested(spark, sf_dir)
     flow.replay_rejects(spark, [*ROUTES, flow.play_event_route("errors")], base, 0)
     return flow.open_rejects(spark, base).select("topic", "offset", "reason", "attempt")
+
+
+def _rolled_up(spark, sf_dir) -> PlayRollup:
+    """Plays added in three batches that all reach over every day, the second one twice."""
+    rows = b.plays(spark, sf_dir).select("track_id", "played_at", "user_id", "event_id")
+    rollup = PlayRollup(work_path(spark, "rollup"), rows.schema["track_id"], rows.schema["user_id"])
+    place = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    for number in (0, 1, 1, 2):
+        rollup.add(rows.where(place == number), "batches", number)
+    return rollup
+
+
+@query(f"""
+WITH {b.PLAYS}, d AS (SELECT track_id, CAST(played_at AS DATE) AS day, count(*) AS plays FROM plays GROUP BY 1, 2)
+SELECT track_id, day, plays, round(sum(plays) OVER (PARTITION BY track_id ORDER BY day
+         RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW) / 7, 6) AS moving_average FROM d""")
+def rolled_daily_plays(spark, sf_dir):
+    """Daily plays and moving averages out of day tables that batches were added to."""
+    return _rolled_up(spark, sf_dir).daily_plays(spark).withColumn("moving_average", F.round("moving_average", 6))
+
+
+@query(f"""
+WITH {b.PLAYS} SELECT track_id, CAST(date_trunc('week', played_at) AS DATE) AS week, count(DISTINCT user_id) AS listeners,
+       true AS estimate_is_near FROM plays GROUP BY 1, 2""")
+def rolled_listeners(spark, sf_dir):
+    """Listeners per track and week, exactly, and whether the union of the days' sketches is within 3 %."""
+    rollup, week = _rolled_up(spark, sf_dir), F.to_date(F.date_trunc("week", "day"))
+    exact = rollup.listener_counts(spark, week)
+    near = rollup.listener_estimates(spark, week).withColumnRenamed("listeners", "estimate")
+    return exact.join(near, ["track_id", "period"]).select(
+        "track_id", F.col("period").alias("week"), "listeners",
+        (F.abs(F.col("estimate") - F.col("listeners")) <= 0.03 * F.col("listeners")).alias("estimate_is_near"))
