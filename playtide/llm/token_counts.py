@@ -6,7 +6,7 @@ loaded), so no merge crosses from a character to a following mark, and a text's
 is the sum over its pre-tokens: marks followed by other characters. Offline, every
 vocabulary string of that shape is encoded alone; those that come back as one token
 count one wherever they stand as a pre-token. Only the other pre-tokens are merged, by
-the library, once each while they stay in a bounded memory.
+the library, short ones once each while they stay in a bounded memory.
 
 Defined results: null and empty texts have no tokens; strings that name special tokens
 are ordinary text, as the library treats them. An existing output column is replaced.
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from playtide.llm.frames import python_ready
 
 MARK = "▁"
-REMEMBERED = 600_000  # merged pre-tokens that a worker remembers
+REMEMBERED, LONG = 600_000, 64  # merged pre-tokens that a worker remembers, of so many characters at most
 PIECE = 1 << 20  # characters that are split into pre-tokens at once
 
 _PRE_TOKEN = re.compile(f"{MARK}+[^{MARK}]*")
@@ -52,10 +52,11 @@ class PreTokenCounts(dict):
         """The library puts the first mark there itself, so it is taken off before."""
         rest = pre_token[1:]
         count = len(self._model.encode(rest, num_threads=1)) if rest else self._mark_alone
-        if len(self) >= REMEMBERED + len(self.proven):
-            self.clear()
-            self.update(self.proven)
-        self[pre_token] = count
+        if len(pre_token) <= LONG:  # longer ones hardly come again, and would fill the memory
+            if len(self) >= REMEMBERED + len(self.proven):
+                self.clear()
+                self.update(self.proven)
+            self[pre_token] = count
         return count
 
     def of_text(self, text: str | None) -> int:

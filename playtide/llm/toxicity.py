@@ -8,8 +8,9 @@ half, so it learns how far they can be trusted; then the tables are counted on b
 attention into one score per window, a text's score is that of its highest window, and a
 logistic curve fitted on the training half turns it into a probability.
 
-Training takes a bounded sample of labelled rows (``SAMPLE`` of each label, chosen by hash,
-of at most ``SAMPLE_CHARS`` characters each); scoring takes every window of every text.
+Training takes a bounded sample of labelled rows (``SAMPLE`` of each label, chosen by hash, one
+row per id; of texts above ``SAMPLE_CHARS`` characters, excerpts of that length); scoring takes
+every window of every text. Long runs without blanks count as several words.
 
 Defined results: null and empty texts have one empty window and get a score like any other.
 Without training rows of both labels every score is the share of label 1 among the training
@@ -32,7 +33,8 @@ from pyspark.sql import functions as F
 from playtide.llm.frames import drawn_rows, python_ready, whole_text
 
 SAMPLE = 2000  # training rows of each label
-SAMPLE_CHARS = 20_000  # of a training row; longer ones are not drawn
+SAMPLE_CHARS, EXCERPTS = 20_000, 4  # of a training row; longer ones give so many excerpts of that length together
+LONG_WORD, LAP = 64, 4  # characters of a token that is one word; longer ones are cut, each piece taking up the last few
 WINDOW, STEP = 48, 32  # words of a window, and from one window to the next
 STATE, POOL = 8, 8  # units of each direction, of the attention
 BATCH = 2048  # windows scored at once
@@ -55,10 +57,18 @@ def plain(token: str) -> str:
     return token.lower() if token.isalnum() else _EDGE.sub("", token).lower()
 
 
+def tokens(text: str | None) -> list[str]:
+    """What stands between white space, cut to bounded words."""
+    found = (text or "").split()
+    if max(map(len, found), default=0) > LONG_WORD:
+        found = [t[i:i + LONG_WORD] for t in found for i in range(0, max(1, len(t) - LAP), LONG_WORD - LAP)]
+    return found
+
+
 def word_sets(texts: Iterable[str]) -> Iterator[set[str]]:
     """The different words of each text, one text at a time."""
     for text in texts:
-        yield {plain(token) for token in set(text.split())} - {""}
+        yield {plain(token) for token in set(tokens(text))} - {""}
 
 
 def run_sets(texts: Iterable[str]) -> Iterator[set[str]]:
@@ -233,7 +243,7 @@ def text_scores(network: Network, texts: list[str | None], memory: Features) ->
     """The highest window score of each text, before the logistic curve."""
     if len(memory) > WORDS_REMEMBERED:
         memory.clear()
-    cut = [windows(memory.places((text or "").split())) for text in texts]
+    cut = [windows(memory.places(tokens(text))) for text in texts]
     counts = np.array([len(c) for c in cut])
     every = np.concatenate(cut)
     scores = np.concatenate([network.run(memory.rows[part], (part > 0).astype(np.float32))
@@ -257,7 +267,7 @@ def train(rows: list[tuple[str, int]], share: float | None = None, steps: int =
     counted = [texts[i] for i in first]
     network = Network(log_odds(word_sets(counted), labels[first], WORD), log_odds(run_sets(counted), labels[first], RUN))
     memory = Features(network)
-    cut = [windows(memory.places(texts[i].split())) for i in second]
+    cut = [windows(memory.places(tokens(texts[i]))) for i in second]
     owner = np.repeat(np.arange(len(second)), [len(c) for c in cut])
     every = np.concatenate(cut)
     # The window that stands for a text: first the one with the highest odds, then the one the network scores highest.
@@ -302,24 +312,31 @@ def logistic_curve(scores: np.ndarray, labels: np.ndarray, rounds: int = 50) ->
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, text: str = "text",
                   id_column: str = "doc_id", sample: int = SAMPLE,
                   chars: int = SAMPLE_CHARS) -> tuple[list[tuple[str, int]], float | None]:
-    """At most ``sample`` labelled rows of each label, those with the smallest hash of their id.
+    """At most ``sample`` labelled rows of each label, those with the smallest hash of their id, one row per id.
+
+    Of a text above ``chars`` characters, excerpts from places that its hash fixes.
 
     Also the share of label 1 among all labelled rows that may be learnt from.
     """
     marked = (labels.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{label}`").alias("label"))
-              .where("label in (0, 1) and id is not null").where(allowed))
+              .where("label in (0, 1) and id is not null").where(allowed).distinct())
     counts = {row.label: row["count"] for row in marked.groupBy("label").count().collect()}
-    texts = docs.select(F.col(f"`{id_column}`").alias("id"), whole_text(text).alias("text")).where(
-        F.length("text") <= chars)
+    texts = docs.select(F.col(f"`{id_column}`").alias("id"), whole_text(text).alias("text"))
     drawn = None
     for value, count in counts.items():
         part = drawn_rows(marked.where(F.col("label") == value), count, sample, "id")
         drawn = part if drawn is None else drawn.union(part)
     if drawn is None:
         return [], None
-    # The drawn ids are two samples at most, which bounds the broadcast.
-    rows = texts.join(F.broadcast(drawn), "id").select("text", "label").collect()
-    return [(row.text, int(row.label)) for row in rows], counts.get(1, 0) / sum(counts.values())
+    # The drawn ids are two samples at most, which bounds the broadcast. Of rows with one id the one with the
+    # smallest hash stands for it, which is found before rows leave their tasks.
+    size, length = chars // EXCERPTS, F.length("text")
+    places = [F.pmod(F.xxhash64("text", F.lit(i)), F.greatest(length - size, F.lit(1))).cast("int") + 1 for i in range(EXCERPTS)]
+    parts = F.concat_ws("\n", *[F.substr("text", place, F.lit(size)) for place in places])
+    excerpt = F.when(length <= chars, F.col("text")).otherwise(parts)
+    rows = (texts.join(F.broadcast(drawn), "id").select("id", "label", F.struct(F.xxhash64("text").alias("h"), excerpt.alias("t")).alias("row"))
+            .groupBy("id", "label").agg(F.min("row").alias("row")).select("row.t", "label").collect())
+    return [(row.t, int(row.label)) for row in rows], counts.get(1, 0) / sum(counts.values())
 
 
 def score_column(network: Network | float, text: Column) -> Column:

@@ -156,3 +156,25 @@ def test_quality_without_labels(spark, documents):
     model = quality.fit(quality.training_rows(described, ones, "quality", F.lit(True)))
     assert {r.score for r in quality.score(described, model).collect()} == {1.0}
     assert quality.with_statistics(documents([])).collect() == []
+
+
+def test_training_rows_are_one_per_id_and_take_long_texts(spark, documents):
+    long = " ".join(f"w{i}" for i in range(30_000))
+    rows = [(i, prose(i)) for i in range(20)] + [(7, f"hot {i}") for i in range(300)] + [(100, long), (None, "lost")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)] + [(7, 1), (100, 1), (None, 1), (999, 0)],
+                                   "doc_id bigint, toxic int")
+    found, _ = toxicity.training_rows(documents(rows), labels, "toxic", F.lit(True))
+    again, _ = toxicity.training_rows(documents(rows[::-1]).repartition(7), labels, "toxic", F.lit(True))
+    assert len(found) == 21 and sorted(found) == sorted(again)
+    excerpt, = [t for t, _ in found if len(t) > 5000]
+    parts = excerpt.split("\n")
+    assert len(excerpt) <= toxicity.SAMPLE_CHARS + 3 and len(parts) == toxicity.EXCERPTS and all(p in long for p in parts)
+
+
+def test_tokens_without_blanks_are_cut():
+    token = "".join(chr(97 + i % 26) for i in range(1_000_000))
+    cut = toxicity.tokens(token + " end")
+    assert max(map(len, cut)) <= toxicity.LONG_WORD and cut[-1] == "end" and len(cut) < 20_000
+    joined = cut[0] + "".join(t[toxicity.LAP:] for t in cut[1:-1])
+    assert joined == token and toxicity.tokens(None) == [] and toxicity.tokens("a bc") == ["a", "bc"]
+    assert toxicity.tokens("y" * 64) == ["y" * 64] and len(toxicity.tokens("y" * 65)) == 2
