@@ -41,7 +41,12 @@ def build_session(app_name: str = "playtide", master: str | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: the one the session names, else one of this application's own."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named.rstrip("/") if named else f"{SCRATCH}/{spark.sparkContext.applicationId}"
+    if named:
+        return named.rstrip("/")
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    if default.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{SCRATCH}/{spark.sparkContext.applicationId}"
 
 
 def work_path(spark: SparkSession, name: str) -> str:
