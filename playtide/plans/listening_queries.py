@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playtide import functions as P
-from playtide.operators import catalog, plays as listening, tables
+from playtide.operators import catalog, clustering, plays as listening, tables
 from playtide.plans import bindings as b
 from playtide.plans import pipelines
 from playtide.plans.registry import query
 from playtide.schemas import ARTIST_TOP_TRACKS, RECENT_ITEM, RECENT_LIMIT, TOP_TRACKS, TOP_TRACKS_EVENT_TYPE
+from playtide.session import work_path
 from playtide.sources import payloads
 from playtide.sources.files import topic_messages as as_messages
 
@@ -398,3 +399,16 @@ SELECT user_id, event_id, played_at FROM plays WHERE album_id = 'purchase'""")
 def where_equal(spark, sf_dir):
     found = tables.where_equal(b.plays(spark, sf_dir), "album_id", "purchase")
     return tables.project(found, ["user_id", "event_id", "played_at"])
+
+
+@query("""
+WITH busy AS (SELECT user_id FROM events GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 1)
+SELECT user_id, event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS played_at FROM events JOIN busy USING (user_id)""")
+def clustered_timeline(spark, sf_dir):
+    """The timeline of the user with most plays, out of plays laid out by user and time."""
+    path = work_path(spark, "clustered")
+    plays = b.table(spark, sf_dir, "events").select("user_id", "event_id", F.col("ts").alias("played_at"))
+    clustering.write_clustered(plays, path, 32)
+    busy = plays.groupBy("user_id").count().orderBy(F.desc("count"), "user_id").first()["user_id"]
+    rows = clustering.read_timeline(spark, path, busy)
+    return rows.withColumn("played_at", F.date_format("played_at", "yyyy-MM-dd'T'HH:mm:ss"))
