@@ -183,21 +183,25 @@ def _centres(items: DataFrame, quantiser: Quantiser, hot: int, half: float) -> n
 
 def _placed(items: DataFrame, quantiser: Quantiser, centres: np.ndarray, theta: float) -> DataFrame:
     """Every vector's centre within reach, whether it is in its core, and other centres it may have links at."""
+    some = max(1, (1 << 21) // max(len(centres), 1))  # rows compared with the centres at once
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             vectors, sizes = units(batch["vec"])
-            angles = np.full((len(sizes), len(centres)), np.pi)
+            best, nearest, near = np.zeros(len(sizes), np.int64), np.full(len(sizes), np.pi), [[]] * len(sizes)
             fits = np.flatnonzero(sizes == quantiser.width)
-            if len(fits):
-                angles[fits] = np.arccos(np.clip(vectors[fits, :quantiser.width] @ centres.T, -1, 1))
-            best = angles.argmin(axis=1)
-            nearest = angles[np.arange(len(best)), best]
+            for start in range(0, len(fits), some):
+                rows = fits[start:start + some]
+                angles = np.arccos(np.clip(vectors[rows, :quantiser.width] @ centres.T, -1, 1))
+                best[rows] = angles.argmin(axis=1)
+                nearest[rows] = angles.min(axis=1)
+                for row, close in zip(rows, angles <= REACH + theta + _SAFE):
+                    close[best[row]] &= nearest[row] > REACH
+                    near[row] = np.flatnonzero(close)
             home = nearest <= REACH
-            near = angles <= REACH + theta + _SAFE
-            near[np.flatnonzero(home), best[home]] = False
             yield pa.RecordBatch.from_arrays(
                 [batch["item"], batch["n"], batch["vec"], pa.array(best, mask=~home), pa.array(nearest <= theta / 2 - _SAFE),
-                 pa.array([np.flatnonzero(row) for row in near], pa.list_(pa.int64()))],
+                 pa.array(near, pa.list_(pa.int64()))],
                 names=["item", "n", "vec", "home", "core", "near"])
 
     return items.select("item", "n", "vec").mapInArrow(
