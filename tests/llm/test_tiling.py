@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from playtide.llm import tiling
 
@@ -64,6 +65,42 @@ def test_blocks_do_not_change_the_result(spark, documents):
     assert tiling.contaminated(docs, benchmark).count() == 20
 
 
+def test_matches_of_repeated_lines_against_the_definition():
+    rng = random.Random(5)
+    for _ in range(80):
+        line = [rng.choice("abc") for _ in range(rng.randint(1, 6))]
+        item = (line * 6)[:rng.randint(5, 30)] + [rng.choice("abcd") for _ in range(rng.randint(0, 4))]
+        text = (line * 20)[rng.randint(0, 4):rng.randint(5, 60)] + [rng.choice("abz") for _ in range(3)]
+        block = tiling.Block([(1, " ".join(item)), (2, " ".join(item).upper())], 3)
+        wanted = brute_tiles(text, item, 3)
+        found = block.matches(" ".join(text), 0.5)
+        if sum(n for *_, n in wanted) < 0.5 * len(item):
+            assert found == []
+        else:
+            assert [m["item_id"] for m in found] == [1, 2]
+            for match in found:
+                assert [(t["text_place"], t["item_place"], t["words"]) for t in match["tiles"]] == wanted
+
+
+def test_a_repeated_line_is_not_listed_pair_by_pair():
+    line = "the quick brown fox jumps over the lazy dog again"
+    block = tiling.Block([(0, "\n".join([line] * 20))], 5)
+    numbers = block.numbers("\n".join([line] * 2000))
+    places = np.arange(len(numbers) - 4)
+    # One match for each way of laying the lines over each other.
+    assert len(block.items[0].matches(numbers, places, tiling.rolling(numbers, 5))) == 2000 + 20 - 1
+    assert block.matches("\n".join(f"{line} {n}" for n in range(5000)), 0.9)[0]["covered_words"] == 200
+
+
+@pytest.mark.parametrize("kind", ["smallint", "int", "string"])
+def test_kinds_of_item_ids(spark, documents, kind):
+    item = prose(1000, 60)
+    benchmark = spark.createDataFrame([(7, item)], "item_id bigint, text string").selectExpr(
+        f"cast(item_id as {kind}) item_id", "text")
+    found = tiling.contaminated(documents([(1, item)]), benchmark)
+    assert dict(found.dtypes)["item_id"] == kind and found.count() == 1
+
+
 def test_empty(spark, documents):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert tiling.contaminated(documents(EDGES), none).collect() == []
