@@ -37,7 +37,7 @@ from playtide.llm.frames import map_texts, python_ready, stored, whole_text
 
 SEED = 42
 PARTS = 4  # of a fingerprint, whose population counts are the bins of a tile
-WORDS_REMEMBERED = 400_000
+WORDS_REMEMBERED = 100_000
 WIDE_RADIUS = 28  # of 128 bits: documents 0.8 alike differ in 19 on average, unrelated ones in 64
 
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
