@@ -3,11 +3,11 @@
 Texts are lower-cased (A-Z), cut at ASCII white space into words, and each word, with a blank
 before it, into subword ids of a public byte-level BPE; one end mark closes a text. The
 probability of an id is that of its class given the ids before it, times its share in that
-class. Classes group ids that stand in like surroundings: their neighbours are counted by
-partition and summed over one in ``SHARE`` training rows, whole, so they grow with the input (over all
-rows of a small input). Word and id counts are taken over all training rows. The attention layer
-that predicts classes is trained by back-propagation on about ``WINDOWS`` windows, drawn from those same
-rows at any place of texts of any length; what ``STEPS`` batches can use bounds their number.
+class. Classes group ids that stand in like surroundings. Words, ids and their neighbours are counted
+over all training rows. The attention layer that predicts classes is trained by back-propagation on all
+windows of all training rows: it starts from weights that ``STEPS`` batches of about ``WINDOWS`` drawn
+windows give (they go several times over a small input); then, in ``ROUNDS`` rounds that together hold
+every training row once, each core learns all windows of its part, and the means of the weights go on.
 
 A window holds ``CONTEXT`` earlier ids and the ``SCORED`` ids that it scores; the next window
 starts ``SCORED`` ids later, so every id is scored once with at least ``CONTEXT`` ids before
@@ -15,7 +15,8 @@ it (fewer at the beginning), and thousands of windows are scored at a time.
 
 Word counts of the whole corpus never meet in one place: texts are dealt to blocks by a hash,
 each block's different words meet their equals of other blocks in a shuffle by word, are cut into
-subword ids once there, and counts and ids return to the block that asked.
+subword ids once there, and counts and ids return to the block that asked. The ids of whole texts
+are stored, and neighbours, training and scores read them there.
 
 Defined results: null and empty texts are one end mark. A null id is a training row. Without
 training rows all counts are 0 and the network keeps its starting weights. Repeated rows
@@ -43,9 +44,10 @@ WIDTH = 16  # of an id's vector
 CLASSES = 128
 CLUSTERED = 4000  # most frequent ids that are classed by their surroundings
 NEIGHBOURS = 256  # most frequent ids that count as surroundings
-SHARE, LEAST_ROWS = 16, 4000  # of the training rows, neighbours are counted in one in SHARE, and in so many at least
 STEPS, BATCH = 1000, 256
-WINDOWS = 1 << 16  # drawn for training: each is used about four times
+WINDOWS = 1 << 16  # drawn for the first weights: each is used about four times
+ROUNDS, LEARNT_AT_ONCE, RATE = 2, 1 << 10, 0.01  # of training on all windows
+IDS_BYTES = 1 << 20  # of stored ids that are worked on at once
 BLOCK_BYTES = 16 << 20  # of text that is scored together
 CHUNK = 1 << 8  # windows scored at once
 SAFE = 60.0  # exponents up to this need no shift in 32 bits
@@ -238,19 +240,30 @@ def trained(drawn: tuple[np.ndarray, np.ndarray] | None, table: np.ndarray, coun
          "b": np.log(np.bincount(classes, smooth, CLASSES) / smooth.sum() + 1e-9).astype(np.float32)}
     if drawn is not None and len(drawn[0]):
         inputs, targets = drawn
-        mean = {name: np.zeros_like(value) for name, value in w.items()}
-        square = {name: np.zeros_like(value) for name, value in w.items()}
+        steered = Steps(w)
         for step in range(1, steps + 1):
             rows = rng.integers(0, len(inputs), BATCH)
-            for name, grad in gradients(w, classes, inputs[rows], targets[rows], marks.none).items():
-                mean[name] += 0.1 * (grad - mean[name])
-                square[name] += 0.02 * (grad ** 2 - square[name])
-                size = 0.03 * (1 - step / (steps + 1))
-                w[name] -= (size * mean[name] / (1 - 0.9 ** step)
-                            / (np.sqrt(square[name] / (1 - 0.98 ** step)) + 1e-6)).astype(np.float32)
+            steered.take(gradients(w, classes, inputs[rows], targets[rows], marks.none), 0.03 * (1 - step / (steps + 1)))
     return Model(classes, share, w)
 
 
+class Steps:
+    """Steps down the gradient, by its running mean and size, that change ``weights``."""
+
+    def __init__(self, weights: dict[str, np.ndarray]):
+        self.weights, self.taken = weights, 0
+        self.mean = {name: np.zeros_like(value) for name, value in weights.items()}
+        self.square = {name: np.zeros_like(value) for name, value in weights.items()}
+
+    def take(self, grads: dict[str, np.ndarray], size: float) -> None:
+        self.taken += 1
+        for name, grad in grads.items():
+            self.mean[name] += 0.1 * (grad - self.mean[name])
+            self.square[name] += 0.02 * (grad ** 2 - self.square[name])
+            self.weights[name] -= (size * self.mean[name] / (1 - 0.9 ** self.taken)
+                                   / (np.sqrt(self.square[name] / (1 - 0.98 ** self.taken)) + 1e-6)).astype(np.float32)
+
+
 def gradients(w: dict[str, np.ndarray], classes: np.ndarray, inputs: np.ndarray, targets: np.ndarray,
               none: int) -> dict[str, np.ndarray]:
     """Of the mean negative log probability of the targets' classes."""
@@ -259,7 +272,7 @@ def gradients(w: dict[str, np.ndarray], classes: np.ndarray, inputs: np.ndarray,
     scale = WIDTH ** -0.5
     q, k, v = own @ w["q"] * scale, e @ w["k"], e @ w["v"]
     bias = w["p"][np.maximum(_BEHIND, 0)] + _HIDDEN
-    heed = softmax(q @ k.transpose(0, 2, 1) + bias - 1e4 * (inputs == none)[:, None, :])
+    heed = softmax(q @ k.transpose(0, 2, 1) + bias - np.float32(1e4) * (inputs == none).astype(np.float32)[:, None, :])
     mixed = heed @ v
     p = softmax(mixed @ w["a"] + own @ w["x"] + w["b"])
     there = targets >= 0
@@ -275,8 +288,10 @@ def gradients(w: dict[str, np.ndarray], classes: np.ndarray, inputs: np.ndarray,
     g = {"a": flat(mixed).T @ flat(dz), "x": flat(own).T @ flat(dz), "b": flat(dz).sum(axis=0),
          "q": flat(own).T @ flat(dq), "k": flat(e).T @ flat(dk), "v": flat(e).T @ flat(dv),
          "p": np.bincount(np.maximum(_BEHIND, 0).ravel(), (ds.sum(axis=0) * (_BEHIND >= 0)).ravel(), LENGTH),
-         "e": np.zeros_like(w["e"])}
-    np.add.at(g["e"], inputs.ravel(), flat(de))
+         "e": np.empty_like(w["e"])}
+    at, parts = inputs.ravel(), np.ascontiguousarray(flat(de).T)
+    for column, part in enumerate(parts):
+        g["e"][:, column] = np.bincount(at, part, len(w["e"]))
     return g
 
 
@@ -329,76 +344,25 @@ def id_counts(known: DataFrame, size: int) -> np.ndarray:
     return total
 
 
-def _gathered(learnt: DataFrame, counts: np.ndarray, words_in_all: int, rank_file: str,
-              pattern: str) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
-    """Neighbour counts, and windows to train on, of one in ``SHARE`` training rows."""
-    rows = learnt.count()
-    share = min(1.0, max(1 / SHARE, LEAST_ROWS / max(rows, 1)))
-    some = learnt.where(F.pmod(F.xxhash64("id", "text", F.lit("gather")), F.lit(1 << 40)) < int(share * (1 << 40))) \
-        .select("text")
-    per_word = counts.sum() / max(words_in_all, 1)
-    keep = min(1.0, 1.3 * WINDOWS * SCORED / max(share * words_in_all * per_word, 1))
-    shared = learnt.sparkSession.sparkContext.broadcast(counts)
-
-    def flat(batch: pa.RecordBatch, marks: Ids) -> tuple[np.ndarray, np.ndarray]:
-        texts = [[i for word in words(value.as_py()) for i in marks.of_word(word)] for value in batch["text"]]
-        return np.array([i for text in texts for i in text], np.int32), np.array([len(text) for text in texts])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks, table = ids_for(rank_file, pattern), np.zeros((CLUSTERED, 2 * NEIGHBOURS), np.int64)
-        for batch in slices(batches, "text"):
-            table += neighbours(shared.value, *flat(batch, marks))
-        cells = np.flatnonzero(table)
-        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(table.ravel()[cells])], names=["cell", "n"])
-
-    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = ids_for(rank_file, pattern)
-        for batch in slices(batches, "text"):
-            ids, lengths = flat(batch, marks)
-            inputs, targets = windows(ids, lengths, marks.start, marks.none)
-            # Drawn by what a batch holds, so that a task that runs again draws the same.
-            chosen = np.random.default_rng(int(ids.sum()) + len(ids)).random(len(inputs)) < keep
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(x[chosen]), pa.list_(pa.int32())) for x in (inputs, targets)], names=["inputs", "targets"])
-
-    table = np.zeros((CLUSTERED, 2 * NEIGHBOURS), np.int64)
-    # At most one row per cell of the table reaches the driver.
-    summed = some.mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    table.ravel()[summed["cell"].to_numpy()] = summed["n"].to_numpy()
-    found = some.mapInArrow(draw, "inputs array<int>, targets array<int>").limit(2 * WINDOWS).toArrow()
-    stacked = [np.concatenate([c.flatten().to_numpy() for c in found[name].chunks] or [np.empty(0, np.int32)]).reshape(-1, width)
-               for name, width in (("inputs", LENGTH), ("targets", SCORED))]
-    return table, (stacked[0], stacked[1])
+def id_type_for(marks: Ids) -> type:
+    return np.uint16 if marks.none < 1 << 16 else np.int32
 
 
-def score(docs: DataFrame, allowed: Column, rank_file: str, pattern: str, text: str = "text",
-          id_column: str = "doc_id", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``id, learnt, n_tokens, n_known, train_tokens, base_score, score`` of each text.
-
-    ``allowed`` says of the column ``id`` which rows are learnt from.
-    """
-    spark = python_ready(docs.sparkSession)
-    blocked = _blocks(docs, allowed, text, id_column, block_bytes)
-    here = stored(word_counts(blocked), "word-counts")
-    known = stored(dictionary(here, rank_file, pattern), "dictionary")
-    total, distinct = known.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count_if(F.col("count") > 0)).first()
-    marks = ids_for(rank_file, pattern)
-    counts = id_counts(known, marks.size)
-    table, drawn = _gathered(blocked.where("learnt"), counts, total, rank_file, pattern)
-    model = trained(drawn, table, counts, marks, STEPS)
-    shared = spark.sparkContext.broadcast(model)
+def encoded(blocked: DataFrame, here: DataFrame, known: DataFrame, total: int, distinct: int, rank_file: str,
+            pattern: str) -> DataFrame:
+    """``id, learnt, n_tokens, n_known, base_score, ids``: each text with the subword ids of the whole of it."""
     id_type = blocked.schema["id"].dataType.simpleString()
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        marks, model = ids_for(rank_file, pattern), shared.value
+        kind = id_type_for(ids_for(rank_file, pattern))
         place = dict(zip(right["word"].to_pylist(), range(len(right))))
         count = right["count"].to_numpy()
         base = np.log10((count + 1) / (total + distinct + 1))
         ids = right["ids"].combine_chunks()
-        flat, sizes = ids.flatten().to_numpy(), np.diff(ids.offsets.to_numpy())
+        flat, sizes = ids.flatten().to_numpy().astype(kind), np.diff(ids.offsets.to_numpy())
         begins = np.cumsum(sizes) - sizes
-        tables = model.tables()
-        columns: dict[str, list] = {"n_tokens": [], "n_known": [], "base_score": [], "score": []}
+        columns: dict[str, list] = {"n_tokens": [], "n_known": [], "base_score": []}
+        texts_ids: list[bytes] = []
 
         def finish(texts: list[np.ndarray]) -> None:
             lengths = np.array([len(x) for x in texts])
@@ -410,7 +374,7 @@ def score(docs: DataFrame, allowed: Column, rank_file: str, pattern: str, text:
             size = sizes[every]
             ends = np.cumsum(size)
             ids = flat[np.arange(ends[-1]) - np.repeat(ends - size - begins[every], size)]
-            columns["score"].append(text_scores(model, tables, ids, np.add.reduceat(size, starts), marks))
+            texts_ids.extend(x.tobytes() for x in np.split(ids, np.cumsum(np.add.reduceat(size, starts))[:-1]))
 
         held, room = [], 0
         for value in left["text"]:
@@ -424,10 +388,149 @@ def score(docs: DataFrame, allowed: Column, rank_file: str, pattern: str, text:
         made = {name: np.concatenate(parts) if parts else np.empty(0) for name, parts in columns.items()}
         return pa.table({"id": left["id"], "learnt": left["learnt"],
                          **{name: pa.array(made[name], pa.int64()) for name in ("n_tokens", "n_known")},
-                         "train_tokens": pa.array(np.full(len(left), total), pa.int64()),
-                         **{name: pa.array(made[name], pa.float64()) for name in ("base_score", "score")}})
+                         "base_score": pa.array(made["base_score"], pa.float64()),
+                         "ids": pa.array(texts_ids, pa.binary())})
 
     asked = here.select("block", "word").join(known, "word")
     return blocked.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(
+        run, f"id {id_type}, learnt boolean, n_tokens bigint, n_known bigint, base_score double, ids binary")
+
+
+def texts_end_to_end(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of stored texts, and how many each text has."""
+    held = column.to_pylist()
+    return (np.frombuffer(b"".join(held), kind).astype(np.int32),
+            np.array([len(x) for x in held], np.int64) // np.dtype(kind).itemsize)
+
+
+def neighbour_counts(learnt: DataFrame, counts: np.ndarray, rank_file: str, pattern: str) -> np.ndarray:
+    """Neighbour counts of all training rows; at most one row per cell of the table reaches the driver."""
+    shared = learnt.sparkSession.sparkContext.broadcast(counts)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind, table = id_type_for(ids_for(rank_file, pattern)), np.zeros((CLUSTERED, 2 * NEIGHBOURS), np.int64)
+        for batch in slices(batches, "ids", IDS_BYTES):
+            table += neighbours(shared.value, *texts_end_to_end(batch["ids"], kind))
+        cells = np.flatnonzero(table)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(table.ravel()[cells])], names=["cell", "n"])
+
+    table = np.zeros((CLUSTERED, 2 * NEIGHBOURS), np.int64)
+    summed = (learnt.select("ids").mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
+              .toArrow())
+    table.ravel()[summed["cell"].to_numpy()] = summed["n"].to_numpy()
+    return table
+
+
+def first_windows(learnt: DataFrame, ids_in_all: int, rank_file: str, pattern: str) -> tuple[np.ndarray, np.ndarray]:
+    """About ``WINDOWS`` windows, from any place of the training rows, that the weights start from."""
+    keep = min(1.0, 1.3 * WINDOWS * SCORED / max(ids_in_all, 1))
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = ids_for(rank_file, pattern)
+        for batch in slices(batches, "ids", IDS_BYTES):
+            ids, lengths = texts_end_to_end(batch["ids"], id_type_for(marks))
+            inputs, targets = windows(ids, lengths, marks.start, marks.none)
+            # Drawn by what a batch holds, so that a task that runs again draws the same.
+            chosen = np.random.default_rng(int(ids.sum()) + len(ids)).random(len(inputs)) < keep
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(x[chosen]), pa.list_(pa.int32())) for x in (inputs, targets)], names=["inputs", "targets"])
+
+    found = learnt.select("ids").mapInArrow(draw, "inputs array<int>, targets array<int>").limit(2 * WINDOWS).toArrow()
+    stacked = [np.concatenate([c.flatten().to_numpy() for c in found[name].chunks] or [np.empty(0, np.int32)]).reshape(-1, width)
+               for name, width in (("inputs", LENGTH), ("targets", SCORED))]
+    return stacked[0], stacked[1]
+
+
+def _as_rows(weights: dict[str, np.ndarray]) -> np.ndarray:
+    """All weights as rows of ``WIDTH``."""
+    return np.concatenate([value.reshape(-1, WIDTH) for value in weights.values()])
+
+
+def _from_rows(rows: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    cuts = np.cumsum([value.size // WIDTH for value in like.values()])[:-1]
+    return {name: part.reshape(value.shape).astype(value.dtype)
+            for (name, value), part in zip(like.items(), np.split(rows, cuts))}
+
+
+def learnt_from_all(model: Model, learnt: DataFrame, rank_file: str, pattern: str) -> tuple[Model, int]:
+    """The model after training on every window of every training row, and how many windows these were.
+
+    The driver gets the mean weights of a round, not those of each task.
+    """
+    context = learnt.sparkSession.sparkContext
+    names = [f"w{i}" for i in range(WIDTH)]
+    seen = 0
+    for number in range(ROUNDS):
+        shared, size = context.broadcast(model), RATE * (1 - number / ROUNDS)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            marks, start = ids_for(rank_file, pattern), shared.value
+            weights = {name: value.copy() for name, value in start.weights.items()}
+            steered, many = Steps(weights), 0
+            held: list[tuple[np.ndarray, np.ndarray]] = []
+
+            def learn(whole: bool) -> None:
+                inputs, targets = (np.concatenate(x) for x in zip(*held))
+                end = len(inputs) if whole else len(inputs) // LEARNT_AT_ONCE * LEARNT_AT_ONCE
+                for i in range(0, end, LEARNT_AT_ONCE):
+                    j = min(i + LEARNT_AT_ONCE, end)
+                    steered.take(gradients(weights, start.classes, inputs[i:j], targets[i:j], marks.none), size)
+                held[:] = [(inputs[end:], targets[end:])]
+
+            for batch in slices(batches, "ids", IDS_BYTES):
+                held.append(windows(*texts_end_to_end(batch["ids"], id_type_for(marks)), marks.start, marks.none))
+                many += len(held[-1][0])
+                learn(False)
+            if many:
+                learn(True)
+                rows = _as_rows(weights).astype(float) * many
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(len(rows))), pa.array(np.full(len(rows), many)), *map(pa.array, rows.T.copy())],
+                    names=["row", "many", *names])
+
+        part = learnt.where(F.pmod(F.xxhash64("id", "n_tokens", F.lit("round")), F.lit(ROUNDS)) == number)
+        # One set of weights a core, however large the input.
+        sums = (part.select("ids").coalesce(max(context.defaultParallelism, 1))
+                .mapInArrow(run, f"row bigint, many bigint, {', '.join(f'{n} double' for n in names)}")
+                .groupBy("row").agg(F.sum("many").alias("many"), *[F.sum(n).alias(n) for n in names]).toArrow().sort_by("row"))
+        if len(sums):
+            many = sums["many"].to_numpy()
+            seen += int(many[0])
+            means = np.stack([sums[n].to_numpy() for n in names], axis=1) / many[:, None]
+            model = Model(model.classes, model.share, _from_rows(means, model.weights))
+    return model, seen
+
+
+def score(docs: DataFrame, allowed: Column, rank_file: str, pattern: str, text: str = "text",
+          id_column: str = "doc_id", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``id, learnt, n_tokens, n_known, train_tokens, base_score, score`` of each text.
+
+    ``allowed`` says of the column ``id`` which rows are learnt from.
+    """
+    spark = python_ready(docs.sparkSession)
+    blocked = _blocks(docs, allowed, text, id_column, block_bytes)
+    here = stored(word_counts(blocked), "word-counts", compression="zstd")
+    known = stored(dictionary(here, rank_file, pattern), "dictionary", compression="zstd")
+    total, distinct = known.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count_if(F.col("count") > 0)).first()
+    marks = ids_for(rank_file, pattern)
+    counts = id_counts(known, marks.size)
+    texts = stored(encoded(blocked, here, known, total, distinct, rank_file, pattern), "text-ids", compression="zstd")
+    learnt = texts.where("learnt")
+    table = neighbour_counts(learnt, counts, rank_file, pattern)
+    model = trained(first_windows(learnt, int(counts.sum()), rank_file, pattern), table, counts, marks, STEPS)
+    model, _ = learnt_from_all(model, learnt, rank_file, pattern)
+    shared = spark.sparkContext.broadcast(model)
+    columns = ["id", "learnt", "n_tokens", "n_known", "train_tokens", "base_score"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks, model = ids_for(rank_file, pattern), shared.value
+        tables = model.tables()
+        for batch in slices(batches, "ids", IDS_BYTES):
+            scores = text_scores(model, tables, *texts_end_to_end(batch["ids"], id_type_for(marks)), marks)
+            yield pa.RecordBatch.from_arrays([*(batch[name] for name in columns), pa.array(scores.astype(float))],
+                                             names=[*columns, "score"])
+
+    id_type = texts.schema["id"].dataType.simpleString()
+    return texts.withColumn("train_tokens", F.lit(total).cast("bigint")).select(*columns, "ids").mapInArrow(
         run, f"id {id_type}, learnt boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
              "base_score double, score double")

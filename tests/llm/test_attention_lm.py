@@ -166,3 +166,28 @@ def test_large_and_small_weights_against_the_definition(marks, model):
         wanted[there] = (p[there, model.classes[targets[there]]] + model.share[targets[there]]) / np.log(10)
         found = attention_lm.log10_scores(large, tables, inputs, targets)
         assert np.allclose(found, wanted, atol=2e-3)
+
+
+def test_all_training_rows_are_counted_and_learnt(spark, documents, marks, monkeypatch):
+    monkeypatch.setattr(attention_lm, "WINDOWS", 4)
+    monkeypatch.setattr(attention_lm, "LEARNT_AT_ONCE", 7)
+    rows = EDGES + [(1000 + i, prose(i, 80)) for i in range(4200)]
+    seen = {}
+
+    def spied(name):
+        plain = getattr(attention_lm, name)
+
+        def run(*args):
+            seen[name] = plain(*args)
+            return seen[name]
+        monkeypatch.setattr(attention_lm, name, run)
+
+    spied("neighbour_counts")
+    spied("learnt_from_all")
+    found = attention_lm.score(documents(rows), F.col("id") % 2 == 0, RANKS, public_tokenizers.PATTERN, block_bytes=200_000)
+    texts = [[i for w in attention_lm.words(t) for i in marks.of_word(w)] for n, t in rows if n is None or n % 2 == 0]
+    flat, lengths = np.concatenate(texts), np.array([len(t) for t in texts])
+    wanted = attention_lm.neighbours(np.bincount(flat, minlength=marks.size), flat, lengths)
+    assert (seen["neighbour_counts"] == wanted).all()
+    assert seen["learnt_from_all"][1] == (-(-lengths // attention_lm.SCORED)).sum()
+    assert found.count() == len(rows)
