@@ -46,10 +46,10 @@ CLUSTERED = 4000  # most frequent ids that are classed by their surroundings
 NEIGHBOURS = 256  # most frequent ids that count as surroundings
 STEPS, BATCH = 1000, 256
 WINDOWS = 1 << 16  # drawn for the first weights: each is used about four times
-ROUNDS, LEARNT_AT_ONCE, RATE = 2, 1 << 10, 0.01  # of training on all windows
+ROUNDS, LEARNT_AT_ONCE, RATE = 2, 1 << 12, 0.01  # of training on all windows
 IDS_BYTES = 1 << 20  # of stored ids that are worked on at once
 BLOCK_BYTES = 16 << 20  # of text that is scored together
-CHUNK = 1 << 8  # windows scored at once
+CHUNK, LEARNT_CHUNK = 1 << 8, 1 << 6  # windows scored at once, and learnt from at once
 SAFE = 60.0  # exponents up to this need no shift in 32 bits
 WORDS_REMEMBERED, LONG_WORD = 200_000, 64  # words up to so many bytes are remembered
 END_WORD = b"\n"  # stands for the end mark among words, which hold no white space
@@ -266,33 +266,59 @@ class Steps:
 
 def gradients(w: dict[str, np.ndarray], classes: np.ndarray, inputs: np.ndarray, targets: np.ndarray,
               none: int) -> dict[str, np.ndarray]:
-    """Of the mean negative log probability of the targets' classes."""
-    e = w["e"][inputs]
-    own = e[:, CONTEXT:]
-    scale = WIDTH ** -0.5
-    q, k, v = own @ w["q"] * scale, e @ w["k"], e @ w["v"]
-    bias = w["p"][np.maximum(_BEHIND, 0)] + _HIDDEN
-    heed = softmax(q @ k.transpose(0, 2, 1) + bias - np.float32(1e4) * (inputs == none).astype(np.float32)[:, None, :])
-    mixed = heed @ v
-    p = softmax(mixed @ w["a"] + own @ w["x"] + w["b"])
-    there = targets >= 0
-    p[there, classes[targets[there]]] -= 1
-    dz = p * (there[..., None] / max(there.sum(), 1)).astype(np.float32)
+    """Of the mean negative log probability of the targets' classes; summed over a few windows at a time, which a cache holds."""
+    kind, scale = w["e"].dtype, WIDTH ** -0.5
+    many = max(np.count_nonzero(targets >= 0), 1)
+    bias = (w["p"][np.maximum(_BEHIND, 0)] + _HIDDEN).astype(kind)
+    out = np.concatenate([w["a"], w["x"], w["b"][None]])
+    both, ones = np.concatenate([w["k"], w["v"]], axis=1), np.ones(CLASSES, kind)
     flat = lambda x: x.reshape(-1, x.shape[-1])
-    dmixed = dz @ w["a"].T
-    dheed = dmixed @ v.transpose(0, 2, 1)
-    ds = heed * (dheed - (dheed * heed).sum(axis=-1, keepdims=True))
-    dq, dk, dv = ds @ k * scale, ds.transpose(0, 2, 1) @ (q / scale) * scale, heed.transpose(0, 2, 1) @ dmixed
-    de = dk @ w["k"].T + dv @ w["v"].T
-    de[:, CONTEXT:] += dz @ w["x"].T + dq @ w["q"].T
-    g = {"a": flat(mixed).T @ flat(dz), "x": flat(own).T @ flat(dz), "b": flat(dz).sum(axis=0),
-         "q": flat(own).T @ flat(dq), "k": flat(e).T @ flat(dk), "v": flat(e).T @ flat(dv),
-         "p": np.bincount(np.maximum(_BEHIND, 0).ravel(), (ds.sum(axis=0) * (_BEHIND >= 0)).ravel(), LENGTH),
-         "e": np.empty_like(w["e"])}
-    at, parts = inputs.ravel(), np.ascontiguousarray(flat(de).T)
-    for column, part in enumerate(parts):
-        g["e"][:, column] = np.bincount(at, part, len(w["e"]))
-    return g
+    d_out, d_both, d_query = np.zeros_like(out), np.zeros_like(both), np.zeros_like(w["q"])
+    d_bias, d_e = np.zeros(bias.shape), np.empty((*inputs.shape, WIDTH), kind)
+    for i in range(0, len(inputs), LEARNT_CHUNK):
+        asked, wanted = inputs[i:i + LEARNT_CHUNK], targets[i:i + LEARNT_CHUNK].ravel()
+        e = w["e"][asked]
+        own = np.ascontiguousarray(e[:, CONTEXT:])
+        q = (flat(own) @ w["q"] * scale).reshape(own.shape)
+        pairs = (flat(e) @ both).reshape(*e.shape[:2], -1)
+        k, v = np.ascontiguousarray(pairs[..., :WIDTH]), np.ascontiguousarray(pairs[..., WIDTH:])
+        heed = q @ k.transpose(0, 2, 1)
+        heed += bias
+        heed -= (asked == none).astype(kind)[:, None, :] * kind.type(1e4)
+        heed -= heed.max(axis=2, keepdims=True)
+        np.exp(heed, out=heed)
+        heed /= heed.sum(axis=2, keepdims=True)
+        mixed = heed @ v
+        state = np.concatenate([flat(mixed), flat(own), np.ones((len(wanted), 1), kind)], axis=1)
+        dz = state @ out
+        if dz.max() > SAFE:  # otherwise no exponential overflows
+            dz -= dz.max(axis=1, keepdims=True)
+        np.exp(dz, out=dz)
+        there = wanted >= 0
+        dz *= (there.astype(kind) / (many * (dz @ ones)))[:, None]
+        dz[there, classes[wanted[there]]] -= kind.type(1 / many)
+        d_out += state.T @ dz
+        d_state = dz @ out.T
+        d_mixed = np.ascontiguousarray(d_state[:, :WIDTH]).reshape(mixed.shape)
+        ds = d_mixed @ v.transpose(0, 2, 1)
+        ds -= (d_mixed * mixed).sum(axis=-1, keepdims=True)
+        ds *= heed
+        d_bias += ds.sum(axis=0)
+        dq = flat(ds @ k) * kind.type(scale)
+        d_pairs = np.concatenate([ds.transpose(0, 2, 1) @ q, heed.transpose(0, 2, 1) @ d_mixed], axis=-1)
+        d_query += flat(own).T @ dq
+        d_both += flat(e).T @ flat(d_pairs)
+        here = d_e[i:i + LEARNT_CHUNK]
+        np.matmul(flat(d_pairs), both.T, out=flat(here))
+        here[:, CONTEXT:] += (d_state[:, WIDTH:-1] + dq @ w["q"].T).reshape(own.shape)
+    order = np.argsort(inputs.ravel().astype(np.uint16 if none < 1 << 16 else np.int32), kind="stable")
+    at = inputs.ravel()[order]
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    g_e = np.zeros_like(w["e"])
+    g_e[at[first]] = np.add.reduceat(flat(d_e)[order], first, axis=0)
+    return {"a": d_out[:WIDTH], "x": d_out[WIDTH:-1], "b": d_out[-1], "q": d_query, "k": d_both[:, :WIDTH],
+            "v": d_both[:, WIDTH:], "e": g_e,
+            "p": np.bincount(np.maximum(_BEHIND, 0).ravel(), (d_bias * (_BEHIND >= 0)).ravel(), LENGTH)}
 
 
 def _blocks(docs: DataFrame, allowed: Column, text: str, id_column: str, block_bytes: int) -> DataFrame:
