@@ -69,7 +69,8 @@ def album_track_list(tracks: DataFrame, album: str = "album_id", duration: str =
     """Tracks of albums with ``mm:ss`` durations and the run time of the whole album.
 
     The run time is summed per album first and joined back, so that an album does
-    not have to pass through one window task.
+    not have to pass through one window task. Tracks that are dealt by album already
+    (see ``session.dealt``) are summed and joined where they are.
     """
     totals = tracks.groupBy(album).agg(F.sum(duration).alias("album_ms"),
                                        F.count("*").alias("album_tracks"))

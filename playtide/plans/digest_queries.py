@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from playtide.operators import catalog, stories, tables
 from playtide.plans import bindings as b
 from playtide.plans.registry import query
+from playtide.session import dealt
 
 
 def _round(df, *columns, digits=6):
@@ -24,13 +25,17 @@ SELECT album_id, position, track_id, printf('%02d:%02d', ms // 60000, (ms // 100
        printf('%02d:%02d', total // 60000, (total // 1000) % 60) AS album_length, n AS album_tracks
 FROM t JOIN a USING (album_id)""")
 def album_track_list(spark, sf_dir):
-    heard = b.table(spark, sf_dir, "orders").join(
-        b.table(spark, sf_dir, "events").select(F.col("user_id").alias("o_custkey")), "o_custkey", "left_semi")
-    tracks = b.table(spark, sf_dir, "lineitem").select(
+    orders, events, lines = (b.table(spark, sf_dir, name) for name in ("orders", "events", "lineitem"))
+    n_orders, n_events, n_lines = orders.count(), events.count(), lines.count()
+    users = dealt(events.select(F.col("user_id").alias("o_custkey")), max(n_orders, n_events), "o_custkey").distinct()
+    heard = dealt(orders.select("o_custkey", "o_orderkey"), max(n_orders, n_events), "o_custkey").join(
+        users, "o_custkey", "left_semi")
+    tracks = lines.select(
         F.col("l_orderkey").alias("album_id"), F.col("l_linenumber").alias("position"),
         F.col("l_partkey").alias("track_id"),
         (F.col("l_quantity") * 7321).cast("bigint").alias("duration_ms"))
-    tracks = tracks.join(heard.select(F.col("o_orderkey").alias("album_id")), "album_id")
+    albums = dealt(heard.select(F.col("o_orderkey").alias("album_id")), max(n_orders, n_lines), "album_id")
+    tracks = dealt(tracks, max(n_orders, n_lines), "album_id").join(albums, "album_id")
     listed = catalog.album_track_list(tracks, keep=["position", "track_id"])
     return listed.select("album_id", "position", "track_id", "length", "album_length", "album_tracks")
 

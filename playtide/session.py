@@ -23,6 +23,10 @@ _DEFAULTS = {
 SCRATCH = "/tmp/checkpoints/playtide"
 
 
+# So many rows of a few short columns take some tens of megabytes to sort.
+ROWS_PER_TASK = 250_000
+
+
 def build_session(app_name: str = "playtide", master: str | None = None,
                   conf: dict[str, str] | None = None) -> SparkSession:
     """A session with the settings the operators were planned for.
@@ -54,6 +58,15 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """Dealt by ``keys`` to tasks of about ``ROWS_PER_TASK`` rows each, for a table that ``rows`` grow with.
+
+    Joins and sums by the keys then hold a bounded part of it in each task, whatever the session's number of
+    shuffle partitions and however large the input.
+    """
+    return df.repartition(-(-rows // ROWS_PER_TASK) or 1, *keys)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise a small intermediate in the shared folder and cut its lineage."""
     context = df.sparkSession.sparkContext

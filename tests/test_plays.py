@@ -163,3 +163,21 @@ def test_messages_keep_nulls_and_text(spark, tmp_path):
     assert messages.first()["value"] == '{"a":"Ä\\"","b":null}'
     files.write_messages(messages, str(tmp_path / "topic"))
     assert spark.read.json(str(tmp_path / "topic")).count() == 1
+
+
+def test_track_list_tasks_hold_a_bounded_number_of_rows(spark, tmp_path, monkeypatch):
+    from playtide import session
+    from playtide.plans import registry
+    registry.load_all()
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 50)
+    orders = [(i, i % 40) for i in range(300)] + [(300, None), (None, 1)]
+    lines = [(i % 310, i // 310, i, float(i % 9)) for i in range(1500)] + [(None, 1, 1, 1.0), (5, 9, 1, None)]
+    events = [(u,) for u in range(0, 40, 2)] * 3 + [(None,)]
+    for name, rows, schema in (("orders", orders, "o_orderkey bigint, o_custkey bigint"), ("events", events, "user_id bigint"),
+                               ("lineitem", lines, "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_quantity double")):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    found = registry.QUERIES["album_track_list"](spark, str(tmp_path))
+    kept = [x for x in lines if x[0] is not None and x[0] < 300 and x[0] % 40 % 2 == 0]
+    assert sorted((r.album_id, r.position, r.track_id) for r in found.collect()) == sorted(x[:3] for x in kept)
+    parts = found.groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) > 20 and max(r["count"] for r in parts) < 150
