@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from playtide.operators import playlists as ops, tables
@@ -9,7 +10,7 @@ from playtide.operators import paging
 from playtide.plans import bindings as b
 from playtide.plans.registry import query
 from playtide.schemas import ALBUM_PAGE, SEARCH_RESULT, USER_PLAYLISTS
-from playtide.session import work_path
+from playtide.session import dealt, work_path
 from playtide.sources import documents, files, payloads
 from playtide.streaming import stores
 
@@ -380,11 +381,16 @@ def page_gaps(spark, sf_dir):
 
 @query("SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS o_orderpriority, o_totalprice FROM orders")
 def array_documents(spark, sf_dir):
-    """Orders as documents of one array per priority, put together in tasks, and read back by byte ranges."""
+    """Orders as documents of one array per priority, written line by line, and read back by byte ranges."""
     path = work_path(spark, "arrays")
     text = F.to_json(F.struct("o_orderkey", F.nullif("o_orderpriority", F.lit("5-LOW")).alias("o_orderpriority"), "o_totalprice"),
                      {"ignoreNullFields": "false"})
-    rows = b.table(spark, sf_dir, "orders").select(F.col("o_orderkey") % 50, "o_orderpriority", text.alias("value"))
-    group = rows.groupBy(rows.columns[0], "o_orderpriority").agg(F.concat_ws(",\n", F.collect_list("value")).alias("value"))
-    group.select(F.concat(F.lit("["), "value", F.lit("]")).alias("value")).write.option("lineSep", "\n\n").text(path)
+    orders = b.table(spark, sf_dir, "orders")
+    rows = orders.select((F.col("o_orderkey") % 50).alias("part"), "o_orderpriority", "o_orderkey", text.alias("value"))
+    # Each line says whether a document begins or ends there, so that no task holds a document.
+    document = W.partitionBy("part", "o_orderpriority").orderBy("o_orderkey")
+    lines = dealt(rows, orders.count(), "part", "o_orderpriority").select(
+        F.concat(F.when(F.lag(F.lit(1)).over(document).isNull(), F.lit("[")).otherwise(F.lit("")), "value",
+                 F.when(F.lead(F.lit(1)).over(document).isNull(), F.lit("]\n")).otherwise(F.lit(","))).alias("value"))
+    lines.write.text(path)
     return documents.read_array_records(spark, path, "o_orderkey bigint, o_orderpriority string, o_totalprice double")

@@ -3,6 +3,9 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from playtide import session
 from playtide.sources import documents
 
 SCHEMA = "id bigint, name string, tags array<string>, inner struct<a: int, b: string>"
@@ -55,3 +58,15 @@ def test_other_documents(spark, tmp_path, text, ids):
     (tmp_path / "a.json").write_text(text)
     got = [r.id for r in documents.read_array_records(spark, str(tmp_path), SCHEMA).collect()]
     assert sorted(got, key=str) == sorted(ids, key=str)
+
+
+def test_tasks_hold_a_bounded_part_of_one_byte_range(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 100, raising=False)
+    monkeypatch.setattr(documents, "_RUN_BITS", 3, raising=False)
+    rng = random.Random(5)
+    wanted = [record(rng, i) for i in range(1500)]
+    (tmp_path / "one.json").write_text(json.dumps(wanted), encoding="utf-8")
+    texts = documents.record_texts(spark, str(tmp_path)).withColumn("part", F.spark_partition_id()).collect()
+    assert [json.loads(r.record) for r in sorted(texts, key=lambda r: r.number)] == wanted
+    sizes = [sum(r.part == part for r in texts) for part in {r.part for r in texts}]
+    assert max(sizes) < 300 and len(sizes) > 10
