@@ -13,10 +13,11 @@ A window holds ``CONTEXT`` earlier ids and the ``SCORED`` ids that it scores; th
 starts ``SCORED`` ids later, so every id is scored once with at least ``CONTEXT`` ids before
 it (fewer at the beginning), and thousands of windows are scored at a time.
 
-Word counts of the whole corpus never meet in one place: texts are dealt to blocks by a hash,
-each block's different words meet their equals of other blocks in a shuffle by word, are cut into
-subword ids once there, and counts and ids return to the block that asked. The ids of whole texts
-are stored, and neighbours, training and scores read them there.
+Word counts of the whole corpus never meet in one place: each task lists the different words of the
+blocks of text that it reads and stores texts as places in that list. The words of the lists meet their
+equals of other blocks in a shuffle by word, are cut into subword ids once there, and counts and ids
+return to the block that asked. The ids of whole texts are stored, and neighbours, training and scores
+read them there.
 
 Defined results: null and empty texts are one end mark. A null id is a training row. Without
 training rows all counts are 0 and the network keeps its starting weights. Repeated rows
@@ -25,12 +26,13 @@ count as often as they occur and get equal scores.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,8 +50,10 @@ STEPS, BATCH = 1000, 256
 WINDOWS = 1 << 16  # drawn for the first weights: each is used about four times
 ROUNDS, LEARNT_AT_ONCE, RATE = 2, 1 << 12, 0.01  # of training on all windows
 IDS_BYTES = 1 << 20  # of stored ids that are worked on at once
-BLOCK_BYTES = 16 << 20  # of text that is scored together
-CHUNK, LEARNT_CHUNK = 1 << 8, 1 << 6  # windows scored at once, and learnt from at once
+BLOCK_BYTES = 16 << 20  # of text whose words are listed together
+WORDS_AT_ONCE = 1 << 18  # of blocks' lists that are cut into subword ids together
+CHUNK, LEARNT_CHUNK = 1 << 6, 1 << 6  # windows scored at once, and learnt from at once
+STEPPED = 1 << 11  # rows of weights that a step changes at once
 SAFE = 60.0  # exponents up to this need no shift in 32 bits
 WORDS_REMEMBERED, LONG_WORD = 200_000, 64  # words up to so many bytes are remembered
 END_WORD = b"\n"  # stands for the end mark among words, which hold no white space
@@ -93,20 +97,22 @@ def words(text: str | None) -> list[bytes]:
 def windows(ids: np.ndarray, lengths: np.ndarray, start: int, none: int) -> tuple[np.ndarray, np.ndarray]:
     """Inputs ``(windows, LENGTH)`` and targets ``(windows, SCORED)``, -1 behind the last id, of texts laid end to end."""
     counts = -(-lengths // SCORED)
-    text = np.repeat(np.arange(len(lengths)), lengths)
-    place = np.arange(len(ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    first = np.cumsum(counts) - counts
-    targets = np.full(counts.sum() * SCORED, -1, np.int32)
-    targets[first[text] * SCORED + place] = ids
-    # Each text's inputs: CONTEXT empty places, the start mark, then all ids but the last.
-    base = (first * SCORED + np.arange(len(lengths)) * CONTEXT)
-    line = np.full(counts.sum() * SCORED + len(lengths) * CONTEXT, none, np.int32)
-    line[base + CONTEXT] = start
-    inner = place < np.repeat(lengths, lengths) - 1
-    line[(base[text] + CONTEXT + 1 + place)[inner]] = ids[inner]
-    owner = np.repeat(np.arange(len(lengths)), counts)
-    at = base[owner] + (np.arange(len(owner)) - first[owner]) * SCORED
-    return line[at[:, None] + np.arange(LENGTH)], targets.reshape(-1, SCORED)
+    first = (np.cumsum(counts) - counts).astype(np.int32)
+    starts = np.cumsum(lengths) - lengths
+    place = np.arange(len(ids), dtype=np.int32) + np.repeat((first * SCORED - starts).astype(np.int32), lengths)
+    targets = np.full((counts.sum(), SCORED), -1, np.int32)
+    targets.ravel()[place] = ids
+    # What a window scores follows the start mark or the id before; its context is what the window before it scored.
+    before = np.empty(len(ids), np.int32)
+    before[1:] = ids[:-1]
+    before[starts[lengths > 0]] = start
+    inputs = np.full((len(targets), 2, SCORED), none, np.int32)
+    own = np.full(len(targets) * SCORED, none, np.int32)
+    own[place] = before
+    inputs[:, 1] = own.reshape(-1, SCORED)
+    inputs[1:, 0] = inputs[:-1, 1]
+    inputs[first[counts > 0], 0] = none
+    return inputs.reshape(-1, LENGTH), targets
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -127,50 +133,106 @@ class Model:
     weights: dict[str, np.ndarray]
 
     def tables(self) -> dict[str, np.ndarray]:
-        """What each id gives when it asks (query, vector) and when it is asked (key, value), for scoring."""
+        """What a forward pass takes: the vectors of ids with a one behind them, and what they are multiplied with."""
+        return {**forward_tables(self.weights), "most": self.largest()}
+
+    def largest(self) -> float:
+        """No product of a query and a key, with its bias, is larger."""
         w = self.weights
-        e = w["e"]
-        query, key = e @ w["q"] * WIDTH ** -0.5, e @ w["k"]
-        # No product of a query and a key, with its bias, is larger.
-        most = np.linalg.norm(query, axis=1).max() * np.linalg.norm(key, axis=1).max() + np.abs(w["p"]).max()
-        gate = np.zeros((len(e), 1), np.float32)
-        gate[-1] = -1e4  # the empty place is never heeded
-        one = np.ones((len(e), 1), np.float32)
-        return {"asking": np.concatenate([query, one, e], axis=1), "most": most,
-                "asked": np.concatenate([key, gate, e @ w["v"], one], axis=1),
-                "bias": (w["p"][np.maximum(_BEHIND, 0)] + _HIDDEN).astype(np.float32),
-                "out": np.concatenate([w["a"], w["x"], w["b"][None]]).astype(np.float32)}
+        query, key = w["e"] @ w["q"] * WIDTH ** -0.5, w["e"] @ w["k"]
+        return np.linalg.norm(query, axis=1).max() * np.linalg.norm(key, axis=1).max() + np.abs(w["p"]).max()
+
+
+def forward_tables(w: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    kind = w["e"].dtype
+    vectors, give = np.ones((len(w["e"]), WIDTH + 1), kind), np.zeros((WIDTH + 1, WIDTH + 1), kind)
+    vectors[:, :-1], give[:-1, :-1], give[-1, -1] = w["e"], w["v"], 1
+    return {"vectors": vectors, "asks": (w["q"] * WIDTH ** -0.5).astype(kind), "keys": w["k"].astype(kind), "give": give,
+            "bias": np.ascontiguousarray((w["p"][np.maximum(_BEHIND, 0)] + _HIDDEN).T.astype(kind)),  # by key and query
+            "out": np.concatenate([w["a"], w["x"], w["b"][None]]).astype(kind)}
+
+
+def mild(sums: np.ndarray) -> bool:
+    """Whether sums of exponentials are far from what 32 bits can't hold."""
+    return bool(1e-15 < sums.min() and sums.max() < 1e15)
+
+
+class Forward:
+    """Exponentials of heeds and of class logits of up to ``room`` windows, in arrays that are used again."""
+
+    def __init__(self, tables: dict[str, np.ndarray], room: int):
+        self.tables, self.room, kind = tables, room, tables["vectors"].dtype
+        asked, own = (room, LENGTH), (room, SCORED)
+        self._arrays = [np.empty(shape, kind) for shape in (
+            (*asked, WIDTH + 1), (*own, WIDTH), (*asked, WIDTH), (*asked, WIDTH + 1), (*asked, SCORED), (*own, WIDTH + 1),
+            (*own, 2 * WIDTH + 1), (*own, CLASSES))]
+        self._ones = np.ones(CLASSES, kind)
+        self._first = np.arange(room * SCORED) * CLASSES
+
+    def heeds(self, inputs: np.ndarray, none: int, shift: bool = False) -> None:
+        """Set ``heed`` by key and query, its sums ``total`` and the ``state`` of each query that gives the logits."""
+        t, many = self.tables, len(inputs)
+        self.e, self.q, self.k, self.v, self.heed, self.mixed, self.state, self.z = (x[:many] for x in self._arrays)
+        np.take(t["vectors"], inputs, axis=0, out=self.e, mode="clip")
+        self.state[..., WIDTH:] = self.e[:, CONTEXT:]
+        np.matmul(flat(self.state)[:, WIDTH:-1], t["asks"], out=flat(self.q))
+        turned = np.ascontiguousarray(self.q.transpose(0, 2, 1))
+        np.matmul(flat(self.e)[:, :WIDTH], t["keys"], out=flat(self.k))
+        np.matmul(flat(self.e), t["give"], out=flat(self.v))
+        empty = inputs == none
+        some = np.flatnonzero(empty.any(axis=1))
+        for shifted in (shift, True):  # mostly no exponent needs a shift, which the sums tell
+            np.matmul(self.k, turned, out=self.heed)
+            self.heed += t["bias"]
+            self.heed[some] -= (empty[some] * self.heed.dtype.type(1e4))[:, :, None]  # the empty place is never heeded
+            if shifted:
+                self.heed -= self.heed.max(axis=1, keepdims=True)
+            with np.errstate(over="ignore"):
+                np.exp(self.heed, out=self.heed)
+                np.matmul(self.heed.transpose(0, 2, 1), self.v, out=self.mixed)
+            if shifted or mild(self.mixed[..., WIDTH]):
+                break
+        self.total = 1 / self.mixed[..., WIDTH:]
+        np.multiply(self.mixed[..., :WIDTH], self.total, out=self.state[..., :WIDTH])
+
+    def logits(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Logits of the wanted classes, less what all are shifted by, and sums of all exponentials, which ``z`` holds."""
+        z, at = flat(self.z), self._first[:wanted.size] + wanted.ravel()
+        for shifted in (False, True):
+            np.matmul(flat(self.state), self.tables["out"], out=z)
+            if shifted:
+                z -= z.max(axis=1, keepdims=True)
+            picked = z.ravel()[at]
+            with np.errstate(over="ignore"):
+                np.exp(z, out=z)
+                sums = z @ self._ones
+            if shifted or mild(sums):
+                break
+        self.at = at
+        return picked, sums
+
+
+def flat(x: np.ndarray) -> np.ndarray:
+    return x.reshape(-1, x.shape[-1])
 
 
 def log10_scores(model: Model, tables: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """log10 probability of each target; 0 where there is none."""
-    asking, asked = tables["asking"][inputs[:, CONTEXT:]], tables["asked"][inputs]
-    cut, many = WIDTH + 1, targets.size
-    scores = asking[..., :cut] @ asked[..., :cut].transpose(0, 2, 1)
-    scores += tables["bias"]
-    if tables["most"] > SAFE:  # otherwise the exponentials neither overflow nor vanish
-        scores -= scores.max(axis=2, keepdims=True)
-    np.exp(scores, out=scores)
-    mixed = scores @ asked[..., cut:]
-    state = np.empty((many, 2 * WIDTH + 1), mixed.dtype)
-    parts = state.reshape(*targets.shape, -1)
-    np.divide(mixed[..., :WIDTH], mixed[..., WIDTH:], out=parts[..., :WIDTH])
-    parts[..., WIDTH:-1] = asking[..., cut:]
-    parts[..., -1] = 1
-    logits = state @ tables["out"]
-    wanted = np.maximum(targets, 0).ravel()
-    picked = logits.ravel()[np.arange(many) * CLASSES + model.classes[wanted]]
-    np.exp(logits, out=logits)
-    out = (picked - np.log(logits @ np.ones(CLASSES, logits.dtype)) + model.share[wanted]) / np.log(10)
-    return np.where(targets >= 0, out.reshape(targets.shape), 0)
+    out, none = np.empty(targets.shape, tables["vectors"].dtype), len(tables["vectors"]) - 1
+    forward = Forward(tables, min(CHUNK, len(inputs)))
+    for i in range(0, len(inputs), CHUNK):
+        wanted = np.maximum(targets[i:i + CHUNK], 0)
+        forward.heeds(inputs[i:i + CHUNK], none, tables["most"] > SAFE)
+        picked, sums = forward.logits(model.classes[wanted])
+        out[i:i + CHUNK] = (picked - np.log(sums)).reshape(wanted.shape) + model.share[wanted]
+    return np.where(targets >= 0, out / np.log(10), 0)
 
 
 def text_scores(model: Model, tables: dict[str, np.ndarray], ids: np.ndarray, lengths: np.ndarray,
                 marks: Ids) -> np.ndarray:
     """log10 probability of each of the texts that lie end to end in ``ids``."""
     inputs, targets = windows(ids, lengths, marks.start, marks.none)
-    sums = np.concatenate([log10_scores(model, tables, inputs[i:i + CHUNK], targets[i:i + CHUNK]).sum(axis=1)
-                           for i in range(0, len(inputs), CHUNK)])
+    sums = log10_scores(model, tables, inputs, targets).sum(axis=1)
     counts = -(-lengths // SCORED)
     return np.add.reduceat(sums, np.cumsum(counts) - counts)
 
@@ -179,15 +241,15 @@ def neighbours(counts: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> np.n
     """How often each frequent id stands behind and before each of the most frequent ones, within texts laid end to end."""
     rank = np.full(len(counts) + 3, CLUSTERED)
     rank[np.argsort(-counts, kind="stable")[:CLUSTERED]] = np.arange(min(CLUSTERED, len(counts)))
+    rank = rank.astype(np.int32)[ids]
     inner = np.ones(len(ids), bool)
     inner[np.cumsum(lengths)[lengths > 0] - 1] = False
-    left = np.flatnonzero(inner)
-    first, second = rank[ids[left]], rank[ids[left + 1]]
-    table = np.zeros((CLUSTERED, 2 * NEIGHBOURS), np.int64)
+    first, second, inner = rank[:-1], rank[1:], inner[:-1]
+    cells = []
     for a, b, shift in ((first, second, 0), (second, first, NEIGHBOURS)):
-        use = (a < CLUSTERED) & (b < NEIGHBOURS)
-        table += np.bincount(a[use] * 2 * NEIGHBOURS + b[use] + shift, minlength=table.size).reshape(table.shape)
-    return table
+        use = np.flatnonzero((a < CLUSTERED) & (b < NEIGHBOURS) & inner)
+        cells.append(a[use] * (2 * NEIGHBOURS) + b[use] + shift)
+    return np.bincount(np.concatenate(cells), minlength=CLUSTERED * 2 * NEIGHBOURS).reshape(CLUSTERED, -1)
 
 
 def class_of_ids(counts: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -257,116 +319,173 @@ class Steps:
 
     def take(self, grads: dict[str, np.ndarray], size: float) -> None:
         self.taken += 1
+        size, flatter = size / (1 - 0.9 ** self.taken), 1 / (1 - 0.98 ** self.taken)
         for name, grad in grads.items():
-            self.mean[name] += 0.1 * (grad - self.mean[name])
-            self.square[name] += 0.02 * (grad ** 2 - self.square[name])
-            self.weights[name] -= (size * self.mean[name] / (1 - 0.9 ** self.taken)
-                                   / (np.sqrt(self.square[name] / (1 - 0.98 ** self.taken)) + 1e-6)).astype(np.float32)
+            for i in range(0, len(grad), STEPPED):  # a few rows at a time, which a cache holds
+                rows = slice(i, i + STEPPED)
+                mean, square, g = self.mean[name][rows], self.square[name][rows], grad[rows].astype(self.mean[name].dtype)
+                mean += 0.1 * (g - mean)
+                g *= g
+                g -= square
+                g *= 0.02
+                square += g
+                np.multiply(square, flatter, out=g)
+                np.sqrt(g, out=g)
+                g += 1e-6
+                np.divide(mean, g, out=g)
+                g *= size
+                self.weights[name][rows] -= g
 
 
 def gradients(w: dict[str, np.ndarray], classes: np.ndarray, inputs: np.ndarray, targets: np.ndarray,
               none: int) -> dict[str, np.ndarray]:
     """Of the mean negative log probability of the targets' classes; summed over a few windows at a time, which a cache holds."""
-    kind, scale = w["e"].dtype, WIDTH ** -0.5
-    many = max(np.count_nonzero(targets >= 0), 1)
-    bias = (w["p"][np.maximum(_BEHIND, 0)] + _HIDDEN).astype(kind)
-    out = np.concatenate([w["a"], w["x"], w["b"][None]])
-    both, ones = np.concatenate([w["k"], w["v"]], axis=1), np.ones(CLASSES, kind)
-    flat = lambda x: x.reshape(-1, x.shape[-1])
-    d_out, d_both, d_query = np.zeros_like(out), np.zeros_like(both), np.zeros_like(w["q"])
-    d_bias, d_e = np.zeros(bias.shape), np.empty((*inputs.shape, WIDTH), kind)
+    tables, kind = forward_tables(w), w["e"].dtype
+    there, wanted = targets >= 0, classes[np.maximum(targets, 0)]
+    out_back = np.ascontiguousarray(tables["out"][:-1].T)
+    back = np.concatenate([w["k"].T, w["v"].T, tables["asks"].T]).astype(kind)
+    d_out, d_bias = np.zeros_like(tables["out"]), np.zeros(tables["bias"].size, kind)
+    d_all = np.zeros((WIDTH, 3 * WIDTH), kind)  # of keys, values and queries
+    forward = Forward(tables, min(LEARNT_CHUNK, len(inputs)))
+    room = np.empty((2 * forward.room, SCORED, 3 * WIDTH), kind)
+    pairs, spreads = np.empty((forward.room, LENGTH, 2 * WIDTH), kind), np.empty((forward.room, SCORED, WIDTH + 1), kind)
+    # A window mostly begins with what the one before it ends with: those places' gradients are added up first.
+    begins = np.ones(len(inputs), bool)
+    begins[1:] = (inputs[1:, :CONTEXT] != inputs[:-1, CONTEXT:]).any(axis=1)
+    begins[::LEARNT_CHUNK] = True
+    d_e, ids = [], []
     for i in range(0, len(inputs), LEARNT_CHUNK):
-        asked, wanted = inputs[i:i + LEARNT_CHUNK], targets[i:i + LEARNT_CHUNK].ravel()
-        e = w["e"][asked]
-        own = np.ascontiguousarray(e[:, CONTEXT:])
-        q = (flat(own) @ w["q"] * scale).reshape(own.shape)
-        pairs = (flat(e) @ both).reshape(*e.shape[:2], -1)
-        k, v = np.ascontiguousarray(pairs[..., :WIDTH]), np.ascontiguousarray(pairs[..., WIDTH:])
-        heed = q @ k.transpose(0, 2, 1)
-        heed += bias
-        heed -= (asked == none).astype(kind)[:, None, :] * kind.type(1e4)
-        heed -= heed.max(axis=2, keepdims=True)
-        np.exp(heed, out=heed)
-        heed /= heed.sum(axis=2, keepdims=True)
-        mixed = heed @ v
-        state = np.concatenate([flat(mixed), flat(own), np.ones((len(wanted), 1), kind)], axis=1)
-        dz = state @ out
-        if dz.max() > SAFE:  # otherwise no exponential overflows
-            dz -= dz.max(axis=1, keepdims=True)
-        np.exp(dz, out=dz)
-        there = wanted >= 0
-        dz *= (there.astype(kind) / (many * (dz @ ones)))[:, None]
-        dz[there, classes[wanted[there]]] -= kind.type(1 / many)
+        part = slice(i, i + LEARNT_CHUNK)
+        asked, new = inputs[part], np.flatnonzero(begins[part])
+        many = len(asked)
+        forward.heeds(asked, none)
+        _, sums = forward.logits(wanted[part])
+        dz, state = flat(forward.z), flat(forward.state)
+        dz.ravel()[forward.at] -= sums
+        share = (there[part].ravel() / sums).astype(kind)[:, None]
+        d_state = dz @ out_back
+        d_state *= share
+        d_state = d_state.reshape(many, SCORED, -1)
+        spread = spreads[:many]
+        d_mixed = spread[..., :WIDTH]
+        np.multiply(d_state[..., :WIDTH], forward.total, out=d_mixed)
+        np.einsum("ijk,ijk->ij", d_mixed, forward.state[..., :WIDTH], out=spread[..., WIDTH])
+        np.negative(spread[..., WIDTH], out=spread[..., WIDTH])
+        ds = forward.v @ np.ascontiguousarray(spread.transpose(0, 2, 1))
+        ds *= forward.heed
+        d_bias += np.ones(many, kind) @ ds.reshape(many, -1)
+        d_pairs = pairs[:many]
+        np.matmul(ds, forward.q, out=d_pairs[..., :WIDTH])
+        np.matmul(forward.heed, d_mixed, out=d_pairs[..., WIDTH:])
+        d = room[:many + len(new)]
+        d[many:, :, :2 * WIDTH] = d_pairs[new, :CONTEXT]
+        d[many:, :, 2 * WIDTH:] = 0
+        d_pairs[new, :CONTEXT] = 0
+        np.add(d_pairs[:-1, CONTEXT:], d_pairs[1:, :CONTEXT], out=d[:many - 1, :, :2 * WIDTH])
+        d[many - 1, :, :2 * WIDTH] = d_pairs[-1, CONTEXT:]
+        np.matmul(ds.transpose(0, 2, 1), forward.k, out=d[:many, :, 2 * WIDTH:])
+        e = np.concatenate([forward.e[:, CONTEXT:, :WIDTH], forward.e[new, :CONTEXT, :WIDTH]])
+        d_all += flat(e).T @ flat(d)
+        np.matmul(flat(d), back, out=flat(e))
+        e[:many] += d_state[..., WIDTH:]
+        d_e.append(flat(e))
+        ids += [asked[:, CONTEXT:].ravel(), asked[new, :CONTEXT].ravel()]
+        state *= share
         d_out += state.T @ dz
-        d_state = dz @ out.T
-        d_mixed = np.ascontiguousarray(d_state[:, :WIDTH]).reshape(mixed.shape)
-        ds = d_mixed @ v.transpose(0, 2, 1)
-        ds -= (d_mixed * mixed).sum(axis=-1, keepdims=True)
-        ds *= heed
-        d_bias += ds.sum(axis=0)
-        dq = flat(ds @ k) * kind.type(scale)
-        d_pairs = np.concatenate([ds.transpose(0, 2, 1) @ q, heed.transpose(0, 2, 1) @ d_mixed], axis=-1)
-        d_query += flat(own).T @ dq
-        d_both += flat(e).T @ flat(d_pairs)
-        here = d_e[i:i + LEARNT_CHUNK]
-        np.matmul(flat(d_pairs), both.T, out=flat(here))
-        here[:, CONTEXT:] += (d_state[:, WIDTH:-1] + dq @ w["q"].T).reshape(own.shape)
-    order = np.argsort(inputs.ravel().astype(np.uint16 if none < 1 << 16 else np.int32), kind="stable")
-    at = inputs.ravel()[order]
+    at = np.concatenate(ids)
+    order = np.argsort(at.astype(np.uint16 if none < 1 << 16 else np.int32), kind="stable")
+    at = at[order]
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
     g_e = np.zeros_like(w["e"])
-    g_e[at[first]] = np.add.reduceat(flat(d_e)[order], first, axis=0)
-    return {"a": d_out[:WIDTH], "x": d_out[WIDTH:-1], "b": d_out[-1], "q": d_query, "k": d_both[:, :WIDTH],
-            "v": d_both[:, WIDTH:], "e": g_e,
-            "p": np.bincount(np.maximum(_BEHIND, 0).ravel(), (d_bias * (_BEHIND >= 0)).ravel(), LENGTH)}
+    g_e[at[first]] = np.add.reduceat(np.concatenate(d_e).take(order, axis=0), first, axis=0)
+    d_bias = d_bias.reshape(LENGTH, SCORED).T
+    found = {"a": d_out[:WIDTH], "x": d_out[WIDTH:-1], "b": d_out[-1], "q": d_all[:, 2 * WIDTH:] * kind.type(WIDTH ** -0.5),
+             "k": d_all[:, :WIDTH], "v": d_all[:, WIDTH:2 * WIDTH], "e": g_e,
+             "p": np.bincount(np.maximum(_BEHIND, 0).ravel(), (d_bias * (_BEHIND >= 0)).ravel(), LENGTH)}
+    size = kind.type(1 / max(np.count_nonzero(there), 1))
+    return {name: grad * size for name, grad in found.items()}
 
 
-def _blocks(docs: DataFrame, allowed: Column, text: str, id_column: str, block_bytes: int) -> DataFrame:
-    """``id, text, learnt, block``."""
-    rows = docs.select(F.col(f"`{id_column}`").alias("id"), whole_text(text).alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return rows.select("id", "text", F.coalesce(allowed, F.lit(True)).alias("learnt"),
-                       F.pmod(F.xxhash64("id", "text"), F.lit(total // block_bytes + 1)).alias("block"))
+def coded(docs: DataFrame, allowed: Column, text: str, id_column: str, block_bytes: int) -> DataFrame:
+    """Texts as places of words in their block's list: rows ``block, id, learnt, codes``, and ``block, word, place, here`` of
+    the list, where ``here`` is how often a word stands in the block's training rows.
 
+    A block is what a task reads in a row, about ``block_bytes`` of text; its number holds as what is made here is stored.
+    """
+    rows = docs.select(F.col(f"`{id_column}`").alias("id"), F.coalesce(allowed, F.lit(True)).alias("learnt"),
+                       whole_text(text).alias("text")).select("id", "learnt", "text")
+    names = {"block": pa.int64(), "word": pa.binary(), "place": pa.int32(), "here": pa.int64()}
+
+    def listed(block: int, places: dict[bytes, int], texts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = pa.Table.from_batches(texts).combine_chunks()
+        counted = [np.frombuffer(codes, np.int32) for codes in every.filter(every["learnt"])["codes"].to_pylist()]
+        here = np.bincount(np.concatenate(counted), minlength=len(places)) if counted else np.zeros(len(places), np.int64)
+        made = {"block": np.full(len(places), block), "word": list(places), "place": np.arange(len(places)), "here": here}
+        words = [pa.array(made[name], kind) for name, kind in names.items()]
+        yield pa.RecordBatch.from_arrays([*words, *(pa.nulls(len(places), x.type) for x in texts[0].columns)],
+                                         names=[*names, *texts[0].schema.names])
+        for batch in texts:
+            given = [pa.array(np.full(len(batch), block)), *(pa.nulls(len(batch), kind) for kind in [*names.values()][1:])]
+            yield pa.RecordBatch.from_arrays([*given, *batch.columns], names=[*names, *batch.schema.names])
 
-def word_counts(blocked: DataFrame) -> DataFrame:
-    """``block, word, here``: how often each word of a block stands in the block's training rows."""
-    def run(table: pa.Table) -> pa.Table:
-        counts: Counter = Counter()
-        seen: set[bytes] = set()
-        for value, learnt in zip(table["text"], table["learnt"].to_pylist()):
-            found = words(value.as_py())
-            if learnt:
-                counts.update(found)
-            else:
-                seen.update(found)
-        every = [*counts, *(seen - counts.keys())]
-        return pa.table({"block": pa.array([table["block"][0].as_py()] * len(every), pa.int64()),
-                         "word": pa.array(every, pa.binary()),
-                         "here": pa.array([counts[word] for word in every], pa.int64())})
-
-    return blocked.groupBy("block").applyInArrow(run, "block bigint, word binary, here bigint")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, room, texts = TaskContext.get().partitionId() << 32, 0, []
+        places: defaultdict[bytes, int] = defaultdict()
+        places.default_factory = places.__len__
+        for batch in slices(batches, "text", block_bytes):
+            codes = []
+            for value in batch["text"]:
+                codes.append(np.fromiter(map(places.__getitem__, words(value.as_py())), np.int32).tobytes())
+            room += batch["text"].nbytes
+            texts.append(pa.RecordBatch.from_arrays([batch["id"], batch["learnt"], pa.array(codes, pa.binary())],
+                                                    names=["id", "learnt", "codes"]))
+            if room >= block_bytes:
+                yield from listed(block, places, texts)
+                block, room, texts = block + 1, 0, []
+                places.clear()
+        if places:
+            yield from listed(block, places, texts)
+
+    id_type = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"block bigint, word binary, place int, here bigint, id {id_type}, learnt boolean, codes binary")
 
 
 def dictionary(here: DataFrame, rank_file: str, pattern: str) -> DataFrame:
-    """``word, count, ids``: each word once, with its count in all training rows and its subword ids."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = ids_for(rank_file, pattern).encode
-        for batch in batches:
-            ids = pa.array([encode(word) for word in batch["word"].to_pylist()], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch["word"], batch["count"], ids], names=["word", "count", "ids"])
+    """``block, place, first, count, ids`` of each word of each block: its count in all training rows and its subword
+    ids; ``first`` is true in one row of each word."""
+    def run(table: pa.Table) -> pa.Table:
+        marks = ids_for(rank_file, pattern)
+        kind = id_type_for(marks)
+        word = table["word"].combine_chunks().dictionary_encode()
+        which = word.indices.to_numpy()
+        counts = np.zeros(len(word.dictionary), np.int64)
+        np.add.at(counts, which, table["here"].to_numpy())
+        ids = pa.array([np.array(marks.encode(x), kind).tobytes() for x in word.dictionary.to_pylist()], pa.binary())
+        first = np.zeros(len(which), bool)
+        first[np.unique(which, return_index=True)[1]] = True
+        return pa.table({"block": table["block"], "place": table["place"], "first": pa.array(first),
+                         "count": pa.array(counts[which]), "ids": ids.take(word.indices)})
 
     # A word has one row per block at most, so no word is a hot key.
-    counted = here.groupBy("word").agg(F.sum("here").alias("count"))
-    return counted.mapInArrow(run, "word binary, count bigint, ids array<int>")
+    groups = here.count() // WORDS_AT_ONCE + 1
+    return here.groupBy(F.pmod(F.xxhash64("word"), F.lit(groups))).applyInArrow(
+        run, "block bigint, place int, first boolean, count bigint, ids binary")
 
 
-def id_counts(known: DataFrame, size: int) -> np.ndarray:
+def id_counts(known: DataFrame, size: int, rank_file: str, pattern: str) -> np.ndarray:
     """How often each subword id occurs in the training rows; the driver gets one row per id."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind, total = id_type_for(ids_for(rank_file, pattern)), np.zeros(size, np.int64)
+        for batch in batches:
+            ids, lengths = texts_end_to_end(batch["ids"], kind)
+            np.add.at(total, ids, np.repeat(batch["count"].to_numpy(), lengths))
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["i", "n"])
+
     total = np.zeros(size, np.int64)
-    for row in (known.where("count > 0").select("count", F.explode("ids").alias("i")).groupBy("i")
-                .agg(F.sum("count").alias("n")).collect()):
-        total[row.i] = row.n
+    summed = (known.where("first and count > 0").select("count", "ids").mapInArrow(count, "i bigint, n bigint")
+              .groupBy("i").agg(F.sum("n").alias("n")).toArrow())
+    total[summed["i"].to_numpy()] = summed["n"].to_numpy()
     return total
 
 
@@ -374,19 +493,19 @@ def id_type_for(marks: Ids) -> type:
     return np.uint16 if marks.none < 1 << 16 else np.int32
 
 
-def encoded(blocked: DataFrame, here: DataFrame, known: DataFrame, total: int, distinct: int, rank_file: str,
-            pattern: str) -> DataFrame:
+def encoded(texts: DataFrame, known: DataFrame, total: int, distinct: int, rank_file: str, pattern: str) -> DataFrame:
     """``id, learnt, n_tokens, n_known, base_score, ids``: each text with the subword ids of the whole of it."""
-    id_type = blocked.schema["id"].dataType.simpleString()
+    id_type = texts.schema["id"].dataType.simpleString()
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         kind = id_type_for(ids_for(rank_file, pattern))
-        place = dict(zip(right["word"].to_pylist(), range(len(right))))
-        count = right["count"].to_numpy()
+        order = np.argsort(right["place"].to_numpy())
+        count = right["count"].to_numpy()[order]
         base = np.log10((count + 1) / (total + distinct + 1))
-        ids = right["ids"].combine_chunks()
-        flat, sizes = ids.flatten().to_numpy().astype(kind), np.diff(ids.offsets.to_numpy())
-        begins = np.cumsum(sizes) - sizes
+        held = right["ids"].to_pylist()
+        flat = np.frombuffer(b"".join(held), kind)
+        sizes = np.array([len(x) for x in held], np.int64) // flat.itemsize
+        begins, sizes = (np.cumsum(sizes) - sizes)[order], sizes[order]
         columns: dict[str, list] = {"n_tokens": [], "n_known": [], "base_score": []}
         texts_ids: list[bytes] = []
 
@@ -403,8 +522,8 @@ def encoded(blocked: DataFrame, here: DataFrame, known: DataFrame, total: int, d
             texts_ids.extend(x.tobytes() for x in np.split(ids, np.cumsum(np.add.reduceat(size, starts))[:-1]))
 
         held, room = [], 0
-        for value in left["text"]:
-            held.append(np.fromiter(map(place.__getitem__, words(value.as_py())), np.int64))
+        for codes in left["codes"]:
+            held.append(np.frombuffer(codes.as_buffer(), np.int32))
             room += len(held[-1])
             if room > 200_000:
                 finish(held)
@@ -417,8 +536,8 @@ def encoded(blocked: DataFrame, here: DataFrame, known: DataFrame, total: int, d
                          "base_score": pa.array(made["base_score"], pa.float64()),
                          "ids": pa.array(texts_ids, pa.binary())})
 
-    asked = here.select("block", "word").join(known, "word")
-    return blocked.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(
+    asked = known.select("block", "place", "count", "ids")
+    return texts.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(
         run, f"id {id_type}, learnt boolean, n_tokens bigint, n_known bigint, base_score double, ids binary")
 
 
@@ -515,8 +634,8 @@ def learnt_from_all(model: Model, learnt: DataFrame, rank_file: str, pattern: st
                     names=["row", "many", *names])
 
         part = learnt.where(F.pmod(F.xxhash64("id", "n_tokens", F.lit("round")), F.lit(ROUNDS)) == number)
-        # One set of weights a core, however large the input.
-        sums = (part.select("ids").coalesce(max(context.defaultParallelism, 1))
+        # One set of weights a core, however large the input, and as many rows for each.
+        sums = (part.select("ids").repartition(max(context.defaultParallelism, 1))
                 .mapInArrow(run, f"row bigint, many bigint, {', '.join(f'{n} double' for n in names)}")
                 .groupBy("row").agg(F.sum("many").alias("many"), *[F.sum(n).alias(n) for n in names]).toArrow().sort_by("row"))
         if len(sums):
@@ -534,13 +653,14 @@ def score(docs: DataFrame, allowed: Column, rank_file: str, pattern: str, text:
     ``allowed`` says of the column ``id`` which rows are learnt from.
     """
     spark = python_ready(docs.sparkSession)
-    blocked = _blocks(docs, allowed, text, id_column, block_bytes)
-    here = stored(word_counts(blocked), "word-counts", compression="zstd")
+    both = stored(coded(docs, allowed, text, id_column, block_bytes), "coded", compression="zstd")
+    here = both.where("word is not null").select("block", "word", "place", "here")
     known = stored(dictionary(here, rank_file, pattern), "dictionary", compression="zstd")
-    total, distinct = known.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count_if(F.col("count") > 0)).first()
+    total, distinct = known.where("first").agg(F.coalesce(F.sum("count"), F.lit(0)), F.count_if(F.col("count") > 0)).first()
     marks = ids_for(rank_file, pattern)
-    counts = id_counts(known, marks.size)
-    texts = stored(encoded(blocked, here, known, total, distinct, rank_file, pattern), "text-ids", compression="zstd")
+    counts = id_counts(known, marks.size, rank_file, pattern)
+    coded_texts = both.where("codes is not null").select("block", "id", "learnt", "codes")
+    texts = stored(encoded(coded_texts, known, total, distinct, rank_file, pattern), "text-ids", compression="zstd")
     learnt = texts.where("learnt")
     table = neighbour_counts(learnt, counts, rank_file, pattern)
     model = trained(first_windows(learnt, int(counts.sum()), rank_file, pattern), table, counts, marks, STEPS)
