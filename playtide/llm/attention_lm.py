@@ -26,12 +26,13 @@ count as often as they occur and get equal scores.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -179,12 +180,12 @@ class Forward:
         turned = np.ascontiguousarray(self.q.transpose(0, 2, 1))
         np.matmul(flat(self.e)[:, :WIDTH], t["keys"], out=flat(self.k))
         np.matmul(flat(self.e), t["give"], out=flat(self.v))
-        empty = inputs == none
-        some = np.flatnonzero(empty.any(axis=1))
+        # Empty places are whole contexts, or lie behind a text's end, where only queries that no target has see them.
+        some = np.flatnonzero(inputs[:, CONTEXT - 1] == none)
         for shifted in (shift, True):  # mostly no exponent needs a shift, which the sums tell
             np.matmul(self.k, turned, out=self.heed)
             self.heed += t["bias"]
-            self.heed[some] -= (empty[some] * self.heed.dtype.type(1e4))[:, :, None]  # the empty place is never heeded
+            self.heed[some, :CONTEXT] = -1e4  # the empty place is never heeded
             if shifted:
                 self.heed -= self.heed.max(axis=1, keepdims=True)
             with np.errstate(over="ignore"):
@@ -406,45 +407,63 @@ def gradients(w: dict[str, np.ndarray], classes: np.ndarray, inputs: np.ndarray,
     return {name: grad * size for name, grad in found.items()}
 
 
+def packed(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Binaries of ``lengths`` values each, which lie end to end."""
+    ends = np.concatenate([[0], np.cumsum(lengths)]) * values.itemsize
+    if ends[-1] >= 1 << 31:
+        raise OverflowError("texts of one batch have over 2 GB of ids")
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(ends.astype(np.int32)),
+                                                             pa.py_buffer(np.ascontiguousarray(values))])
+
+
 def coded(docs: DataFrame, allowed: Column, text: str, id_column: str, block_bytes: int) -> DataFrame:
     """Texts as places of words in their block's list: rows ``block, id, learnt, codes``, and ``block, word, place, here`` of
     the list, where ``here`` is how often a word stands in the block's training rows.
 
     A block is what a task reads in a row, about ``block_bytes`` of text; its number holds as what is made here is stored.
     """
-    rows = docs.select(F.col(f"`{id_column}`").alias("id"), F.coalesce(allowed, F.lit(True)).alias("learnt"),
-                       whole_text(text).alias("text")).select("id", "learnt", "text")
+    rows = docs.select(F.col(f"`{id_column}`").alias("id"), whole_text(text).alias("text"))
+    rows = rows.select("id", F.coalesce(allowed, F.lit(True)).alias("learnt"), "text")
     names = {"block": pa.int64(), "word": pa.binary(), "place": pa.int32(), "here": pa.int64()}
 
-    def listed(block: int, places: dict[bytes, int], texts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        every = pa.Table.from_batches(texts).combine_chunks()
-        counted = [np.frombuffer(codes, np.int32) for codes in every.filter(every["learnt"])["codes"].to_pylist()]
-        here = np.bincount(np.concatenate(counted), minlength=len(places)) if counted else np.zeros(len(places), np.int64)
-        made = {"block": np.full(len(places), block), "word": list(places), "place": np.arange(len(places)), "here": here}
-        words = [pa.array(made[name], kind) for name, kind in names.items()]
-        yield pa.RecordBatch.from_arrays([*words, *(pa.nulls(len(places), x.type) for x in texts[0].columns)],
-                                         names=[*names, *texts[0].schema.names])
-        for batch in texts:
+    def listed(block: int, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, lengths = [], []
+        for batch in held:
+            cut = pc.ascii_split_whitespace(pc.ascii_lower(batch["text"]))
+            parts = cut.flatten()  # with empty ones where white space begins or ends a text, and at least one of each text
+            full = pc.greater(pc.binary_length(parts), 0)
+            sizes = pc.list_value_length(cut).to_numpy()
+            lengths.append(np.add.reduceat(full.to_numpy(zero_copy_only=False).astype(np.int64), np.cumsum(sizes) - sizes))
+            found.append(parts.filter(full))
+        word = pa.concat_arrays(found).dictionary_encode()
+        every = pa.concat_arrays([word.dictionary.cast(pa.binary()), pa.array([END_WORD], pa.binary())])
+        ends = np.cumsum(np.concatenate(lengths))
+        codes = np.insert(word.indices.to_numpy(), ends, len(every) - 1)
+        learnt = np.concatenate([batch["learnt"].to_numpy(zero_copy_only=False) for batch in held])
+        here = np.bincount(codes[np.repeat(learnt, np.concatenate(lengths) + 1)], minlength=len(every))
+        made = [np.full(len(every), block), every, np.arange(len(every)), here]
+        words = [pa.array(x, kind) for x, kind in zip(made, names.values())]
+        texts = [*zip(("id", "learnt"), (held[0]["id"].type, pa.bool_())), ("codes", pa.binary())]
+        yield pa.RecordBatch.from_arrays([*words, *(pa.nulls(len(every), kind) for _, kind in texts)],
+                                         names=[*names, *(name for name, _ in texts)])
+        begin = 0
+        for batch, many in zip(held, lengths):
+            end = begin + many.sum() + len(many)
             given = [pa.array(np.full(len(batch), block)), *(pa.nulls(len(batch), kind) for kind in [*names.values()][1:])]
-            yield pa.RecordBatch.from_arrays([*given, *batch.columns], names=[*names, *batch.schema.names])
+            yield pa.RecordBatch.from_arrays([*given, batch["id"], batch["learnt"], packed(codes[begin:end], many + 1)],
+                                             names=[*names, *(name for name, _ in texts)])
+            begin = end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, room, texts = TaskContext.get().partitionId() << 32, 0, []
-        places: defaultdict[bytes, int] = defaultdict()
-        places.default_factory = places.__len__
+        block, room, held = TaskContext.get().partitionId() << 32, 0, []
         for batch in slices(batches, "text", block_bytes):
-            codes = []
-            for value in batch["text"]:
-                codes.append(np.fromiter(map(places.__getitem__, words(value.as_py())), np.int32).tobytes())
+            held.append(batch)
             room += batch["text"].nbytes
-            texts.append(pa.RecordBatch.from_arrays([batch["id"], batch["learnt"], pa.array(codes, pa.binary())],
-                                                    names=["id", "learnt", "codes"]))
             if room >= block_bytes:
-                yield from listed(block, places, texts)
-                block, room, texts = block + 1, 0, []
-                places.clear()
-        if places:
-            yield from listed(block, places, texts)
+                yield from listed(block, held)
+                block, room, held = block + 1, 0, []
+        if held:
+            yield from listed(block, held)
 
     id_type = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(run, f"block bigint, word binary, place int, here bigint, id {id_type}, learnt boolean, codes binary")
@@ -460,7 +479,8 @@ def dictionary(here: DataFrame, rank_file: str, pattern: str) -> DataFrame:
         which = word.indices.to_numpy()
         counts = np.zeros(len(word.dictionary), np.int64)
         np.add.at(counts, which, table["here"].to_numpy())
-        ids = pa.array([np.array(marks.encode(x), kind).tobytes() for x in word.dictionary.to_pylist()], pa.binary())
+        found = [marks.encode(x) for x in word.dictionary.to_pylist()]
+        ids = packed(np.fromiter(chain.from_iterable(found), kind), np.fromiter(map(len, found), np.int64))
         first = np.zeros(len(which), bool)
         first[np.unique(which, return_index=True)[1]] = True
         return pa.table({"block": table["block"], "place": table["place"], "first": pa.array(first),
@@ -507,7 +527,7 @@ def encoded(texts: DataFrame, known: DataFrame, total: int, distinct: int, rank_
         sizes = np.array([len(x) for x in held], np.int64) // flat.itemsize
         begins, sizes = (np.cumsum(sizes) - sizes)[order], sizes[order]
         columns: dict[str, list] = {"n_tokens": [], "n_known": [], "base_score": []}
-        texts_ids: list[bytes] = []
+        texts_ids: list[pa.Array] = []
 
         def finish(texts: list[np.ndarray]) -> None:
             lengths = np.array([len(x) for x in texts])
@@ -519,7 +539,7 @@ def encoded(texts: DataFrame, known: DataFrame, total: int, distinct: int, rank_
             size = sizes[every]
             ends = np.cumsum(size)
             ids = flat[np.arange(ends[-1]) - np.repeat(ends - size - begins[every], size)]
-            texts_ids.extend(x.tobytes() for x in np.split(ids, np.cumsum(np.add.reduceat(size, starts))[:-1]))
+            texts_ids.append(packed(ids, np.add.reduceat(size, starts)))
 
         held, room = [], 0
         for codes in left["codes"]:
@@ -534,7 +554,7 @@ def encoded(texts: DataFrame, known: DataFrame, total: int, distinct: int, rank_
         return pa.table({"id": left["id"], "learnt": left["learnt"],
                          **{name: pa.array(made[name], pa.int64()) for name in ("n_tokens", "n_known")},
                          "base_score": pa.array(made["base_score"], pa.float64()),
-                         "ids": pa.array(texts_ids, pa.binary())})
+                         "ids": pa.chunked_array(texts_ids, pa.binary())})
 
     asked = known.select("block", "place", "count", "ids")
     return texts.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(

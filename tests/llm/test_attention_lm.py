@@ -191,3 +191,39 @@ def test_all_training_rows_are_counted_and_learnt(spark, documents, marks, monke
     assert (seen["neighbour_counts"] == wanted).all()
     assert seen["learnt_from_all"][1] == (-(-lengths // attention_lm.SCORED)).sum()
     assert found.count() == len(rows)
+
+
+def test_texts_are_places_in_their_blocks_lists(documents):
+    rows = EDGES + [(1000 + i, " \x0b" * (i % 3) + prose(i, 30) + "\n\x1c \x85É" * (i % 2)) for i in range(40)]
+    found = attention_lm.coded(documents(rows), F.col("id") % 2 == 0, "text", "doc_id", 3000).collect()
+    lists = {(r.block, r.place): bytes(r.word) for r in found if r.word is not None}
+    here = Counter({(r.block, bytes(r.word)): r.here for r in found if r.word is not None})
+    texts = [(r.id, r.learnt, r.block, [lists[r.block, i] for i in np.frombuffer(r.codes, np.int32)])
+             for r in found if r.codes is not None]
+    assert len({block for block, _ in lists}) > 3 and len(set(here)) == len(lists)
+    assert sorted((str(i), learnt, cut) for i, learnt, _, cut in texts) == sorted(
+        (str(i), i is None or i % 2 == 0, attention_lm.words(t)) for i, t in rows)
+    assert +here == Counter((block, word) for _, learnt, block, cut in texts if learnt for word in cut)
+
+
+def test_every_core_learns_from_as_many_rows(spark, documents, marks, monkeypatch):
+    monkeypatch.setattr(attention_lm, "STEPS", 1)
+    plain, parts = attention_lm.learnt_from_all, []
+
+    def spied(model, learnt, *args):
+        skewed = learnt.repartition(8).sortWithinPartitions("id").coalesce(2).union(learnt.limit(0))
+        frame, kept = type(learnt), type(learnt).mapInArrow
+
+        def seen(self, *more):
+            parts.append([r["count"] for r in self.groupBy(F.spark_partition_id()).count().collect()])
+            return kept(self, *more)
+        with monkeypatch.context() as patch:
+            patch.setattr(frame, "mapInArrow", seen)
+            return plain(model, skewed, *args)
+
+    monkeypatch.setattr(attention_lm, "learnt_from_all", spied)
+    rows = [(i, prose(i, 20)) for i in range(600)]
+    assert attention_lm.score(documents(rows), F.lit(True), RANKS, public_tokenizers.PATTERN).count() == 600
+    cores = spark.sparkContext.defaultParallelism
+    assert len(parts) == attention_lm.ROUNDS and sum(map(sum, parts)) == 600
+    assert all(len(p) == cores and max(p) - min(p) <= 4 * cores for p in parts)
