@@ -654,8 +654,9 @@ def learnt_from_all(model: Model, learnt: DataFrame, rank_file: str, pattern: st
                     names=["row", "many", *names])
 
         part = learnt.where(F.pmod(F.xxhash64("id", "n_tokens", F.lit("round")), F.lit(ROUNDS)) == number)
-        # One set of weights a core, however large the input, and as many rows for each.
-        sums = (part.select("ids").repartition(max(context.defaultParallelism, 1))
+        # One set of weights a core, however large the input, and then as many rows for each; fewer for few partitions.
+        part, cores = part.select("ids"), max(context.defaultParallelism, 1)
+        sums = ((part.repartition(cores) if part.rdd.getNumPartitions() > cores else part)
                 .mapInArrow(run, f"row bigint, many bigint, {', '.join(f'{n} double' for n in names)}")
                 .groupBy("row").agg(F.sum("many").alias("many"), *[F.sum(n).alias(n) for n in names]).toArrow().sort_by("row"))
         if len(sums):
